@@ -165,25 +165,39 @@ class CountryLookup:
 
     def frame(self, spark: SparkSession, code: str, iso3: str) -> DataFrame:
         """Exact spellings as a two-column frame."""
-        return spark.createDataFrame(list(self.exact.items()), f"{code} string, {iso3} string")
+        rows = _constant(
+            [{code: c, iso3: i} for c, i in self.exact.items()],
+            f"array<struct<{code}: string, {iso3}: string>>",
+        )
+        return spark.range(1).select(F.inline(rows))
 
-    def loose_match(self, code: Column) -> Column:
-        """First name that contains the code or lies in it, else first name sharing a word.
+    def loose_match(self, text: Column, words: Column) -> Column:
+        """First name that contains the text or lies in it, else first name sharing a word.
 
-        The name list is a constant in the plan, so rows are matched where they are.
+        ``text`` and ``words`` come from ``loose_text`` and should be columns of their own, as
+        they are compared with every name. The name list is a constant in the plan, so rows
+        are matched where they are.
         """
-        names = F.from_json(
-            F.lit(json.dumps([
-                {"name": name, "words": name.split(), "iso3": iso3}
-                for name, iso3 in self.names.items()
-            ])),
-            "array<struct<name:string,words:array<string>,iso3:string>>",
+        names = _constant(
+            [{"name": n, "words": n.split(), "iso3": i} for n, i in self.names.items()],
+            "array<struct<name: string, words: array<string>, iso3: string>>",
         )
-        text = strip(strip_punctuation(code, unicode=True))
-        text = F.when(text != "", text)
-        words = F.split(text, r"(?U)\s+")
         contained = F.filter(
             names, lambda n: F.contains(n["name"], text) | F.contains(text, n["name"])
         )
         shared = F.filter(names, lambda n: F.arrays_overlap(n["words"], words))
         return F.coalesce(F.get(contained, F.lit(0)), F.get(shared, F.lit(0)))["iso3"]
+
+
+def loose_text(code: Column) -> Column:
+    """Code without punctuation, null when nothing is left."""
+    text = strip(strip_punctuation(code, unicode=True))
+    return F.when(text != "", text)
+
+
+def loose_words(text: Column) -> Column:
+    return F.split(text, r"(?U)\s+")
+
+
+def _constant(rows: list[dict], schema: str) -> Column:
+    return F.from_json(F.lit(json.dumps(rows)), schema)

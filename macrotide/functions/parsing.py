@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A decimal number as the feeds write it. Java's double parser would also take
-# type suffixes ("5d"), which are not numbers in a feed.
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_BLANKS = " \t\r\n"
 
 DATE_PATTERNS = ("yyyy'M'MM", "yyyy'M'M", "yyyy/MM/dd", "MM/dd/yyyy", "MMM yyyy", "MMM-yyyy")
 
@@ -19,13 +17,19 @@ def nan_to_null(value: Column) -> Column:
 
 
 def parse_number(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
+    """Decimal number. Java's parser also reads type suffixes ('5d'), hexadecimal and words
+    such as 'inf'; none of them is a number in a feed."""
+    plain = F.btrim(text, F.lit(_BLANKS))
+    ends_well = F.substring(plain, -1, 1).between("0", "9") | plain.endswith(".")
+    hexadecimal = plain.contains("x") | plain.contains("X")
+    return F.when(ends_well & ~hexadecimal, plain.try_cast("double"))
 
 
 def parse_year(text: Column) -> Column:
     """Whole years only; '2015' and '2015.0' both give 2015."""
     number = parse_number(text)
-    return F.when(number == F.floor(number), number.try_cast("int"))
+    whole = F.when(number == F.floor(number), number.try_cast("int"))
+    return F.coalesce(text.try_cast("int"), whole)
 
 
 def parse_date(text: Column, patterns: Sequence[str] = DATE_PATTERNS) -> Column:

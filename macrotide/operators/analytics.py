@@ -11,7 +11,7 @@ from macrotide.functions.bands import correlation_strength, inflation_delta
 from macrotide.functions.formatting import money_text, percent_text
 from macrotide.operators.reshape import long_to_wide
 from macrotide.operators.stats import (
-    change_first_to_last, corr_matrix, group_mean, group_trend, spread, trend_line,
+    change_first_to_last, corr_matrix, group_mean, group_trend, pearson, spread, trend_line,
 )
 
 # What the figures show when the selection is empty.
@@ -109,7 +109,7 @@ def inflation_wage_join(
 
 
 def inflation_wage_correlation(joined: DataFrame) -> DataFrame:
-    return joined.agg(F.corr("inflation_rate", "avg_annual_wage").alias("correlation")).select(
+    return joined.agg(pearson("inflation_rate", "avg_annual_wage").alias("correlation")).select(
         "correlation", correlation_strength(F.col("correlation")).alias("strength")
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.functions.bands import health_score, inflation_category, real_wage
+from macrotide.operators.joins import join_unique
 from macrotide.schemas import KEY_COMMODITIES
 
 
@@ -45,13 +46,16 @@ def merge_datasets(
     sides are unique on their join key, so no row is multiplied.
 
     ``years`` states the window the inflation rows were cleaned to. The index then has at
-    most one row per year of it and is broadcast; without it, and for wages, whose number of
-    countries is open, Spark chooses the join from the sizes it sees.
+    most one row per year of it and is broadcast. Without it, and for wages, whose number of
+    countries is open, the join is one that a dominant key does not hold up.
     """
     if indicator is not None:
         inflation = inflation.filter(F.col("inflation_indicator") == indicator)
     index = commodity_index(annual_prices, basket)
+    merged = join_unique(inflation, wages, ["country_code", "year"])
     if years is not None:
         index = F.broadcast(index.filter(F.col("year").between(*years)))
-    merged = inflation.join(wages, ["country_code", "year"], "left").join(index, ["year"], "left")
+        merged = merged.join(index, ["year"], "left")
+    else:
+        merged = join_unique(merged, index, ["year"])
     return derived_features(merged)

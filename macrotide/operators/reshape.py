@@ -28,12 +28,13 @@ def available(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def unify_aliases(df: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFrame:
     """Give each target column the first of its source columns that has a value."""
-    for target, names in aliases.items():
-        present = [n for n in names if n in df.columns]
-        if present:
-            value = F.coalesce(*[F.col(n) for n in present])
-            df = df.withColumn(target, value).drop(*[n for n in present if n != target])
-    return df
+    sources = {t: [n for n in names if n in df.columns] for t, names in aliases.items()}
+    used = {n for names in sources.values() for n in names}
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in used]
+    unified = [
+        F.coalesce(*[F.col(n) for n in names]).alias(target) for target, names in sources.items() if names
+    ]
+    return df.select(*kept, *unified)
 
 
 def long_to_wide(

@@ -4,38 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from macrotide.functions.country import CountryLookup, is_iso3_shaped, normalized_code
+from macrotide.functions.country import (
+    CountryLookup, is_iso3_shaped, loose_text, loose_words, normalized_code,
+)
 from macrotide.functions.parsing import parse_number
 from macrotide.functions.percent import normalize_percentage
 
 
-def with_standard_code(
-    df: DataFrame, lookup: CountryLookup, column: str = "country_code",
-    into: str = "country_code_standardized",
-) -> DataFrame:
-    """Add the alpha-3 code of each row, null where nothing matches.
+def _coded(df: DataFrame, lookup: CountryLookup, column: str) -> tuple[DataFrame, Column]:
+    """Rows with what matching needs, and the expression of their alpha-3 code.
 
     Three-letter codes stay as they are, then exact spellings, then loose matches. The lookup
     is bounded (see ``functions.country``) and therefore broadcast: rows never move, however
-    often one country repeats. Loose matching runs only for rows that got this far.
+    often one country repeats. Only what has no exact spelling is matched loosely.
     """
-    exact = lookup.frame(df.sparkSession, "__code", "__exact")
-    code = F.col("__code")
-    return (
+    code, exact, text, words = (F.col(c) for c in ("__code", "__exact", "__text", "__words"))
+    spellings = lookup.frame(df.sparkSession, "__code", "__exact")
+    known = is_iso3_shaped(code) | exact.isNotNull()
+    prepared = (
         df.withColumn("__code", normalized_code(F.col(column)))
-        .join(F.broadcast(exact), "__code", "left")
-        .withColumn(
-            into,
-            F.when(is_iso3_shaped(code), code)
-            .when(F.col("__exact").isNotNull(), F.col("__exact"))
-            .otherwise(lookup.loose_match(code)),
-        )
-        .select(*df.columns, into)
+        .join(F.broadcast(spellings), "__code", "left")
+        .withColumn("__text", F.when(~known, loose_text(code)))
+        .withColumn("__words", loose_words(text))
+    )
+    iso3 = (
+        F.when(is_iso3_shaped(code), code)
+        .when(exact.isNotNull(), exact)
+        .when(text.isNotNull(), lookup.loose_match(text, words))
     )
+    return prepared, iso3
 
 
 def standardize_countries(
@@ -46,15 +47,14 @@ def standardize_countries(
     Rows without a mapping are dropped. A frame without the column comes back unchanged.
     """
     if column not in df.columns:
-        return df, df.sparkSession.createDataFrame([], T.StructType([T.StructField(column, T.StringType())]))
-    coded = with_standard_code(df, lookup, column, "__iso3")
-    mapped = (
-        coded.filter(F.col("__iso3").isNotNull())
-        .withColumn(column, F.col("__iso3"))
-        .drop("__iso3")
-    )
-    unmapped = coded.filter(F.col("__iso3").isNull()).select(column).distinct()
-    return mapped, unmapped
+        return df, df.sparkSession.createDataFrame([], f"`{column}` string")
+    prepared, iso3 = _coded(df, lookup, column)
+    # Exploding "the code or nothing" drops unmapped rows and matches each row once; a filter
+    # on the code would be pushed down and match it a second time.
+    rest = [c for c in df.columns if c != column]
+    mapped = prepared.select(*rest, F.explode(F.array_compact(F.array(iso3))).alias(column))
+    unmapped = prepared.filter(iso3.isNull()).select(column).distinct()
+    return mapped.select(*df.columns), unmapped
 
 
 def normalize_columns(

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from macrotide.functions.bands import inflation_category
 from macrotide.operators.clean import has_value
+from macrotide.operators.joins import join_unique
 
+FEW_GROUPS = 10_000
 SUMMARY_COLUMNS = ("inflation_rate", "avg_annual_wage", "commodity_price_index")
 
 
@@ -79,7 +81,7 @@ def histogram(df: DataFrame, value: str = "inflation_rate", bins: int = 30) -> D
 
 def exact_quantiles(
     rows: DataFrame, group: str, value: str, probabilities: Sequence[float],
-    few_groups: bool = False, accuracy: int = 50_000,
+    few_groups: bool | None = None, accuracy: int = 50_000,
 ) -> DataFrame:
     """Exact interpolated quantiles per group, with count, minimum and maximum.
 
@@ -90,9 +92,12 @@ def exact_quantiles(
     it, which is all that has to be ordered. Groups no larger than ``accuracy`` use their
     full range as bracket.
 
-    ``few_groups`` says the groups are a fixed short list, so the brackets may be broadcast.
+    The brackets of few groups are broadcast. ``few_groups`` says whether the groups are a
+    fixed short list; without it their number is looked up first, up to a limit.
     """
     rows = rows.select(group, value).filter(F.col(group).isNotNull() & has_value(value))
+    if few_groups is None:
+        few_groups = rows.select(group).distinct().limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
     margin = 3.0 / accuracy
     marks = [edge for p in probabilities for edge in (max(p - margin, 0.0), min(p + margin, 1.0))]
     sketch = rows.groupBy(group).agg(
@@ -107,13 +112,13 @@ def exact_quantiles(
         brackets.append(F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"),
                                  lower.alias("lower"), upper.alias("upper")))
     bounds = sketch.select(group, "n", "low", "high", F.array(*brackets).alias("brackets"))
-    if few_groups:
-        bounds = F.broadcast(bounds)
-
+    bracketed = (
+        rows.join(F.broadcast(bounds), group) if few_groups
+        else join_unique(rows, bounds, [group], "inner")
+    )
     keys = [group, "n", "low", "high", "i", "p"]
     cells = (
-        rows.join(bounds, group)
-        .select(group, value, "n", "low", "high", F.inline("brackets"))
+        bracketed.select(group, value, "n", "low", "high", F.inline("brackets"))
         .filter(F.col(value) <= F.col("upper"))
         .select(*keys, F.when(F.col(value) >= F.col("lower"), F.col(value)).alias("cell"))
         .groupBy(*keys, "cell").agg(F.count("*").alias("c"))
@@ -149,11 +154,19 @@ def box_stats(df: DataFrame, value: str = "inflation_rate") -> DataFrame:
     )
 
 
+def pearson(x: str, y: str) -> Column:
+    """Correlation over the rows that have both; null where one of them does not vary
+    (``corr`` divides by zero there)."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    deviations = F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y)))
+    return F.try_divide(F.covar_pop(x, y), deviations)
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns as (x, y, r), in one pass."""
     pairs = list(combinations(columns, 2))
     own = [F.when(F.stddev_pop(c) > 0, F.lit(1.0)).alias(f"own_{i}") for i, c in enumerate(columns)]
-    one_row = df.agg(*own, *[F.corr(x, y).alias(f"pair_{i}") for i, (x, y) in enumerate(pairs)])
+    one_row = df.agg(*own, *[pearson(x, y).alias(f"pair_{i}") for i, (x, y) in enumerate(pairs)])
 
     def cell(x: str, y: str, r: str) -> Column:
         return F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(r).alias("r"))
@@ -184,7 +197,7 @@ def group_trend(df: DataFrame, group: str, x: str, y: str, into: str = "trend")
     )
     line = F.col("__slope") * F.col(x) + F.col("__intercept")
     return (
-        df.join(fits, group)
+        join_unique(df, fits, [group], "inner")
         .withColumn(into, F.when(F.col("__n") > 1, line))
         .select(*df.columns, into)
     )

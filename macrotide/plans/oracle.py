@@ -56,7 +56,7 @@ merged AS (
     SELECT i.year, i.country_code, country_name, inflation_rate, inflation_indicator,
            avg_annual_wage, unit_labour_cost, hourly_earnings_growth, real_wage_index, "5-LOW",
            commodity_price_index,
-           avg_annual_wage / (1 + inflation_rate) AS real_wage_adjusted,
+           avg_annual_wage / nullif(1 + inflation_rate, 0) AS real_wage_adjusted,
            CASE WHEN inflation_rate < 0 THEN 'Deflation' WHEN inflation_rate <= 0.02 THEN 'Low'
                 WHEN inflation_rate <= 0.05 THEN 'Moderate' WHEN inflation_rate <= 0.10 THEN 'High'
                 ELSE 'Very High' END AS inflation_category,
@@ -315,7 +315,7 @@ _SQL: dict[str, str] = {
     "inflation_ranking": f"""SELECT country_code, {_r('avg(inflation_rate)', 6, 'avg_inflation')}
         FROM merged GROUP BY country_code ORDER BY 2 DESC""",
     "real_wage_change": """SELECT country_code,
-        round((max_by(real_wage_adjusted, year) / min_by(real_wage_adjusted, year) - 1) * 100 + 2e-8, 4) AS change_pct
+        round((last(real_wage_adjusted ORDER BY year) / nullif(first(real_wage_adjusted ORDER BY year), 0) - 1) * 100 + 2e-8, 4) AS change_pct
         FROM merged WHERE inflation_indicator = 'indicator N' GROUP BY country_code""",
     "orphans": """SELECT r.* FROM residents r LEFT JOIN remaining c ON r.country_code = c.country_code
         WHERE c.country_code IS NULL""",

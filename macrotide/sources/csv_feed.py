@@ -40,9 +40,11 @@ def parse_csv_documents(
 ) -> DataFrame:
     """Data lines of CSV documents as text columns. Lines up to the header are skipped."""
     schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
-    lines = documents.select(F.posexplode(F.split(F.col(text), r"\r?\n")).alias("at", "line"))
+    lines = F.split(F.col(text), r"\r?\n")
+    data = F.slice(lines, header_line + 1, F.greatest(F.size(lines), F.lit(1)))
     return (
-        lines.filter((F.col("at") >= header_line) & (F.trim("line") != ""))
+        documents.select(F.explode(data).alias("line"))
+        .filter(F.trim("line") != "")
         .select(F.from_csv("line", schema).alias("r"))
         .select("r.*")
     )

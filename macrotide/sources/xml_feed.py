@@ -43,7 +43,9 @@ def nested_observations(series: DataFrame, obs: str = "Obs") -> DataFrame:
     if not isinstance(kind, T.ArrayType):
         items = F.array(items)
     own = [F.col(f"`{c}`") for c in series.columns if c != obs]
-    exploded = series.select(*own, F.explode(items).alias("__obs"))
+    # Not explode: Spark would filter on the array first and parse every document twice.
+    exploded = series.select(*own, F.explode_outer(items).alias("__obs"))
+    exploded = exploded.filter(F.col("__obs").isNotNull())
     inner = [n for n in exploded.schema["__obs"].dataType.names if n not in series.columns]
     return exploded.select(
         *[F.col(f"`{c}`") for c in series.columns if c != obs],
