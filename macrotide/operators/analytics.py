@@ -41,8 +41,15 @@ def select_rows(
 
 
 def latest_names(df: DataFrame) -> DataFrame:
-    """One name per country code: the one of the latest year."""
-    return df.na.drop(subset=["country_code"]).groupBy("country_code").agg(
+    """One name per country code: the one of the latest year.
+
+    Rows are reduced to (code, name) with a hash aggregation first. Picking by name and year
+    compares text, for which Spark sorts, and then has only a few rows to sort.
+    """
+    spellings = df.na.drop(subset=["country_code"]).groupBy("country_code", "country_name").agg(
+        F.max("year").alias("year")
+    )
+    return spellings.groupBy("country_code").agg(
         F.max_by("country_name", F.struct("year", "country_name")).alias("country_name")
     )
 
@@ -244,6 +251,16 @@ def with_percent_texts(stats: DataFrame) -> DataFrame:
     })
 
 
+def comparison_display(stats: DataFrame) -> DataFrame:
+    """Comparison table under its display headings."""
+    texts = with_percent_texts(stats)
+    headings = {
+        "country_name": "Country", "data_points": "Data Points", "mean_text": "Average",
+        "std_dev_text": "Volatility", "min_text": "Minimum", "max_text": "Maximum",
+    }
+    return texts.select(*[F.col(c).alias(h) for c, h in headings.items()])
+
+
 def year_average(
     feed: DataFrame, countries: Sequence[str] | None = None, years: tuple[int, int] | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macrotide.operators.load import conform, country_rows, with_serial_id, with_stamps
+from macrotide.operators.load import conform, with_serial_id, with_stamps
 from macrotide.schemas import TABLES
 
 FORMATS = ("parquet", "csv", "json")
@@ -111,7 +111,7 @@ def load_table(df: DataFrame, table: str, database: str, overwrite: bool = False
 
 def load_countries(merged: DataFrame, database: str) -> None:
     """Replace ``countries`` by the distinct (code, name) pairs of the frame."""
-    load_table(country_rows(merged), "countries", database, overwrite=True)
+    load_table(merged.select("country_code", "country_name"), "countries", database, overwrite=True)
 
 
 def load_jdbc(

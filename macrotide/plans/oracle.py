@@ -311,6 +311,16 @@ _SQL: dict[str, str] = {
         FROM inflation WHERE inflation_indicator = 'indicator R' GROUP BY year, country_code, country_name""",
     "comparison_stats": f"""SELECT country_name, count(inflation_rate) AS data_points, {_SPREAD} FROM inflation
         WHERE year BETWEEN 1996 AND 2001 GROUP BY country_name""",
+    "comparison_display": f"""SELECT country_name AS "Country", data_points AS "Data Points",
+        {_percent('mean')} AS "Average", {_percent('std_dev')} AS "Volatility", {_percent('min')} AS "Minimum",
+        {_percent('max')} AS "Maximum" FROM (
+            SELECT country_name, count(inflation_rate) AS data_points, {_SPREAD} FROM inflation
+            WHERE year BETWEEN 1996 AND 2001 GROUP BY country_name)""",
+    "commodity_stats_display": """SELECT commodity, format('${:,.2f}', avg(avg_annual_price)) AS avg_price,
+        format('${:,.2f}', min(avg_annual_price)) AS min_price, format('${:,.2f}', max(avg_annual_price)) AS max_price,
+        printf('%.2f', stddev_samp(avg_annual_price)) AS volatility,
+        max_by(avg_annual_price, year) > min_by(avg_annual_price, year) AS rising
+        FROM prices GROUP BY commodity""",
     "year_average": f"SELECT year, {_r('avg(value)', 6, 'avg_value')} FROM fx_inflation GROUP BY year ORDER BY year",
     "inflation_ranking": f"""SELECT country_code, {_r('avg(inflation_rate)', 6, 'avg_inflation')}
         FROM merged GROUP BY country_code ORDER BY 2 DESC""",

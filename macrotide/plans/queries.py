@@ -410,6 +410,18 @@ def comparison_stats(t: Tables) -> DataFrame:
     return analytics.comparison_stats(b.inflation(t), COUNTRIES, WINDOW)
 
 
+@query
+def comparison_display(t: Tables) -> DataFrame:
+    return analytics.comparison_display(analytics.comparison_stats(b.inflation(t), COUNTRIES, WINDOW))
+
+
+@query
+def commodity_stats_display(t: Tables) -> DataFrame:
+    return analytics.commodity_stats_display(
+        analytics.commodity_stats(b.annual_prices(t), COMMODITIES, YEARS)
+    )
+
+
 @query
 def year_average(t: Tables) -> DataFrame:
     return rounded(analytics.year_average(b.inflation_feed(t), COUNTRIES, YEARS), ["avg_value"])

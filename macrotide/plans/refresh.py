@@ -7,6 +7,8 @@ from real file sizes.
 
 from __future__ import annotations
 
+import argparse
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -20,6 +22,8 @@ from macrotide.operators.sinks import create_schema, load_countries, load_table,
 from macrotide.operators.standardize import normalize_columns, standardize_countries
 from macrotide.operators.stats import summary
 from macrotide.schemas import KEY_COMMODITIES, TABLES, WAGE_COLUMNS, YEAR_WINDOW
+from macrotide.session import configure, shared_folder
+from macrotide.sources import csv_feed, json_feed, xml_feed
 
 
 @dataclass(frozen=True)
@@ -50,11 +54,13 @@ def land(df: DataFrame, folder: str, name: str) -> DataFrame:
 
 def refresh(
     spark: SparkSession, inflation: DataFrame, commodities: DataFrame, wages: DataFrame,
-    folder: str, database: str, lookup: CountryLookup | None = None,
+    database: str, folder: str | None = None, lookup: CountryLookup | None = None,
     years: tuple[int, int] = YEAR_WINDOW, basket: Sequence[str] = KEY_COMMODITIES,
     wage_indicators: Mapping[str, str] = WAGE_COLUMNS,
 ) -> Refreshed:
-    """Run everything over landed feeds; ``folder`` is on storage all executors share."""
+    """Run everything over landed feeds. Stages are written to ``folder``, which all executors
+    must reach; without one, to a new folder under the session's ``spark.checkpoint.dir``."""
+    folder = folder or f"{shared_folder(spark)}/refresh-{uuid.uuid4().hex}"
     lookup = lookup or CountryLookup.iso(spark)
     inflation, wages, unmapped = standardize_feeds(inflation, wages, lookup)
     inflation = land(inflation, folder, "standardized_inflation")
@@ -76,3 +82,54 @@ def refresh(
     load_table(merged, "economic_indicators", database)
     tables = {name: spark.table(f"{database}.{name}") for name in TABLES}
     return Refreshed(merged, unmapped, summary(merged), validate(tables), table_counts(tables))
+
+
+def read_feeds(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three landed feeds in the formats they come in."""
+    inflation = {
+        "csv": lambda: csv_feed.read_inflation(spark, args.inflation),
+        "json": lambda: json_feed.parse_indicator_pages(json_feed.read_documents(spark, args.inflation)),
+    }[args.inflation_format]()
+    commodities = {
+        "csv": lambda: csv_feed.read_commodities(spark, args.commodities),
+        "sheet": lambda: csv_feed.read_commodity_sheet(spark, args.commodities),
+    }[args.commodity_format]()
+    wages = {
+        "csv": lambda: csv_feed.read_wages(spark, args.wages),
+        "table": lambda: csv_feed.read_wage_table(spark, args.wages, args.wage_dataset),
+        "xml": lambda: xml_feed.read_wage_xml(spark, args.wages, args.wage_dataset),
+    }[args.wage_format]()
+    return inflation, commodities, wages
+
+
+def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
+    parser = argparse.ArgumentParser(description="Standardise, merge, load and check the landed feeds.")
+    parser.add_argument("--inflation", required=True)
+    parser.add_argument("--inflation-format", choices=("csv", "json"), default="csv")
+    parser.add_argument("--commodities", required=True)
+    parser.add_argument("--commodity-format", choices=("csv", "sheet"), default="csv")
+    parser.add_argument("--wages", required=True)
+    parser.add_argument("--wage-format", choices=("csv", "table", "xml"), default="csv")
+    parser.add_argument("--wage-dataset", default="AWE")
+    parser.add_argument("--database", required=True)
+    parser.add_argument("--folder", help="shared folder for the stages; default: spark.checkpoint.dir")
+    parser.add_argument("--years", type=int, nargs=2, default=list(YEAR_WINDOW))
+    parser.add_argument("--input-bytes", type=int, help="total input size, to size the shuffles")
+    return parser.parse_args(argv)
+
+
+def main(argv: Sequence[str] | None = None) -> Refreshed:
+    args = arguments(argv)
+    spark = configure(
+        SparkSession.builder.appName("macrotide-refresh"), input_bytes=args.input_bytes
+    ).getOrCreate()
+    done = refresh(
+        spark, *read_feeds(spark, args), args.database, args.folder, years=tuple(args.years)
+    )
+    for frame in (done.summary, done.checks, done.counts, *done.unmapped.values()):
+        frame.show(10, truncate=False)
+    return done
+
+
+if __name__ == "__main__":
+    main()

@@ -1,23 +1,46 @@
 """Session settings the jobs were written for.
 
-The library functions never create a session; callers pass frames or their own
-session. ``configure`` only sets what the plans rely on: adaptive execution with
-partition coalescing and skew-join splitting, and UTC dates.
+The library functions never create a session; callers pass frames or their own session.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# Adaptive execution merges small shuffle partitions, splits skewed ones in joins and
+# switches to a broadcast when a side turns out small.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
+PARTITION_BYTES = 256 * 1024 * 1024
+MAX_PARTITIONS = 50_000
 
 
-def configure(builder: SparkSession.Builder, **extra: str) -> SparkSession.Builder:
-    for key, value in {**SETTINGS, **extra}.items():
+def shuffle_partitions(input_bytes: int, cores: int = 200) -> int:
+    """Shuffle partitions for an input of this size: about 256 MB each. Adaptive execution
+    merges partitions that stay small but never splits those of an aggregation, so the
+    number has to suit the largest shuffle."""
+    return max(cores, min(MAX_PARTITIONS, -(-input_bytes // PARTITION_BYTES)))
+
+
+def configure(
+    builder: SparkSession.Builder, settings: dict[str, str] | None = None,
+    input_bytes: int | None = None,
+) -> SparkSession.Builder:
+    chosen = dict(SETTINGS)
+    if input_bytes is not None:
+        chosen["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+    for key, value in {**chosen, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors share, as the cluster names it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir or name a folder on shared storage")
+    return folder.rstrip("/")

@@ -14,7 +14,7 @@ from macrotide.session import configure  # noqa: E402
 def spark():
     warehouse = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     builder = SparkSession.builder.master("local[8]").appName("tests")
-    session = configure(builder, **{
+    session = configure(builder, {
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.warehouse.dir": warehouse,

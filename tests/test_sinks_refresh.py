@@ -1,3 +1,4 @@
+import json
 import uuid
 from datetime import date
 
@@ -6,7 +7,8 @@ import pytest
 from conftest import values
 from macrotide.operators import sinks
 from macrotide.operators.quality import constraint_report
-from macrotide.plans.refresh import refresh
+from macrotide.plans.refresh import main, refresh
+from macrotide.session import shared_folder, shuffle_partitions
 from macrotide.schemas import COMMODITY_FEED, INFLATION_FEED, TABLES, WAGE_FEED
 
 
@@ -84,7 +86,7 @@ def test_refresh(spark, tmp_path, database):
     ], INFLATION_FEED)
     commodities = spark.createDataFrame([(2021, 1, "Gold", 10.0), (2021, 2, "Gold", 30.0), (2021, 1, "Wheat", 4.0)], COMMODITY_FEED)
     wages = spark.createDataFrame([("usa", 2021, "Average Annual Wages", 57500.0), ("GBR", 2021, "Average Annual Wages", 41000.0)], WAGE_FEED)
-    done = refresh(spark, inflation, commodities, wages, str(tmp_path), database)
+    done = refresh(spark, inflation, commodities, wages, database, str(tmp_path))
     assert values(done.merged, "country_code", "year", "inflation_rate", "commodity_price_index", "real_wage_adjusted") == [
         ("GBR", 2021, 0.025, 12.0, pytest.approx(40000.0)), ("USA", 2020, 0.012, None, None),
         ("USA", 2021, pytest.approx(0.010398), 12.0, pytest.approx(57500 / 1.010398)),
@@ -107,3 +109,36 @@ def test_refresh(spark, tmp_path, database):
     assert report["unique", "country_code, year"] == 1
     for name in ("standardized_inflation", "standardized_commodities", "standardized_wages", "merged"):
         assert (tmp_path / name).is_dir()
+
+
+def test_refresh_from_files(spark, tmp_path, database):
+    """Command line over landed files."""
+    record = {"indicator": {"id": "FP.CPI.TOTL.ZG"}, "country": {"value": "Germany"}, "countryiso3code": "DEU", "date": "2021", "value": 3.1}
+    (tmp_path / "pages.json").write_text(json.dumps([{"page": 1}, [record]]))
+    (tmp_path / "sheet.csv").write_text("a\nb\nc\nPeriod,Gold\n2021M01,10\n2021M02,20\n")
+    (tmp_path / "wages.csv").write_text("LOCATION,TIME_PERIOD,OBS_VALUE\nDEU,2021,51550\n")
+    done = main([
+        "--inflation", str(tmp_path / "pages.json"), "--inflation-format", "json",
+        "--commodities", str(tmp_path / "sheet.csv"), "--commodity-format", "sheet",
+        "--wages", str(tmp_path / "wages.csv"), "--wage-format", "table", "--wage-dataset", "Average Annual Wages",
+        "--database", database, "--folder", str(tmp_path / "stages"),
+    ])
+    assert (tmp_path / "stages" / "merged").is_dir()
+    assert values(done.merged, "country_code", "year", "inflation_rate", "commodity_price_index", "real_wage_adjusted") == [
+        ("DEU", 2021, pytest.approx(0.031), 15.0, pytest.approx(50000.0)),
+    ]
+
+
+def test_shuffle_sizes():
+    assert shuffle_partitions(1) == 200
+    assert shuffle_partitions(10 * 1024 ** 4) == 40_960
+    assert shuffle_partitions(100 * 1024 ** 4) == 50_000
+
+
+def test_shared_folder_is_the_clusters(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert shared_folder(spark) == named.rstrip("/")
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(spark)
