@@ -118,6 +118,9 @@ ISO_SHORT_NAMES = {
 }
 
 
+_SEPARATOR = "\u0001"
+
+
 def is_iso3_shaped(code: Column) -> Column:
     return code.rlike(r"^\p{L}{3}$")
 
@@ -174,19 +177,44 @@ class CountryLookup:
     def loose_match(self, text: Column, words: Column) -> Column:
         """First name that contains the text or lies in it, else first name sharing a word.
 
-        ``text`` and ``words`` come from ``loose_text`` and should be columns of their own, as
-        they are compared with every name. The name list is a constant in the plan, so rows
-        are matched where they are.
+        ``text`` and ``words`` come from ``loose_text`` and ``loose_words`` and should be columns
+        of their own. The names are constants in the plan, so rows are matched where they
+        are. Most texts match nothing, so each step starts with a test of all names at once:
+        a search in the joined names, one pattern for the names that may lie in the text, and
+        the first name of each word.
         """
-        names = _constant(
-            [{"name": n, "words": n.split(), "iso3": i} for n, i in self.names.items()],
-            "array<struct<name: string, words: array<string>, iso3: string>>",
+        ordered = list(self.names)
+        names = _constant(ordered, "array<string>")
+        codes = _constant(list(self.names.values()), "array<string>")
+
+        # Cleaned text never holds the separator, so a find lies within one name.
+        joined = F.lit(_SEPARATOR.join(ordered))
+        found = F.instr(joined, text)
+        containing = F.when(
+            F.contains(joined, text), F.size(F.split(F.substring(joined, F.lit(1), found), _SEPARATOR)) - 1
         )
-        contained = F.filter(
-            names, lambda n: F.contains(n["name"], text) | F.contains(text, n["name"])
+        lying_in = F.when(
+            text.rlike(_any_of(ordered)),
+            F.array_position(F.transform(names, lambda n: F.contains(text, n)), True) - 1,
         )
-        shared = F.filter(names, lambda n: F.arrays_overlap(n["words"], words))
-        return F.coalesce(F.get(contained, F.lit(0)), F.get(shared, F.lit(0)))["iso3"]
+        first_by_word: dict[str, int] = {}
+        for at, name in enumerate(ordered):
+            for word in name.split():
+                first_by_word.setdefault(word, at)
+        by_word = _constant(first_by_word, "map<string, int>")
+        sharing = F.array_min(F.transform(words, lambda w: F.try_element_at(by_word, w)))
+        return F.get(codes, F.coalesce(F.least(containing, lying_in), sharing).cast("int"))
+
+
+def _any_of(names: list[str]) -> str:
+    """Pattern that finds any of the names; alternatives are grouped by first letter."""
+    by_letter: dict[str, list[str]] = {}
+    for name in names:
+        by_letter.setdefault(name[0], []).append(name[1:])
+    return "|".join(
+        rf"\Q{letter}\E(?:" + "|".join(rf"\Q{rest}\E" if rest else "" for rest in rests) + ")"
+        for letter, rests in by_letter.items()
+    )
 
 
 def loose_text(code: Column) -> Column:
@@ -199,5 +227,5 @@ def loose_words(text: Column) -> Column:
     return F.split(text, r"(?U)\s+")
 
 
-def _constant(rows: list[dict], schema: str) -> Column:
-    return F.from_json(F.lit(json.dumps(rows)), schema)
+def _constant(value: list | dict, schema: str) -> Column:
+    return F.from_json(F.lit(json.dumps(value)), schema)

@@ -7,7 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_BLANKS = " \t\r\n"
+# Every character that counts as white space in Unicode text.
+WHITE_SPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 DATE_PATTERNS = ("yyyy'M'MM", "yyyy'M'M", "yyyy/MM/dd", "MM/dd/yyyy", "MMM yyyy", "MMM-yyyy")
 
@@ -19,7 +23,7 @@ def nan_to_null(value: Column) -> Column:
 def parse_number(text: Column) -> Column:
     """Decimal number. Java's parser also reads type suffixes ('5d'), hexadecimal and words
     such as 'inf'; none of them is a number in a feed."""
-    plain = F.btrim(text, F.lit(_BLANKS))
+    plain = strip(text)
     ends_well = F.substring(plain, -1, 1).between("0", "9") | plain.endswith(".")
     hexadecimal = plain.contains("x") | plain.contains("X")
     return F.when(ends_well & ~hexadecimal, plain.try_cast("double"))
@@ -41,7 +45,7 @@ def parse_date(text: Column, patterns: Sequence[str] = DATE_PATTERNS) -> Column:
 
 def strip(text: Column) -> Column:
     """All leading and trailing white space (``trim`` takes blanks only)."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def strip_punctuation(text: Column, keep: str = "", unicode: bool = False) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def join_unique(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", spread: int = 8
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", spread: int = 4
 ) -> DataFrame:
     """Rows of ``left`` with the columns of ``right``, which is unique on the key.
 

@@ -49,10 +49,11 @@ def standardize_countries(
     if column not in df.columns:
         return df, df.sparkSession.createDataFrame([], f"`{column}` string")
     prepared, iso3 = _coded(df, lookup, column)
+    rest = [c for c in df.columns if c != column]
     # Exploding "the code or nothing" drops unmapped rows and matches each row once; a filter
     # on the code would be pushed down and match it a second time.
-    rest = [c for c in df.columns if c != column]
-    mapped = prepared.select(*rest, F.explode(F.array_compact(F.array(iso3))).alias(column))
+    coded = prepared.select(*rest, iso3.alias("__iso3"))
+    mapped = coded.select(*rest, F.explode(F.array_compact(F.array("__iso3"))).alias(column))
     unmapped = prepared.filter(iso3.isNull()).select(column).distinct()
     return mapped.select(*df.columns), unmapped
 
