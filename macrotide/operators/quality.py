@@ -109,19 +109,20 @@ def validate(tables: Mapping[str, DataFrame], since: int = 2020) -> DataFrame:
 def constraint_report(df: DataFrame, table: str) -> DataFrame:
     """Violations of the declared constraints of a table as (constraint, subject, violations)."""
     spec: Table = TABLES[table]
-    required = [c.name for c in spec.columns if c.required and c.name in df.columns]
-    limits = {c.name: c.max_length for c in spec.columns if c.max_length and c.name in df.columns}
-    parts = [
-        key_violations(df, spec.key).agg(F.count("*").alias("violations")).select(
-            F.lit("unique").alias("constraint"), F.lit(", ".join(spec.key)).alias("subject"), "violations"
-        ),
-        null_violations(df, required).select(
-            F.lit("not null").alias("constraint"), F.col("column").alias("subject"),
-            F.col("null_rows").alias("violations"),
-        ),
-        length_violations(df, limits).select(
-            F.lit("length").alias("constraint"), F.col("column").alias("subject"),
-            F.col("too_long_rows").alias("violations"),
-        ),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    present = [c for c in spec.columns if c.name in df.columns]
+    rules = {("not null", c.name): F.col(c.name).isNull() for c in present if c.required}
+    rules |= {
+        ("length", c.name): F.char_length(F.col(c.name)) > c.max_length for c in present if c.max_length
+    }
+    counts = df.agg(*[F.count_if(rule).alias(f"rule_{i}") for i, rule in enumerate(rules.values())])
+    by_rule = counts.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(constraint).alias("constraint"), F.lit(column).alias("subject"),
+            F.col(f"rule_{i}").alias("violations"),
+        )
+        for i, (constraint, column) in enumerate(rules)
+    ])))
+    repeated = key_violations(df, spec.key).agg(F.count("*").alias("violations")).select(
+        F.lit("unique").alias("constraint"), F.lit(", ".join(spec.key)).alias("subject"), "violations"
+    )
+    return repeated.unionByName(by_rule)

@@ -34,9 +34,13 @@ def spread(value: str) -> list[Column]:
 
 
 def summary(df: DataFrame) -> DataFrame:
-    """Row count, numbers of countries and years and the year span, in one pass."""
-    return df.agg(
-        F.count("*").alias("total_records"),
+    """Row count, numbers of countries and years and the year span, in one pass.
+
+    Rows are counted per country and year first: several distinct counts over the rows
+    themselves would make Spark copy each row once per count.
+    """
+    return df.groupBy("country_code", "year").agg(F.count("*").alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
         F.countDistinct("country_code").alias("countries"),
         F.countDistinct("year").alias("years"),
         F.min("year").alias("min_year"),

@@ -169,7 +169,6 @@ _SQL: dict[str, str] = {
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""",
     "oecd_clean": f"""SELECT country_code, year, 'AWE' AS indicator, {_r('value')}
         FROM fx_wage WHERE indicator <> '5-LOW'""",
-    "oecd_clean_missing_column": """SELECT country_code, year, 'AWE' AS indicator, value FROM fx_wage WHERE false""",
     "union_indicators": """SELECT * FROM (
         SELECT concat('S', l_suppkey) AS country_code, 'any' AS country_name, 'FP.CPI.TOTL.ZG' AS indicator_code,
                'Inflation, consumer prices (annual %)' AS indicator_name,
@@ -234,8 +233,6 @@ _SQL: dict[str, str] = {
         (SELECT round(avg(avg_annual_wage) + 2e-8, 5) FROM wages) AS avg_wage,
         CAST(25 AS INT) AS countries, CAST(7 AS INT) AS years
         FROM (SELECT avg(inflation_rate) AS m FROM inflation)""",
-    "kpis_empty_selection": """SELECT 0.0245::DOUBLE AS avg_inflation, 0.0045::DOUBLE AS inflation_delta,
-        48500.0::DOUBLE AS avg_wage, CAST(1 AS INT) AS countries, CAST(7 AS INT) AS years""",
     "inflation_over_time": f"""SELECT year, country_code, country_name, {_r('avg(inflation_rate)', 6, 'inflation_rate')}
         FROM inflation WHERE year BETWEEN 1996 AND 2001 GROUP BY year, country_code, country_name""",
     "avg_by_country": f"""SELECT country_code, {_r('m', 6, 'inflation_rate')}, country_name

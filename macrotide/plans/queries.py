@@ -101,12 +101,6 @@ def oecd_clean(t: Tables) -> DataFrame:
     return rounded(clean.clean_wage_table(table, "AWE"), ["value"])
 
 
-@query
-def oecd_clean_missing_column(t: Tables) -> DataFrame:
-    table = b.wage_feed(t).select(F.col("country_code").alias("LOCATION"), F.col("year").alias("Time"))
-    return clean.clean_wage_table(table, "AWE")
-
-
 @query
 def union_indicators(t: Tables) -> DataFrame:
     """Row-level feeds of two indicators, one without names, and one that could not be read."""
@@ -278,12 +272,6 @@ def kpis(t: Tables) -> DataFrame:
     return rounded(frame, ["avg_inflation", "inflation_delta", "avg_wage"], 5)
 
 
-@query
-def kpis_empty_selection(t: Tables) -> DataFrame:
-    frame = analytics.kpis(b.inflation(t), b.wages(t), ["XXX"], YEARS)
-    return rounded(frame, ["avg_inflation", "inflation_delta", "avg_wage"], 5)
-
-
 @query
 def inflation_over_time(t: Tables) -> DataFrame:
     return rounded(analytics.inflation_over_time(b.inflation(t), COUNTRIES, WINDOW), ["inflation_rate"])

@@ -88,6 +88,7 @@ def test_commodity_stats_and_texts(spark):
 def test_summary_and_description(spark):
     frame = spark.createDataFrame([("A", 2000, 1.0), ("A", 2001, 3.0), ("B", 2001, None)], "country_code string, year int, inflation_rate double")
     assert tuple(stats.summary(frame).first()) == (3, 2, 2, 2000, 2001)
+    assert tuple(stats.summary(frame.limit(0)).first()) == (0, 0, 0, None, None)
     assert tuple(stats.describe_numeric(frame).first()) == ("inflation_rate", 2, 2.0, pytest.approx(2 ** 0.5), 1.0, 3.0)
 
 
@@ -133,3 +134,26 @@ def test_selections_that_compare_nothing(spark):
 def test_names_follow_the_latest_year(spark):
     frame = spark.createDataFrame([("A", "old", 2000), ("A", "new", 2005), ("A", "mid", 2003)], "country_code string, country_name string, year int")
     assert values(analytics.latest_names(frame)) == [("A", "new")]
+
+
+def test_kpis(spark):
+    rates = spark.createDataFrame([("A", 2000, 0.01), ("A", 2001, 0.05), ("B", 2001, 0.5)], "country_code string, year int, inflation_rate double")
+    wages = spark.createDataFrame([("A", 2000, 100.0), ("A", 2001, None)], "country_code string, year int, avg_annual_wage double")
+    assert tuple(analytics.kpis(rates, wages, ["A"], (2000, 2001)).first()) == (pytest.approx(0.03), pytest.approx(0.01), 100.0, 1, 2)
+    assert tuple(analytics.kpis(rates, wages, ["A"], (2000, 2000)).first())[:3] == (0.01, None, 100.0)
+    assert tuple(analytics.kpis(rates, wages, ["A"], (2001, 2001)).first())[2] is None
+    assert tuple(analytics.kpis(rates, wages, [], (2000, 2023)).first()) == (0.0245, 0.0045, 48500.0, 0, 24)
+
+
+def test_filter_options(spark):
+    rates = spark.createDataFrame(
+        [(f"C{i}", f"name {i}", 2000 + i, kind) for i in range(7) for kind in ("A", "CPI")],
+        "country_code string, country_name string, year int, inflation_indicator string",
+    )
+    prices = spark.createDataFrame([(c,) for c in "fedcba"], "commodity string")
+    options = {(r.kind, r.value): (r.label, r.preselected) for r in analytics.filter_options(rates, prices).collect()}
+    assert len(options) == 7 + 6 + 2 + 2
+    assert [v for (k, v), (_, chosen) in sorted(options.items()) if k == "country" and chosen] == ["C0", "C1", "C2", "C3", "C4"]
+    assert [v for (k, v), (_, chosen) in sorted(options.items()) if k == "commodity" and chosen] == ["a", "b", "c", "d"]
+    assert options["indicator", "CPI"] == ("CPI", True) and options["indicator", "A"] == ("A", False)
+    assert options["first_year", "2000"][1] and options["last_year", "2006"][1]
