@@ -40,7 +40,10 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # Kept, as each read lists files and looks up the schema anew.
+        frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, frame)
+        return frame
 
 
 def country_code(nation_key: Column) -> Column:
