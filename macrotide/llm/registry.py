@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from macrotide.llm.mixing import op6_mixing
+from macrotide.llm.simhash import op1_simhash
 
-QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op6_mixing,)
+QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op1_simhash, op6_mixing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
