@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from macrotide.llm.decontamination import op7_decontamination
 from macrotide.llm.mixing import op6_mixing
+from macrotide.llm.quality_rules import op4_quality_rules
+from macrotide.llm.secret_scan import op3_secret_scan
 from macrotide.llm.simhash import op1_simhash
 
-QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op1_simhash, op6_mixing)
+QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op1_simhash, op3_secret_scan, op4_quality_rules, op6_mixing, op7_decontamination)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
