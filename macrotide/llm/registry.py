@@ -11,8 +11,9 @@ from macrotide.llm.mixing import op6_mixing
 from macrotide.llm.quality_rules import op4_quality_rules
 from macrotide.llm.secret_scan import op3_secret_scan
 from macrotide.llm.simhash import op1_simhash
+from macrotide.llm.warc import op10_warc
 
-QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op1_simhash, op3_secret_scan, op4_quality_rules, op6_mixing, op7_decontamination)
+QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op1_simhash, op3_secret_scan, op4_quality_rules, op6_mixing, op7_decontamination, op10_warc)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
