@@ -39,6 +39,12 @@ MOST_REPEATS = 3
 BLOCK_WORDS = 25_000
 MOST_BLOCKS = 500_000
 BLOCKS_A_SHARD = 64
+SEED = 20
+
+
+def key_of(documents: DataFrame, seed: int = SEED):
+    """The hash that permutes documents: of id and text."""
+    return F.xxhash64(F.lit(seed), documents["doc_id"], F.coalesce(documents["text"].cast("string"), F.lit("")))
 
 
 def sized(documents: DataFrame, seed: int) -> DataFrame:
@@ -46,7 +52,7 @@ def sized(documents: DataFrame, seed: int) -> DataFrame:
     text = text_or_empty()
     return documents.select(
         "doc_id", F.col("source").cast("string").alias("source"), word_count(text).alias("size"),
-        F.xxhash64(F.lit(seed), F.col("doc_id"), text).alias("key"))
+        key_of(documents, seed).alias("key"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
@@ -127,7 +133,7 @@ def split_quotas(quotas: DataFrame, draws: int, shards: int, seed: int) -> DataF
     return nodes.select(F.col("low").alias("shard"), F.inline("quotas")).select("rank", "shard", F.col("quota").alias("blocks"))
 
 
-def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = 20) -> DataFrame:
+def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken, and the output shards of its copies."""
     sizes = staged(sized(documents, seed))
     chosen = staged(targets(sizes, weights))
@@ -187,7 +193,7 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = 20
         "key")
 
 
-def shuffled(mixed: DataFrame, seed: int = 20) -> DataFrame:
+def shuffled(mixed: DataFrame, seed: int = SEED) -> DataFrame:
     """A row per copy, shard by shard, in random order within each shard."""
     return (
         mixed.select("doc_id", F.posexplode("shards").alias("copy", "shard"), "key").repartition("shard")
