@@ -12,10 +12,12 @@ from macrotide.llm.quality_classifier import op5_quality_classifier
 from macrotide.llm.quality_rules import op4_quality_rules
 from macrotide.llm.secret_scan import op3_secret_scan
 from macrotide.llm.simhash import op1_simhash
+from macrotide.llm.suffix_dedup import op9_suffix_dedup
 from macrotide.llm.toxicity import op2_toxicity
 from macrotide.llm.warc import op10_warc
 
-QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op1_simhash, op2_toxicity, op3_secret_scan, op4_quality_rules, op5_quality_classifier, op6_mixing, op7_decontamination, op10_warc)
+QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op1_simhash, op2_toxicity, op3_secret_scan, op4_quality_rules, op5_quality_classifier, op6_mixing, op7_decontamination,
+    op9_suffix_dedup, op10_warc)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
