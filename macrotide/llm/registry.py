@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from macrotide.llm.decontamination import op7_decontamination
+from macrotide.llm.lm_score import op8_lm_score
 from macrotide.llm.mixing import op6_mixing
 from macrotide.llm.quality_classifier import op5_quality_classifier
 from macrotide.llm.quality_rules import op4_quality_rules
@@ -16,8 +17,9 @@ from macrotide.llm.suffix_dedup import op9_suffix_dedup
 from macrotide.llm.toxicity import op2_toxicity
 from macrotide.llm.warc import op10_warc
 
-QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op1_simhash, op2_toxicity, op3_secret_scan, op4_quality_rules, op5_quality_classifier, op6_mixing, op7_decontamination,
-    op9_suffix_dedup, op10_warc)
+QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
+    op1_simhash, op2_toxicity, op3_secret_scan, op4_quality_rules, op5_quality_classifier, op6_mixing, op7_decontamination,
+    op8_lm_score, op9_suffix_dedup, op10_warc)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
