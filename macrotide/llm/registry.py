@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from macrotide.llm.decontamination import op7_decontamination
 from macrotide.llm.lm_score import op8_lm_score
 from macrotide.llm.mixing import op6_mixing
+from macrotide.llm.oracle import ORACLE
 from macrotide.llm.quality_classifier import op5_quality_classifier
 from macrotide.llm.quality_rules import op4_quality_rules
 from macrotide.llm.secret_scan import op3_secret_scan
@@ -27,4 +28,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
