@@ -1,21 +1,26 @@
 """Repeated passages: bytes covered by a string of `LENGTH` bytes that starts anywhere else too.
 
-Not by merged Burrows-Wheeler transforms: the README has the figures of that method, whose cost per
-byte does not fit, and says what is done here instead. The result is the one that the merged
-transforms define: the suffixes that share `LENGTH` bytes with another one.
-
-Anchors. Every string of `LENGTH` bytes (a window) is named by the least hash of the `GRAM`-byte
-strings in it; equal windows have equal names, so windows whose name occurs once are done.
-Consecutive windows of a text with one name form a run, named by its content as well. Equal runs
-decide each other as a whole. Where runs of one name differ, one run of each content sends the
-hashes of its windows, and windows with equal hashes are repeated. Names and hashes are 64-bit.
+Method. Suffixes are merged by interleave refinement. Every text piece is a shard. The interleave of
+all suffixes of a merge is refined from the back: a round puts one more symbol in front of what is
+ordered already, as the backward step of a Burrows-Wheeler transform does, splits the blocks by it,
+and drops suffixes that are alone in their block, since nothing shares their prefix. After `SYMBOLS`
+rounds the common prefixes are `LENGTH` bytes long, and the blocks left are the repeated intervals;
+nothing is sorted by whole suffixes. A symbol stands for `LENGTH` / `SYMBOLS` bytes (its 64-bit hash),
+which takes 8 rounds where single bytes would take 400.
+
+What is merged. A merge of whole shards would end in one task, so suffixes are first dealt to merges
+that cannot share a block: every string of `LENGTH` bytes (a window) is named by the least hash of
+the `GRAM`-byte strings in it, and equal windows have equal names. Windows whose name occurs once are
+done. Consecutive windows of a text with one name form a run, named by its content as well. Equal
+runs decide each other as a whole, and one of them stands for all in the merge of the name, which is
+needed only where runs differ. If more than `CROWD` different runs share a name, their windows are
+dealt to several merges by the hash of the window, and one round compares whole windows.
 
 Texts that occur several times need none of this: they are repeated from end to end.
 
-Scale. Rows are runs (one per about 170 bytes), and window hashes only of what differs between near
-copies; texts are shuffled once. Numbers of one name are joined, never gathered: a passage in a third of
-all texts is one class of equal runs, and where very many different runs share a name, their windows are
-dealt out by hash. Long texts are read in blocks of `BLOCK` windows.
+Scale. Rows are runs (one per about 170 bytes) and the text pieces around what differs between near
+copies; texts are shuffled once. Runs of one name are joined, never gathered: a passage in a third of
+all texts is one class of equal runs. Long texts are read in blocks of `BLOCK` windows.
 
 Cases. Null texts have no bytes. Texts shorter than `LENGTH` bytes lose nothing. Repeated rows are
 separate documents, hence repeat each other. An empty table gives an empty result. Other columns are
@@ -34,8 +39,9 @@ from macrotide.llm.common import map_batches, staged, table
 
 LENGTH, GRAM = 400, 64
 BLOCK = 1 << 20
-CROWD = 500
-CHUNK_BYTES = 32 << 20
+CROWD = 200
+SYMBOLS = 8
+MERGE_WINDOWS = 2_000_000
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 MOST = np.uint64(2 ** 64 - 1)
@@ -148,67 +154,96 @@ def decided(runs: DataFrame) -> DataFrame:
         (F.col("n") > 1).alias("whole"), (several & lead).alias("sends"))
 
 
-def window_hashes(texts: DataFrame, length: int) -> DataFrame:
-    """(name, part, rid, whole, start, hashes, places) of the runs to be compared; texts: (rid, text, runs)."""
+def pieces(texts: DataFrame, length: int) -> DataFrame:
+    """(name, part, rid, whole, start, count, data, places) of the runs to be compared; texts: (rid,
+    text, runs). data: the bytes of the run; in a crowd the hashes of the windows at `places`."""
+    columns = ("name", "part", "rid", "whole", "start", "count", "data", "places")
+
     def work(batches):
         hashes = Hashes()
         for batch in batches:
             for rid, text, runs in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                out = {c: [] for c in ("name", "part", "rid", "whole", "start", "hashes", "places")}
-                data = np.frombuffer(text or b"", np.uint8)
-                for r in sorted(runs, key=lambda r: r["start"]):
-                    sums = hashes.sums(data[r["start"]:r["start"] + r["count"] + length - 1])
-                    windows = hashes.all_of(sums, length)
+                out = {c: [] for c in columns}
+
+                def put(run, part, count, data, places, out=out, rid=rid):
+                    for c, v in zip(columns, (run["name"], part, rid, run["whole"], run["start"], count, data, places), strict=True):
+                        out[c].append(v)
+
+                for r in runs:
+                    data = (text or b"")[r["start"]:r["start"] + r["count"] + length - 1]
+                    if r["parts"] == 1:
+                        put(r, 0, r["count"], data, b"")
+                        continue
+                    windows = hashes.all_of(hashes.sums(np.frombuffer(data, np.uint8)), length)
                     part = (windows % np.uint64(r["parts"])).astype(np.int64)
-                    for p in range(r["parts"]):
-                        here = np.flatnonzero(part == p) if r["parts"] > 1 else None
-                        if here is None or len(here):
-                            for c in ("name", "whole", "start"):
-                                out[c].append(r[c])
-                            out["part"].append(p)
-                            out["rid"].append(rid)
-                            out["hashes"].append((windows if here is None else windows[here]).tobytes())
-                            out["places"].append(b"" if here is None else here.astype(np.int32).tobytes())
+                    for p in np.unique(part).tolist():
+                        here = np.flatnonzero(part == p)
+                        put(r, p, len(here), windows[here].tobytes(), here.astype(np.int32).tobytes())
                 yield out
 
     return map_batches(texts.select("rid", "text", "runs"),
-                       "name bigint, part bigint, rid bigint, whole boolean, start bigint, hashes binary, places binary", work)
-
-
-def equal_windows(sent: DataFrame) -> DataFrame:
+                       "name bigint, part bigint, rid bigint, whole boolean, start bigint, count bigint, data binary, places binary", work)
+
+
+def refined(symbols: list[np.ndarray]) -> np.ndarray:
+    """Whether a suffix shares all its symbols with another; symbols: first to last, one array each."""
+    alive = np.arange(len(symbols[0]))
+    block = np.zeros(len(alive), np.uint64)
+    for symbol in reversed(symbols):
+        key = mixed(symbol[alive] + block * np.uint64(BASE))
+        order = np.argsort(key)
+        key = key[order]
+        group = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)]) - 1
+        shared = np.bincount(group)[group] > 1
+        alive, block = alive[order[shared]], group[shared].astype(np.uint64)
+        if not len(alive):
+            break
+    same = np.zeros(len(symbols[0]), bool)
+    same[alive] = True
+    return same
+
+
+def merged(rows: list[dict], hashes: Hashes, length: int) -> list[np.ndarray]:
+    """For each piece, which of its windows are repeated among the pieces."""
+    width = -(-length // SYMBOLS)
+    if rows[0]["places"]:
+        same = refined([np.concatenate([np.frombuffer(r["data"], np.uint64) for r in rows])])
+    else:
+        grams = hashes.all_of(hashes.sums(np.frombuffer(b"".join(r["data"] for r in rows), np.uint8)), width)
+        ends = np.cumsum([len(r["data"]) for r in rows])
+        first = np.concatenate([np.arange(e - len(r["data"]), e - length + 1) for e, r in zip(ends, rows, strict=True)])
+        same = refined([grams[first + min(k * width, length - width)] for k in range(SYMBOLS)])
+    return np.split(same, np.cumsum([r["count"] for r in rows])[:-1])
+
+
+def equal_windows(sent: DataFrame, length: int) -> DataFrame:
     """(rid, spans): window starts that are repeated, among the runs not decided as a whole."""
-    def flagged(rows: list[tuple]) -> dict[str, list]:
-        hashes = [np.frombuffer(r[5], np.uint64) for r in rows]
-        every = np.concatenate(hashes)
-        order = np.argsort(every, kind="stable")
-        ranked = every[order]
-        same = np.zeros(len(every), bool)
-        equal = ranked[1:] == ranked[:-1]
-        same[order[1:][equal]] = True
-        same[order[:-1][equal]] = True
-        out, at = {"rid": [], "spans": []}, 0
-        for r, h in zip(rows, hashes, strict=True):
-            hit = np.flatnonzero(same[at:at + len(h)])
-            at += len(h)
-            if len(hit) and not r[3]:
-                places = np.frombuffer(r[6], np.int32)[hit] if r[6] else hit
-                edges = np.flatnonzero(np.diff(places) > 1)
-                starts, stops = places[np.concatenate([[0], edges + 1])], places[np.append(edges, len(places) - 1)] + 1
-                out["rid"].append(r[2])
-                out["spans"].append([{"start": int(a) + r[4], "stop": int(b) + r[4]} for a, b in zip(starts, stops, strict=True)])
+    def spans_of(rows: list[dict], hashes: Hashes) -> dict[str, list]:
+        out = {"rid": [], "spans": []}
+        crowded, plain = [r for r in rows if r["places"]], [r for r in rows if not r["places"]]
+        for some in filter(None, (crowded, plain)):
+            for r, same in zip(some, merged(some, hashes, length), strict=True):
+                hit = np.flatnonzero(same)
+                if r["whole"] or not len(hit):
+                    continue
+                at = np.frombuffer(r["places"], np.int32)[hit] if r["places"] else hit
+                edges = np.flatnonzero(np.diff(at) > 1)
+                starts, stops = at[np.concatenate([[0], edges + 1])] + r["start"], at[np.append(edges, len(at) - 1)] + r["start"] + 1
+                out["rid"].append(r["rid"])
+                out["spans"].append([{"start": a, "stop": b} for a, b in zip(starts.tolist(), stops.tolist(), strict=True)])
         return out
 
     def work(batches):
-        rows, size = [], 0
+        hashes, rows, size = Hashes(), [], 0
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size > CHUNK_BYTES and row[:2] != rows[-1][:2]:  # groups stay together
-                    yield flagged(rows)
+            for row in batch.to_pylist():
+                if size > MERGE_WINDOWS and (row["name"], row["part"]) != (rows[-1]["name"], rows[-1]["part"]):  # merges stay together
+                    yield spans_of(rows, hashes)
                     rows, size = [], 0
                 rows.append(row)
-                size += len(row[5])
+                size += row["count"]
         if rows:
-            yield flagged(rows)
+            yield spans_of(rows, hashes)
 
     grouped = sent.repartition("name", "part").sortWithinPartitions("name", "part")
     return map_batches(grouped, "rid bigint, spans array<struct<start:bigint,stop:bigint>>", work)
@@ -260,7 +295,7 @@ def repeated(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     same = (F.col("text_id") == F.coalesce("of_id", F.lit(-1))) & (F.col("text_digest") == F.col("of_digest"))
     senders = texts.join(marked.where(F.size("runs") > 0), same)
     single = marked.where(~F.col("copy"))
-    spans = equal_windows(window_hashes(senders, length)).union(single.where(F.size("spans") > 0).select("rid", "spans"))
+    spans = equal_windows(pieces(senders, length), length).union(single.where(F.size("spans") > 0).select("rid", "spans"))
     merged = spans.groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     cut = merged.join(single.drop("spans", "runs", "copy"), "rid")
     changed = staged(removed(texts.join(cut, same), length)).withColumnRenamed("rid", "changed")
