@@ -44,12 +44,15 @@ WHOLE = 0.01
 CACHE = 200_000
 LETTERS = 64
 LEET = str.maketrans("013457@$!|", "oieastasii")
+AROUND = "$@!|*#%&.,;:?\"'()[]{}<>-_"
 SENTENCE_END = re.compile(r"[.!?\n]+(?=\s|$)")
 SPELLED = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .*_-][^\W\d_]){2,}(?![^\W_])")
 
 
 def folded(word: str) -> str:
-    return "".join(c for c in word.lower().translate(LEET) if c.isalpha())
+    """Letters of the word without signs around it; three or more equal ones in a row count once."""
+    bare = word.lower().strip(AROUND).translate(LEET)
+    return re.sub(r"(.)\1{2,}", r"\1", "".join(c for c in bare if c.isalpha()))
 
 
 def sentences(text: str | None) -> list[list[str]]:
