@@ -39,7 +39,7 @@ from macrotide.llm.common import bucket_of, map_batches, staged, table
 
 SPAN, DECAY, SHARP = 6, 0.7, 6
 LANDMARKS, COMMON = 72, 8
-TRAINING, SENTENCES, ROUNDS = 4_000, 12, 4
+TRAINING, SENTENCES, ROUNDS = 2_500, 8, 4
 WHOLE = 0.01
 CACHE = 200_000
 LETTERS = 64
@@ -273,8 +273,9 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", fold=No
 
     rows = map_batches(texts.select("label", "text", "known_id"), "known_id bigint, label int, tops array<float>, totals array<double>", bagged).toArrow()
     rows = rows.sort_by([("known_id", "ascending")])
-    tops = [np.asarray(r.values, np.float64).reshape(-1, len(model.landmarks)) for r in rows["tops"]]
-    model.fit(tops, np.array(rows["totals"].to_pylist()), rows["label"].to_numpy())
+    tops = [r.values.to_numpy().reshape(-1, len(model.landmarks)) for r in rows["tops"]]
+    whole = rows["totals"].combine_chunks().flatten().to_numpy().reshape(-1, len(model.landmarks))
+    model.fit(tops, whole, rows["label"].to_numpy())
     return model
 
 
