@@ -74,16 +74,17 @@ def clean_commodity_sheet(sheet: DataFrame) -> DataFrame:
     key = date_column(sheet)
     if not [c for c in sheet.columns if c != key and not c.startswith("Unnamed")]:
         return sheet
-    keyed = sheet.withColumn(key, F.col(f"`{key}`").cast("string"))
-    cells = wide_to_long(keyed, key, "commodity", "price")
+    # Dates and numbers are parsed once, on the sheet row; only typed cells are unpivoted.
+    names = [c for c in sheet.columns if c != key and not c.startswith("Unnamed")]
+    date = parse_date(F.col(f"`{key}`").cast("string"))
+    cells = F.array(*[
+        F.struct(F.lit(c.strip()).alias("commodity"), parse_number(F.col(f"`{c}`").cast("string")).alias("price"))
+        for c in names
+    ])
     return (
-        cells.select(
-            parse_date(F.col(f"`{key}`")).alias("date"),
-            strip(F.col("commodity")).alias("commodity"),
-            parse_number(F.col("price")).alias("price"),
-        )
-        .na.drop(subset=["date", "price"])
-        .select(F.year("date").alias("year"), F.month("date").alias("month"), "commodity", "price")
+        sheet.select(F.explode(F.array_compact(F.array(date))).alias("date"), cells.alias("cells"))
+        .select(F.year("date").alias("year"), F.month("date").alias("month"), F.inline("cells"))
+        .filter(F.col("price").isNotNull())
     )
 
 

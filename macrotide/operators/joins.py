@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 
 
 def join_unique(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", spread: int = 4
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", spread: int = 1
 ) -> DataFrame:
     """Rows of ``left`` with the columns of ``right``, which is unique on the key.
 
-    One key may hold a large share of ``left``. Its rows are told apart by a hash of their
-    content and ``right``, the smaller side, is repeated once per hash value, so they go to
-    ``spread`` tasks. The extra key also puts a shuffle of its own on both sides, which is what
-    lets adaptive execution split a partition that is still too large. Where Spark sees that
-    ``right`` is small it broadcasts it as usual.
+    One key may hold a large share of ``left``. Adaptive execution splits its partition where
+    both sides come straight from a shuffle, and broadcasts a small ``right``. Where another
+    operator needs the rows by key right after the join, it cannot; ``spread`` above 1 then
+    tells the rows of a key apart by a hash of their content and repeats ``right`` so often.
     """
+    if spread == 1:
+        return left.join(right, list(on), how)
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(spread)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
     salted = left.withColumn("__salt", salt).join(

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from macrotide.operators.analytics import latest_names
 from macrotide.schemas import TABLES
 
 
@@ -27,18 +29,47 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return rows.distinct() if table == "countries" else rows
 
 
+def rules(df: DataFrame, table: str) -> dict[str, Column]:
+    """What a row of ``df`` must not do to go into the table: lack a required value, be too long."""
+    found = {}
+    for c in TABLES[table].columns:
+        if c.name in df.columns:
+            if c.required:
+                found[f"{c.name} is null"] = F.col(c.name).isNull()
+            if c.max_length:
+                found[f"{c.name} is longer than {c.max_length}"] = F.char_length(F.col(c.name)) > c.max_length
+    return found
+
+
+def breaks(df: DataFrame, table: str) -> Column:
+    return reduce(Column.__or__, (F.coalesce(r, F.lit(False)) for r in rules(df, table).values()), F.lit(False))
+
+
+def rejected(df: DataFrame, table: str) -> DataFrame:
+    """(table, rule, row) of the rows that break a rule, with the first rule they break."""
+    first = F.coalesce(*[F.when(rule, F.lit(name)) for name, rule in rules(df, table).items()], F.lit(None).cast("string"))
+    return df.select(F.lit(table).alias("table"), first.alias("rule"), F.to_json(F.struct(*df.columns)).alias("row")).filter(
+        F.col("rule").isNotNull())
+
+
 def country_rows(merged: DataFrame) -> DataFrame:
-    """Distinct (code, name) pairs; code and name alone identify a row of ``countries``."""
-    return merged.select("country_code", "country_name").distinct()
+    """One (code, name) row per code, its latest name: the code is the key of ``countries``."""
+    dated = merged if "year" in merged.columns else merged.withColumn("year", F.lit(0))
+    return latest_names(dated)
 
 
 def one_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row per key, always the same one: the smallest in the order of the other columns.
+    """One row per key, always the same one: the smallest in the order of the other columns,
+    values before nulls.
 
-    A plain aggregation, so copies are reduced in each task before the shuffle.
+    A plain aggregation, so copies are reduced in each task before the shuffle. A single other
+    column is a plain minimum, which needs no sorting.
     """
     rest = [c for c in df.columns if c not in key]
-    kept = df.groupBy(*key).agg(F.min(F.struct(*rest)).alias("__row"))
+    if len(rest) == 1:
+        return df.groupBy(*key).agg(F.min(rest[0]).alias(rest[0])).select(*df.columns)
+    order = [part for c in rest for part in (F.col(c).isNull().alias(f"__no_{c}"), F.col(c))]
+    kept = df.groupBy(*key).agg(F.min(F.struct(*order)).alias("__row"))
     return kept.select(*[F.col(c) if c in key else F.col(f"__row.{c}").alias(c) for c in df.columns])
 
 
@@ -59,13 +90,14 @@ def upsert(
 ) -> DataFrame:
     """Existing rows with those of ``incoming`` put over them by key.
 
-    A row that existed keeps its id and creation stamp; whatever comes in is stamped now.
+    A row that existed keeps its id and creation stamp; whatever comes in is stamped now, and
+    new rows get ids above the highest. Keys match null-safe.
     ``incoming`` must be unique on the key (see ``one_per_key``). One full outer join, so each
     side is shuffled once.
     """
     now = F.current_timestamp() if now is None else now
     new = incoming.select(*[F.col(c).alias(f"__new_{c}") for c in incoming.columns], F.lit(True).alias("__new"))
-    on = [F.col(k) == F.col(f"__new_{k}") for k in key]
+    on = [F.col(k).eqNullSafe(F.col(f"__new_{k}")) for k in key]
     is_new = F.coalesce("__new", F.lit(False))
     columns = []
     for c in existing.columns:
@@ -74,6 +106,9 @@ def upsert(
             value = F.when(is_new, now).otherwise(F.col(c))
         elif c == "created_at":
             value = F.coalesce(F.col(c), now)
+        elif c == "id" and c not in incoming.columns:
+            last = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).scalar()
+            value = F.coalesce(F.col(c), last + 1 + F.monotonically_increasing_id())
         elif c in keep:
             value = F.coalesce(F.col(c), fresh) if fresh is not None else F.col(c)
         elif fresh is not None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from macrotide.functions.country import is_iso3_shaped
@@ -54,6 +54,8 @@ def key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def _count_by_column(df: DataFrame, conditions: Mapping[str, Column], into: str) -> DataFrame:
     """One row per column with the number of rows its condition holds for, in one pass."""
+    if not conditions:
+        return df.sparkSession.createDataFrame([], f"column string, {into} long")
     one_row = df.agg(*[F.count_if(condition).alias(c) for c, condition in conditions.items()])
     return one_row.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias(into)) for c in conditions
@@ -78,15 +80,20 @@ def code_violations(df: DataFrame, column: str = "country_code") -> DataFrame:
     )
 
 
-def table_counts(tables: Mapping[str, DataFrame | None]) -> DataFrame:
-    """Row count per table; a table that is not there counts 0."""
-    spark = next(t for t in tables.values() if t is not None).sparkSession
-    counts = [
+def table_counts(
+    spark: SparkSession, tables: Mapping[str, DataFrame | None], total: str | None = None
+) -> DataFrame:
+    """Row count per table; a table that is not there counts 0. ``total`` names a last row
+    with the sum."""
+    counts = [spark.createDataFrame([], "table string, rows long")] + [
         spark.createDataFrame([(name, 0)], "table string, rows long") if table is None
         else table.agg(F.lit(name).alias("table"), F.count("*").alias("rows"))
         for name, table in tables.items()
     ]
-    return reduce(DataFrame.unionByName, counts)
+    rows = reduce(DataFrame.unionByName, counts)
+    if total is None:
+        return rows
+    return rows.unionByName(rows.agg(F.lit(total).alias("table"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")))
 
 
 def validate(tables: Mapping[str, DataFrame], since: int = 2020) -> DataFrame:

@@ -8,8 +8,10 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macrotide.operators.load import conform, with_serial_id, with_stamps
-from macrotide.schemas import TABLES
+from macrotide.operators.load import (
+    breaks, conform, country_rows, one_per_key, rejected, upsert, with_serial_id, with_stamps,
+)
+from macrotide.schemas import REJECTED, TABLES
 
 FORMATS = ("parquet", "csv", "json")
 
@@ -49,8 +51,9 @@ def _column_ddl(table: str) -> str:
     spec = TABLES[table]
     lines = ["id BIGINT"] if spec.serial else []
     for c in spec.columns:
+        required = " NOT NULL" if c.required else ""
         default = f" DEFAULT '{c.default}'" if c.default else ""
-        lines.append(f"{c.name} {c.type}{default}")
+        lines.append(f"{c.name} {c.type}{required}{default}")
     lines += [f"{s} TIMESTAMP DEFAULT current_timestamp()" for s in spec.stamps]
     return ", ".join(lines)
 
@@ -110,8 +113,38 @@ def load_table(df: DataFrame, table: str, database: str, overwrite: bool = False
 
 
 def load_countries(merged: DataFrame, database: str) -> None:
-    """Replace ``countries`` by the distinct (code, name) pairs of the frame."""
-    load_table(merged.select("country_code", "country_name"), "countries", database, overwrite=True)
+    """Replace ``countries`` by one row per code of the frame, with its latest name."""
+    load_table(country_rows(merged), "countries", database, overwrite=True)
+
+
+def put_table(df: DataFrame, table: str, database: str, folder: str) -> DataFrame:
+    """Put rows over those of a table by its key, and return the rows that break a rule of it.
+
+    Loading the same rows again changes nothing but stamps. Only the years that occur are read
+    and rewritten. The new content is written to ``folder`` first, as a plan must not overwrite
+    what it reads.
+    """
+    spark, name, spec = df.sparkSession, f"{database}.{table}", TABLES[table]
+    stage = f"{folder.rstrip('/')}/{table}"
+    save(rejected(df, table), f"{stage}_rejected")
+    bad = spark.read.schema(REJECTED).parquet(f"{stage}_rejected")
+    rows = one_per_key(conform(df.filter(~breaks(df, table)), table), spec.key)
+    present = spark.table(name)
+    if spec.by_year:
+        years = rows.select(F.col("year").alias("__year")).distinct()
+        present = present.join(years, F.col("year") == F.col("__year"), "left_semi")
+    save(upsert(present, rows, spec.key), stage)
+    content = spark.read.schema(present.schema).parquet(stage).select(*spark.table(name).columns)
+    if spec.by_year:
+        content = content.hint("rebalance", "year")
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic" if spec.by_year else "static")
+    try:
+        content.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+    return bad
 
 
 def load_jdbc(

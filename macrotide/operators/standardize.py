@@ -39,6 +39,25 @@ def _coded(df: DataFrame, lookup: CountryLookup, column: str) -> tuple[DataFrame
     return prepared, iso3
 
 
+def with_codes(df: DataFrame, lookup: CountryLookup, column: str = "country_code") -> DataFrame:
+    """The frame with the alpha-3 code of ``column`` in ``iso3``, null where there is none; landed,
+    it gives both parts of ``split_coded`` without matching again."""
+    if column not in df.columns:
+        return df
+    prepared, iso3 = _coded(df, lookup, column)
+    return prepared.select(*df.columns, iso3.alias("iso3"))
+
+
+def split_coded(coded: DataFrame, column: str = "country_code") -> tuple[DataFrame, DataFrame]:
+    """Rows with their code replaced, and the distinct codes without one."""
+    if column not in coded.columns:
+        return coded, coded.sparkSession.createDataFrame([], f"`{column}` string")
+    kept = [c for c in coded.columns if c != "iso3"]
+    mapped = coded.filter(F.col("iso3").isNotNull()).select(
+        *[F.col("iso3").alias(column) if c == column else F.col(c) for c in kept])
+    return mapped, coded.filter(F.col("iso3").isNull()).select(column).distinct()
+
+
 def standardize_countries(
     df: DataFrame, lookup: CountryLookup, column: str = "country_code"
 ) -> tuple[DataFrame, DataFrame]:

@@ -12,7 +12,6 @@ from macrotide.functions.bands import inflation_category
 from macrotide.operators.clean import has_value
 from macrotide.operators.joins import join_unique
 
-FEW_GROUPS = 10_000
 SUMMARY_COLUMNS = ("inflation_rate", "avg_annual_wage", "commodity_price_index")
 
 
@@ -37,12 +36,15 @@ def summary(df: DataFrame) -> DataFrame:
     """Row count, numbers of countries and years and the year span, in one pass.
 
     Rows are counted per country and year first: several distinct counts over the rows
-    themselves would make Spark copy each row once per count.
+    themselves would make Spark copy each row once per count. A null is one more country or year.
     """
+    def distinct(column: str) -> Column:
+        return F.countDistinct(column) + F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0))
+
     return df.groupBy("country_code", "year").agg(F.count("*").alias("n")).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
-        F.countDistinct("country_code").alias("countries"),
-        F.countDistinct("year").alias("years"),
+        distinct("country_code").alias("countries"),
+        distinct("year").alias("years"),
         F.min("year").alias("min_year"),
         F.max("year").alias("max_year"),
     )
@@ -51,6 +53,9 @@ def summary(df: DataFrame) -> DataFrame:
 def describe_numeric(df: DataFrame, columns: Sequence[str] = SUMMARY_COLUMNS) -> DataFrame:
     """Count, mean, deviation, minimum and maximum per existing column, in one pass."""
     present = [c for c in columns if c in df.columns]
+    if not present:
+        return df.sparkSession.createDataFrame(
+            [], "column string, count long, mean double, stddev double, min double, max double")
     one_row = df.agg(*[
         F.struct(
             F.lit(c).alias("column"),
@@ -85,7 +90,7 @@ def histogram(df: DataFrame, value: str = "inflation_rate", bins: int = 30) -> D
 
 def exact_quantiles(
     rows: DataFrame, group: str, value: str, probabilities: Sequence[float],
-    few_groups: bool | None = None, accuracy: int = 50_000,
+    accuracy: int = 50_000,
 ) -> DataFrame:
     """Exact interpolated quantiles per group, with count, minimum and maximum.
 
@@ -96,12 +101,10 @@ def exact_quantiles(
     it, which is all that has to be ordered. Groups no larger than ``accuracy`` use their
     full range as bracket.
 
-    The brackets of few groups are broadcast. ``few_groups`` says whether the groups are a
-    fixed short list; without it their number is looked up first, up to a limit.
+    The brackets are one row per group; where they turn out small, adaptive execution
+    broadcasts them.
     """
     rows = rows.select(group, value).filter(F.col(group).isNotNull() & has_value(value))
-    if few_groups is None:
-        few_groups = rows.select(group).distinct().limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
     margin = 3.0 / accuracy
     marks = [edge for p in probabilities for edge in (max(p - margin, 0.0), min(p + margin, 1.0))]
     sketch = rows.groupBy(group).agg(
@@ -116,10 +119,7 @@ def exact_quantiles(
         brackets.append(F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"),
                                  lower.alias("lower"), upper.alias("upper")))
     bounds = sketch.select(group, "n", "low", "high", F.array(*brackets).alias("brackets"))
-    bracketed = (
-        rows.join(F.broadcast(bounds), group) if few_groups
-        else join_unique(rows, bounds, [group], "inner")
-    )
+    bracketed = join_unique(rows, bounds, [group], "inner")
     keys = [group, "n", "low", "high", "i", "p"]
     cells = (
         bracketed.select(group, value, "n", "low", "high", F.inline("brackets"))
@@ -151,7 +151,7 @@ def exact_quantiles(
 def box_stats(df: DataFrame, value: str = "inflation_rate") -> DataFrame:
     """Five-number summary of the rates in each inflation band."""
     rows = df.select(inflation_category(F.col(value)).alias("inflation_category"), value)
-    quartiles = exact_quantiles(rows, "inflation_category", value, (0.25, 0.5, 0.75), few_groups=True)
+    quartiles = exact_quantiles(rows, "inflation_category", value, (0.25, 0.5, 0.75))
     return quartiles.select(
         "inflation_category", F.col("n").alias("count"), F.col("low").alias("min"),
         "q1", F.col("q2").alias("median"), "q3", F.col("high").alias("max"),
@@ -210,10 +210,13 @@ def group_trend(df: DataFrame, group: str, x: str, y: str, into: str = "trend")
 def change_first_to_last(
     df: DataFrame, entity: str, value: str, order: str = "year", into: str = "change_pct"
 ) -> DataFrame:
-    """Percent change from the earliest to the latest value of each entity."""
+    """Percent change from the earliest to the latest value of each entity. Of several values
+    of one year the smallest is taken, so the order of the rows does not matter."""
     return (
-        df.na.drop(subset=[entity])
+        df.na.drop(subset=[entity, order])
+        .groupBy(entity, order)
+        .agg(F.min(value).alias("__value"))
         .groupBy(entity)
-        .agg(F.min_by(value, order).alias("__first"), F.max_by(value, order).alias("__last"))
+        .agg(F.min_by("__value", order).alias("__first"), F.max_by("__value", order).alias("__last"))
         .select(entity, ((F.try_divide("__last", "__first") - 1) * 100).alias(into))
     )

@@ -14,8 +14,9 @@ def rank_latest(df: DataFrame, entity: str, order: str, into: str) -> DataFrame:
     A window over the rows would sort all rows of one entity in one task. Here rows are
     counted per (entity, order) first, the window runs over those counts, and the ranks are
     joined back, so a dominant entity is spread like any other.
+    Rows without ``order`` come last, as in SQL.
     """
-    counts = df.filter(F.col(order).isNotNull()).groupBy(entity, order).agg(F.count("*").alias("__n"))
+    counts = df.groupBy(entity, order).agg(F.count("*").alias("__n"))
     later = Window.partitionBy(entity).orderBy(F.desc(order)).rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -24,7 +25,7 @@ def rank_latest(df: DataFrame, entity: str, order: str, into: str) -> DataFrame:
         F.col(order).alias("__order"),
         (F.coalesce(F.sum("__n").over(later), F.lit(0)) + 1).alias(into),
     )
-    same = F.col(entity).eqNullSafe(F.col("__entity")) & (F.col(order) == F.col("__order"))
+    same = F.col(entity).eqNullSafe(F.col("__entity")) & F.col(order).eqNullSafe(F.col("__order"))
     return df.join(ranks, same).select(*df.columns, into)
 
 

@@ -219,15 +219,16 @@ _SQL: dict[str, str] = {
         ORDER BY year DESC, country_code""",
     "sql_over_frames": """SELECT country_name, count(*) AS n, round(avg(inflation_rate) + 2e-8, 6) AS avg_inflation
         FROM inflation WHERE year >= 1998 GROUP BY country_name""",
-    "summary": """SELECT count(*) AS total_records, count(DISTINCT country_code) AS countries,
-        count(DISTINCT year) AS years, min(year) AS min_year, max(year) AS max_year FROM merged""",
+    "summary": """SELECT count(*) AS total_records, count(DISTINCT country_code) + max((country_code IS NULL)::INT) AS countries,
+        count(DISTINCT year) + max((year IS NULL)::INT) AS years, min(year) AS min_year, max(year) AS max_year
+        FROM (SELECT nullif(country_code, 'N05') AS country_code, nullif(year, 1999) AS year FROM merged)""",
     "describe_numeric": " UNION ALL ".join(
         _describe(c) for c in ("inflation_rate", "avg_annual_wage", "commodity_price_index")),
-    "table_counts": " UNION ALL ".join(
+    "table_counts": "WITH n AS (" + " UNION ALL ".join(
         f"SELECT '{name}' AS \"table\", count(*) AS rows FROM {source}" for name, source in {
             "countries": "fx_country", "inflation_rates": "fx_inflation", "wage_index": "wages",
             "commodity_prices": "fx_commodity", "economic_indicators": "merged"}.items()
-    ) + " UNION ALL SELECT 'not_there', 0",
+    ) + " UNION ALL SELECT 'not_there', 0) SELECT * FROM n UNION ALL SELECT 'all', sum(rows)::BIGINT FROM n",
     "kpis": f"""SELECT {_r('m', 5, 'avg_inflation')},
         CASE WHEN m > 0.02 THEN round(m - 0.02 + 2e-8, 5) END AS inflation_delta,
         (SELECT round(avg(avg_annual_wage) + 2e-8, 5) FROM wages) AS avg_wage,
@@ -322,8 +323,9 @@ _SQL: dict[str, str] = {
     "inflation_ranking": f"""SELECT country_code, {_r('avg(inflation_rate)', 6, 'avg_inflation')}
         FROM merged GROUP BY country_code ORDER BY 2 DESC""",
     "real_wage_change": """SELECT country_code,
-        round((last(real_wage_adjusted ORDER BY year) / nullif(first(real_wage_adjusted ORDER BY year), 0) - 1) * 100 + 2e-8, 4) AS change_pct
-        FROM merged WHERE inflation_indicator = 'indicator N' GROUP BY country_code""",
+        round((last(v ORDER BY year) / nullif(first(v ORDER BY year), 0) - 1) * 100 + 2e-8, 4) AS change_pct
+        FROM (SELECT country_code, year, min(real_wage_adjusted) AS v FROM merged GROUP BY country_code, year)
+        GROUP BY country_code""",
     "orphans": """SELECT r.* FROM residents r LEFT JOIN remaining c ON r.country_code = c.country_code
         WHERE c.country_code IS NULL""",
     "orphan_counts": """SELECT r.country_code, count(*) AS orphaned_rows FROM residents r
@@ -365,11 +367,11 @@ _SQL: dict[str, str] = {
         CAST(NULL AS DECIMAL(12,4)) AS avg_annual_price, CAST(NULL AS VARCHAR) AS price_unit, 'IMF' AS data_source
         FROM fx_commodity""",
     "country_rows": "SELECT DISTINCT country_code, country_name FROM inflation",
-    "upsert": """WITH p AS (SELECT l_returnflag AS flag, l_partkey AS commodity, CAST(year(l_shipdate) AS INT) AS year,
+    "upsert": """WITH p AS (SELECT l_returnflag = 'R' AS flag, l_partkey AS commodity, CAST(year(l_shipdate) AS INT) AS year,
             min(l_extendedprice) AS price FROM lineitem GROUP BY ALL),
-        a AS (SELECT * FROM p WHERE flag = 'A'), r AS (SELECT * FROM p WHERE flag = 'R')
+        a AS (SELECT * FROM p WHERE NOT flag), r AS (SELECT * FROM p WHERE flag)
         SELECT coalesce(r.commodity, a.commodity) AS commodity, coalesce(r.year, a.year) AS year,
-               coalesce(r.price, a.price) AS price,
+               coalesce(r.price, a.price) AS price, CASE WHEN a.price IS NULL THEN 8 ELSE 7 END::BIGINT AS id,
                CASE WHEN a.price IS NULL THEN 'second' ELSE 'first' END AS created_at,
                CASE WHEN r.price IS NULL THEN 'first' ELSE 'second' END AS updated_at
         FROM a FULL JOIN r ON a.commodity = r.commodity AND a.year = r.year""",

@@ -11,16 +11,19 @@ import argparse
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from macrotide.functions.country import CountryLookup
 from macrotide.operators.clean import clean_commodities, clean_inflation, clean_wages
+from macrotide.operators.load import country_rows
 from macrotide.operators.merge import merge_datasets
-from macrotide.operators.quality import table_counts, validate
-from macrotide.operators.sinks import create_schema, load_countries, load_table, save
-from macrotide.operators.standardize import normalize_columns, standardize_countries
-from macrotide.operators.stats import summary
+from macrotide.operators.quality import constraint_report, table_counts, validate
+from macrotide.operators.sinks import create_schema, put_table, save
+from macrotide.operators.standardize import normalize_columns, split_coded, with_codes
+from macrotide.operators.stats import describe_numeric, summary
 from macrotide.schemas import KEY_COMMODITIES, TABLES, WAGE_COLUMNS, YEAR_WINDOW
 from macrotide.session import configure, shared_folder
 from macrotide.sources import csv_feed, json_feed, xml_feed
@@ -30,22 +33,14 @@ from macrotide.sources import csv_feed, json_feed, xml_feed
 class Refreshed:
     merged: DataFrame
     unmapped: dict[str, DataFrame]
+    rejected: DataFrame
     summary: DataFrame
+    described: DataFrame
     checks: DataFrame
+    constraints: DataFrame
     counts: DataFrame
 
 
-def standardize_feeds(
-    inflation: DataFrame, wages: DataFrame, lookup: CountryLookup
-) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
-    inflation, unmapped_inflation = standardize_countries(inflation, lookup)
-    wages, unmapped_wages = standardize_countries(wages, lookup)
-    return (
-        normalize_columns(inflation, ["value"]), wages,
-        {"inflation": unmapped_inflation, "wages": unmapped_wages},
-    )
-
-
 def land(df: DataFrame, folder: str, name: str) -> DataFrame:
     path = f"{folder.rstrip('/')}/{name}"
     save(df, path)
@@ -58,14 +53,17 @@ def refresh(
     years: tuple[int, int] = YEAR_WINDOW, basket: Sequence[str] = KEY_COMMODITIES,
     wage_indicators: Mapping[str, str] = WAGE_COLUMNS,
 ) -> Refreshed:
-    """Run everything over landed feeds. Stages are written to ``folder``, which all executors
+    """Run everything over landed feeds. A second run on the same feeds leaves the tables as they
+    are; rows that break a rule of their table are kept aside in ``rejected``. Stages are written to ``folder``, which all executors
     must reach; without one, to a new folder under the session's ``spark.checkpoint.dir``."""
     folder = folder or f"{shared_folder(spark)}/refresh-{uuid.uuid4().hex}"
     lookup = lookup or CountryLookup.iso(spark)
-    inflation, wages, unmapped = standardize_feeds(inflation, wages, lookup)
-    inflation = land(inflation, folder, "standardized_inflation")
+    # Each raw feed is read and matched once; what was mapped and what was not comes from there.
+    inflation, unmapped_inflation = split_coded(land(
+        normalize_columns(with_codes(inflation, lookup), ["value"]), folder, "standardized_inflation"))
+    wages, unmapped_wages = split_coded(land(with_codes(wages, lookup), folder, "standardized_wages"))
+    unmapped = {"inflation": unmapped_inflation, "wages": unmapped_wages}
     commodities = land(commodities, folder, "standardized_commodities")
-    wages = land(wages, folder, "standardized_wages")
 
     rates = clean_inflation(inflation, years)
     prices = land(clean_commodities(commodities, years), folder, "annual_prices")
@@ -75,13 +73,18 @@ def refresh(
     )
 
     create_schema(spark, database)
-    load_countries(merged, database)
-    load_table(merged, "inflation_rates", database)
-    load_table(pay, "wage_index", database)
-    load_table(prices, "commodity_prices", database)
-    load_table(merged, "economic_indicators", database)
+    loads = {
+        "countries": country_rows(merged), "inflation_rates": merged, "wage_index": pay,
+        "commodity_prices": prices, "economic_indicators": merged,
+    }
+    rejected = [put_table(rows, name, database, f"{folder.rstrip('/')}/tables") for name, rows in loads.items()]
     tables = {name: spark.table(f"{database}.{name}") for name in TABLES}
-    return Refreshed(merged, unmapped, summary(merged), validate(tables), table_counts(tables))
+    constraints = [
+        constraint_report(table, name).select(F.lit(name).alias("table"), "*") for name, table in tables.items()]
+    return Refreshed(
+        merged, unmapped, reduce(DataFrame.unionByName, rejected), summary(merged), describe_numeric(merged),
+        validate(tables), reduce(DataFrame.unionByName, constraints), table_counts(spark, tables, total="all"),
+    )
 
 
 def read_feeds(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -97,7 +100,8 @@ def read_feeds(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame
     wages = {
         "csv": lambda: csv_feed.read_wages(spark, args.wages),
         "table": lambda: csv_feed.read_wage_table(spark, args.wages, args.wage_dataset),
-        "xml": lambda: xml_feed.read_wage_xml(spark, args.wages, args.wage_dataset),
+        "xml": lambda: xml_feed.read_wage_xml(
+            spark, args.wages, args.wage_dataset, row_tag=args.wage_tag, nested=args.wage_nested),
     }[args.wage_format]()
     return inflation, commodities, wages
 
@@ -111,6 +115,8 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--wages", required=True)
     parser.add_argument("--wage-format", choices=("csv", "table", "xml"), default="csv")
     parser.add_argument("--wage-dataset", default="AWE")
+    parser.add_argument("--wage-tag", default="Obs", help="row element of an XML wage feed")
+    parser.add_argument("--wage-nested", help="observation element inside the row element")
     parser.add_argument("--database", required=True)
     parser.add_argument("--folder", help="shared folder for the stages; default: spark.checkpoint.dir")
     parser.add_argument("--years", type=int, nargs=2, default=list(YEAR_WINDOW))
@@ -126,7 +132,7 @@ def main(argv: Sequence[str] | None = None) -> Refreshed:
     done = refresh(
         spark, *read_feeds(spark, args), args.database, args.folder, years=tuple(args.years)
     )
-    for frame in (done.summary, done.checks, done.counts, *done.unmapped.values()):
+    for frame in (done.summary, done.described, done.checks, done.constraints, done.counts, done.rejected, *done.unmapped.values()):
         frame.show(10, truncate=False)
     return done
 

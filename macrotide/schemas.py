@@ -63,6 +63,14 @@ G7_COUNTRIES = ["USA", "GBR", "DEU", "FRA", "JPN", "CAN", "ITA"]
 YEAR_WINDOW = (2000, 2030)
 
 
+# Rows kept out of a table: the rule they break and the row as JSON.
+REJECTED = T.StructType([
+    T.StructField("table", T.StringType()),
+    T.StructField("rule", T.StringType()),
+    T.StructField("row", T.StringType()),
+])
+
+
 @dataclass(frozen=True)
 class Column:
     name: str

@@ -16,14 +16,15 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 PARTITION_BYTES = 256 * 1024 * 1024
-MAX_PARTITIONS = 50_000
 
 
-def shuffle_partitions(input_bytes: int, cores: int = 200) -> int:
+def shuffle_partitions(input_bytes: int, cores: int = 200, most: int | None = None) -> int:
     """Shuffle partitions for an input of this size: about 256 MB each. Adaptive execution
     merges partitions that stay small but never splits those of an aggregation, so the
-    number has to suit the largest shuffle."""
-    return max(cores, min(MAX_PARTITIONS, -(-input_bytes // PARTITION_BYTES)))
+    number has to suit the largest shuffle. ``most`` bounds it where a cluster cannot serve so
+    many; partitions grow then."""
+    wanted = -(-input_bytes // PARTITION_BYTES)
+    return max(cores, wanted if most is None else min(most, wanted))
 
 
 def configure(

@@ -4,19 +4,59 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from macrotide.functions.parsing import parse_date, parse_number, strip
 from macrotide.operators.clean import clean_commodity_sheet, clean_wage_table
-from macrotide.operators.reshape import select_typed
+from macrotide.operators.reshape import DATE_COLUMNS, select_typed, union_feeds
 from macrotide.schemas import COMMODITY_FEED, INFLATION_FEED, WAGE_FEED
-from macrotide.sources.json_feed import read_documents
+
+# A comma outside quotes.
+COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def header_groups(
+    spark: SparkSession, path: str | Sequence[str], header_line: int = 1
+) -> list[tuple[str, list[str]]]:
+    """(header line, its files) for every header that occurs.
+
+    One pass over the first block of each file finds the lines; the driver gets a header and a
+    file list, as it would to plan any read.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n"), "value",
+    ).filter(F.col("at") == 0)
+    numbered = lines.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("n")))
+    headers = numbered.filter((F.col("line") <= header_line) & (F.col("line") == header_line))
+    found = headers.groupBy("value").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("value").collect()
+    return [(r["value"].removeprefix("\ufeff").rstrip("\r"), r["files"]) for r in found]
+
+
+def header_columns(header: str) -> list[str]:
+    """Column names of a header line; unnamed cells are numbered."""
+    cells = next(csv.reader([header]), [])
+    return [cell.strip() or f"Unnamed: {i}" for i, cell in enumerate(cells)]
+
+
+def _text_schema(columns: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Any CSV with a header, every column as text."""
-    return spark.read.csv(path, header=True)
+    """Any CSV with a header, every column as text. Each file is read by its own header and the
+    files are united by column name."""
+    frames = [
+        spark.read.csv(files, header=True, schema=_text_schema(header_columns(header)), enforceSchema=True)
+        for header, files in header_groups(spark, path)
+    ]
+    if not frames:
+        return spark.read.csv(path, header=True)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_inflation(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -35,40 +75,41 @@ def read_wage_table(spark: SparkSession, path: str | Sequence[str], dataset_code
     return clean_wage_table(read_csv(spark, path), dataset_code)
 
 
-def parse_csv_documents(
-    documents: DataFrame, columns: Sequence[str], text: str = "value", header_line: int = 1,
-) -> DataFrame:
-    """Data lines of CSV documents as text columns. Lines up to the header are skipped."""
-    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
+def sheet_cells(documents: DataFrame, text: str = "value", header_line: int = 4) -> DataFrame:
+    """Commodity feed from whole sheets held as one text each. Every cell is paired with the header
+    of its own sheet, so sheets may differ in columns and their order."""
+    def cells(line: Column) -> Column:
+        quoted = F.transform(F.split(line, COMMA), lambda c: F.btrim(c))
+        plain = lambda c: F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))
+        return F.transform(quoted, lambda c: F.when(c.startswith('"'), plain(c)).otherwise(c))
+
     lines = F.split(F.col(text), r"\r?\n")
-    data = F.slice(lines, header_line + 1, F.greatest(F.size(lines), F.lit(1)))
+    keys = F.array(*[F.lit(c) for c in DATE_COLUMNS])
+    rows = documents.select(
+        F.transform(cells(F.coalesce(F.get(lines, F.lit(header_line - 1)), F.lit(""))), strip).alias("header"),
+        F.explode(F.slice(lines, header_line + 1, F.greatest(F.size(lines), F.lit(1)))).alias("line"),
+    ).filter(F.trim("line") != "")
+    key = F.get(F.filter(keys, lambda k: F.array_contains("header", k)), F.lit(0))
+    at = F.when(key.isNotNull(), F.array_position("header", key).cast("int") - 1).otherwise(0)
+    parsed = rows.select("header", cells(F.col("line")).alias("cells"), at.alias("at")).select(
+        F.explode(F.array_compact(F.array(parse_date(F.get("cells", F.col("at")))))).alias("date"),
+        F.transform("header", lambda name, i: F.struct(
+            name.alias("commodity"), parse_number(F.get("cells", i)).alias("price"), (i == F.col("at")).alias("key"))).alias("cells"))
     return (
-        documents.select(F.explode(data).alias("line"))
-        .filter(F.trim("line") != "")
-        .select(F.from_csv("line", schema).alias("r"))
-        .select("r.*")
+        parsed.select(F.year("date").alias("year"), F.month("date").alias("month"), F.inline("cells"))
+        .filter(F.col("price").isNotNull() & ~F.col("key") & (F.col("commodity") != "") & ~F.startswith("commodity", F.lit("Unnamed")))
+        .select("year", "month", "commodity", "price")
     )
 
 
-def sheet_columns(documents: DataFrame, text: str = "value", header_line: int = 4) -> list[str]:
-    """Column names from the header line of one document. Unnamed cells are numbered."""
-    header = documents.select(
-        F.get(F.split(F.col(text), r"\r?\n"), F.lit(header_line - 1)).alias("header")
-    ).filter(F.col("header").isNotNull()).first()
-    if header is None:
-        return []
-    cells = next(csv.reader([header["header"]]), [])
-    return [cell.strip() or f"Unnamed: {i}" for i, cell in enumerate(cells)]
-
-
 def read_commodity_sheet(
     spark: SparkSession, path: str | Sequence[str], header_line: int = 4
 ) -> DataFrame:
-    """Commodity feed from wide sheets saved as CSV; the files share one header."""
-    documents = read_documents(spark, path)
-    columns = sheet_columns(documents, header_line=header_line)
-    if not columns:
-        return spark.createDataFrame([], COMMODITY_FEED)
-    return clean_commodity_sheet(
-        parse_csv_documents(documents, columns, header_line=header_line)
-    )
+    """Commodity feed from wide sheets saved as CSV, each read by its own header. Files are split
+    like any CSV; the lines up to the header fall out as they do not start with a date."""
+    frames = []
+    for header, files in header_groups(spark, path, header_line):
+        columns = header_columns(header)
+        sheet = spark.read.csv(files, schema=_text_schema(columns))
+        frames.append(clean_commodity_sheet(sheet))
+    return union_feeds([f for f in frames if f.columns == COMMODITY_FEED.names], COMMODITY_FEED, spark)

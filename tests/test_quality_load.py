@@ -74,5 +74,5 @@ def test_upsert(spark):
     incoming = spark.createDataFrame([("B", 2020, None), ("C", 2020, 5.0)], "country_code string, year int, rate double")
     got = load.upsert(existing, incoming, ["country_code", "year"], now=F.lit("t1"))
     assert values(got, "country_code", "id", "year", "rate", "created_at", "updated_at") == [
-        ("A", 1, 2020, 1.0, "t0", "t0"), ("B", 2, 2020, None, "t0", "t1"), ("C", None, 2020, 5.0, "t1", "t1"),
+        ("A", 1, 2020, 1.0, "t0", "t0"), ("B", 2, 2020, None, "t0", "t1"), ("C", 3, 2020, 5.0, "t1", "t1"),
     ]

@@ -10,12 +10,13 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT / "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from macrotide.plans import oracle, queries as registry  # noqa: E402
 from check import TABLES, rows_of  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="test tables not here")
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = registry.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

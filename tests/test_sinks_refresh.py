@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 
 from conftest import values
+from macrotide.functions.country import CountryLookup
 from macrotide.operators import sinks
 from macrotide.operators.quality import constraint_report
 from macrotide.plans.refresh import main, refresh
@@ -97,16 +98,26 @@ def test_refresh(spark, tmp_path, database):
     assert dict(values(done.checks)) == {
         "no_orphaned_inflation": True, "no_orphaned_wage": True, "reasonable_inflation_range": True, "has_recent_data": True,
     }
-    assert dict(values(done.counts)) == {
-        "countries": 2, "inflation_rates": 4, "wage_index": 2, "commodity_prices": 2, "economic_indicators": 4,
-    }
+    counts = {"countries": 2, "inflation_rates": 4, "wage_index": 2, "commodity_prices": 2, "economic_indicators": 3, "all": 13}
+    assert dict(values(done.counts)) == counts
+    assert done.rejected.count() == 0 and done.described.count() == 3
+    ids = {r.id for r in spark.table(f"{database}.inflation_rates").collect()}
+    assert len(ids) == 4
+    again = refresh(spark, inflation, commodities, wages, database, str(tmp_path / "again"))
+    assert dict(values(again.counts)) == counts
+    assert {r.id for r in spark.table(f"{database}.inflation_rates").collect()} == ids
+    aggregate = spark.createDataFrame([("EA19", "Euro area", None, cpi, 2021, 2.0), ("FRA", "France", None, cpi, 2021, 2.0)], INFLATION_FEED)
+    third = refresh(spark, aggregate, commodities, wages, database, str(tmp_path / "third"), lookup=CountryLookup([("FR", "FRA", "France", "French Republic")]))
+    assert spark.table(f"{database}.inflation_rates").count() == 5
+    refused = {(r.table, r.rule) for r in third.rejected.collect()}
+    assert refused <= {(t, "country_code is longer than 3") for t in ("countries", "inflation_rates", "economic_indicators")}
     latest = spark.table(f"{database}.latest_economic_data")
-    assert values(latest, "country_code", "year", "year_rank") == [("GBR", 2021, 1), ("USA", 2020, 3), ("USA", 2021, 1), ("USA", 2021, 1)]
-    assert spark.table(f"{database}.high_inflation_countries").count() == 1
+    assert values(latest, "country_code", "year", "year_rank") == [("FRA", 2021, 1), ("GBR", 2021, 1), ("USA", 2020, 2), ("USA", 2021, 1)]
+    assert spark.table(f"{database}.high_inflation_countries").count() == 0  # the smallest rate of a key is kept
     relations = spark.table(f"{database}.wage_inflation_correlation")
-    assert values(relations, "wage_inflation_relationship") == ["Inflation Outpacing Wage Growth"] * 3
+    assert values(relations, "wage_inflation_relationship") == ["Inflation Outpacing Wage Growth"] * 2
     report = {(r.constraint, r.subject): r.violations for r in constraint_report(spark.table(f"{database}.economic_indicators"), "economic_indicators").collect()}
-    assert report["unique", "country_code, year"] == 1
+    assert report["unique", "country_code, year"] == 0
     for name in ("standardized_inflation", "standardized_commodities", "standardized_wages", "merged"):
         assert (tmp_path / name).is_dir()
 
@@ -132,7 +143,8 @@ def test_refresh_from_files(spark, tmp_path, database):
 def test_shuffle_sizes():
     assert shuffle_partitions(1) == 200
     assert shuffle_partitions(10 * 1024 ** 4) == 40_960
-    assert shuffle_partitions(100 * 1024 ** 4) == 50_000
+    assert shuffle_partitions(100 * 1024 ** 4) == 409_600
+    assert shuffle_partitions(100 * 1024 ** 4, most=50_000) == 50_000
 
 
 def test_shared_folder_is_the_clusters(spark):

@@ -86,6 +86,22 @@ def test_commodity_sheets(spark, tmp_path):
     assert csv_feed.read_commodity_sheet(spark, str(plain)).count() == 0
 
 
+def test_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("country_code,year,indicator,value\nUSA,2020,W,1.5\n")
+    (tmp_path / "b.csv").write_text("value,indicator,year,country_code\n7.5,W,2021,GBR\n2.5,W,2022,GBR\n")
+    assert values(csv_feed.read_wages(spark, str(tmp_path))) == [("GBR", 2021, "W", 7.5), ("GBR", 2022, "W", 2.5), ("USA", 2020, "W", 1.5)]
+    sheets = tmp_path / "sheets"
+    sheets.mkdir()
+    one, two = "x\n\n\nPeriod,Gold,Wheat\n2020M01,10,4\n", "x\n\n\nPeriod,Wheat,Copper\n2020M02,5,9\n"
+    (sheets / "a.csv").write_text(one)
+    (sheets / "b.csv").write_text(two)
+    want = [(2020, 1, "Gold", 10.0), (2020, 1, "Wheat", 4.0), (2020, 2, "Copper", 9.0), (2020, 2, "Wheat", 5.0)]
+    assert values(csv_feed.read_commodity_sheet(spark, str(sheets))) == want
+    assert values(csv_feed.sheet_cells(spark.createDataFrame([(one,), (two,)], "value string"))) == want
+    quoted = 'a,"b, ""c""",\n"2020M03",x,"1,000"\n2020M04,"7",1\n'
+    assert values(csv_feed.sheet_cells(spark.createDataFrame([(quoted,), (None,), ("",)], "value string"), header_line=1)) == [(2020, 4, 'b, "c"', 7.0)]
+
+
 @pytest.mark.parametrize("prefix", ["", "g:"])
 def test_wage_xml(spark, tmp_path, prefix):
     ns = ' xmlns:g="urn:g"' if prefix else ""

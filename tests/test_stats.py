@@ -17,8 +17,7 @@ def interpolated(numbers, p):
 
 
 @pytest.mark.parametrize("accuracy", [20, 100, 50_000])
-@pytest.mark.parametrize("few_groups", [True, False, None])
-def test_exact_quantiles_of_awkward_groups(spark, accuracy, few_groups):
+def test_exact_quantiles_of_awkward_groups(spark, accuracy):
     """Small accuracy makes the brackets narrow, as they are for very large groups."""
     rng = random.Random(7)
     groups = {
@@ -32,7 +31,7 @@ def test_exact_quantiles_of_awkward_groups(spark, accuracy, few_groups):
     rng.shuffle(rows)
     probabilities = (0.0, 0.01, 0.25, 0.5, 0.9, 1.0)
     frame = spark.createDataFrame(rows, "g string, v double").repartition(7)
-    got = {r.g: r for r in stats.exact_quantiles(frame, "g", "v", probabilities, few_groups, accuracy).collect()}
+    got = {r.g: r for r in stats.exact_quantiles(frame, "g", "v", probabilities, accuracy).collect()}
     assert got.keys() == groups.keys()
     for g, numbers in groups.items():
         assert got[g].n == len(numbers)
