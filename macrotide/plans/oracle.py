@@ -366,6 +366,16 @@ _SQL: dict[str, str] = {
     "typed_load_prices": f"""SELECT year, month, commodity, {_decimal('price', '12,4')},
         CAST(NULL AS DECIMAL(12,4)) AS avg_annual_price, CAST(NULL AS VARCHAR) AS price_unit, 'IMF' AS data_source
         FROM fx_commodity""",
+    "typed_load_rates": f"""SELECT country_code, year, {_decimal('inflation_rate', '10,6')}, inflation_indicator,
+        inflation_category, 'World Bank' AS data_source FROM merged""",
+    "typed_load_wages": f"""SELECT country_code, year, {_decimal('avg_annual_wage', '12,2')}, {_decimal('unit_labour_cost', '10,4')},
+        {_decimal('hourly_earnings_growth', '8,4')}, {_decimal('real_wage_index', '10,4')},
+        CAST(NULL AS DECIMAL(12,2)) AS real_wage_adjusted, 'OECD' AS data_source
+        FROM (SELECT * REPLACE (hourly_earnings_growth / 100 AS hourly_earnings_growth) FROM wages)""",
+    "rejected_rows": """SELECT 'countries' AS "table", rule, count(*) AS rows FROM (
+        SELECT CASE WHEN c_custkey % 4 >= 2 THEN 'country_code is longer than 3'
+                    WHEN c_custkey % 7 = 0 THEN 'country_name is null' END AS rule FROM customer)
+        WHERE rule IS NOT NULL GROUP BY rule""",
     "country_rows": "SELECT DISTINCT country_code, country_name FROM inflation",
     "upsert": """WITH p AS (SELECT l_returnflag = 'R' AS flag, l_partkey AS commodity, CAST(year(l_shipdate) AS INT) AS year,
             min(l_extendedprice) AS price FROM lineitem GROUP BY ALL),

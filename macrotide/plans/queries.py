@@ -516,6 +516,26 @@ def typed_load_prices(t: Tables) -> DataFrame:
     return load.conform(prices, "commodity_prices")
 
 
+@query
+def typed_load_rates(t: Tables) -> DataFrame:
+    return load.conform(b.merged(t), "inflation_rates")
+
+
+@query
+def typed_load_wages(t: Tables) -> DataFrame:
+    wages = b.wages(t).withColumn("hourly_earnings_growth", F.col("hourly_earnings_growth") / 100)
+    return load.conform(wages, "wage_index")
+
+
+@query
+def rejected_rows(t: Tables) -> DataFrame:
+    """Rows that break a rule of a table: customers as countries, codes of two to five characters."""
+    rows = t.customer.select(
+        F.substring("c_name", -5, F.col("c_custkey") % 4 + 2).alias("country_code"),
+        F.when(F.col("c_custkey") % 7 != 0, F.col("c_name")).alias("country_name"))
+    return load.rejected(rows, "countries").groupBy("table", "rule").agg(F.count("*").alias("rows"))
+
+
 @query
 def country_rows(t: Tables) -> DataFrame:
     return load.country_rows(b.inflation(t))

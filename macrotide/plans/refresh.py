@@ -21,14 +21,21 @@ from macrotide.operators.clean import clean_commodities, clean_inflation, clean_
 from macrotide.operators.load import country_rows
 from macrotide.operators.merge import merge_datasets
 from macrotide.operators.quality import constraint_report, table_counts, validate
+from macrotide.operators.reshape import union_feeds
 from macrotide.operators.sinks import create_schema, put_table, save
 from macrotide.operators.standardize import normalize_columns, split_coded, with_codes
 from macrotide.operators.stats import describe_numeric, summary
-from macrotide.schemas import KEY_COMMODITIES, TABLES, WAGE_COLUMNS, YEAR_WINDOW
+from macrotide.schemas import (
+    DEFAULT_WAGE_COUNTRIES, KEY_COMMODITIES, MAJOR_WAGE_COUNTRIES, TABLES, WAGE_COLUMNS, WAGE_DATASETS, WAGE_FEED,
+    YEAR_WINDOW,
+)
 from macrotide.session import configure, shared_folder
 from macrotide.sources import csv_feed, json_feed, xml_feed
 
 
+WAGE_SELECTIONS = {"all": None, "default": DEFAULT_WAGE_COUNTRIES, "major": MAJOR_WAGE_COUNTRIES}
+
+
 @dataclass(frozen=True)
 class Refreshed:
     merged: DataFrame
@@ -97,12 +104,15 @@ def read_feeds(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame
         "csv": lambda: csv_feed.read_commodities(spark, args.commodities),
         "sheet": lambda: csv_feed.read_commodity_sheet(spark, args.commodities),
     }[args.commodity_format]()
-    wages = {
-        "csv": lambda: csv_feed.read_wages(spark, args.wages),
-        "table": lambda: csv_feed.read_wage_table(spark, args.wages, args.wage_dataset),
-        "xml": lambda: xml_feed.read_wage_xml(
-            spark, args.wages, args.wage_dataset, row_tag=args.wage_tag, nested=args.wage_nested),
-    }[args.wage_format]()
+    read_wages = {
+        "csv": lambda path, dataset: csv_feed.read_wages(spark, path),
+        "table": lambda path, dataset: csv_feed.read_wage_table(spark, path, dataset),
+        "xml": lambda path, dataset: xml_feed.read_wage_xml(
+            spark, path, dataset, row_tag=args.wage_tag, nested=args.wage_nested),
+    }[args.wage_format]
+    datasets = args.wage_dataset * len(args.wages) if len(args.wage_dataset) == 1 else args.wage_dataset
+    feeds = [read_wages(path, dataset) for path, dataset in zip(args.wages, datasets, strict=True)]
+    wages = json_feed.select_feed(union_feeds(feeds, WAGE_FEED, spark), WAGE_SELECTIONS[args.wage_countries])
     return inflation, commodities, wages
 
 
@@ -112,9 +122,11 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--inflation-format", choices=("csv", "json"), default="csv")
     parser.add_argument("--commodities", required=True)
     parser.add_argument("--commodity-format", choices=("csv", "sheet"), default="csv")
-    parser.add_argument("--wages", required=True)
+    parser.add_argument("--wages", required=True, nargs="+", help="one path per dataset")
     parser.add_argument("--wage-format", choices=("csv", "table", "xml"), default="csv")
-    parser.add_argument("--wage-dataset", default="AWE")
+    parser.add_argument("--wage-dataset", default=["AWE"], nargs="+", help="code or name of each dataset: "
+                        + ", ".join(f"{code} ({name})" for code, name in WAGE_DATASETS.items()))
+    parser.add_argument("--wage-countries", choices=tuple(WAGE_SELECTIONS), default="all")
     parser.add_argument("--wage-tag", default="Obs", help="row element of an XML wage feed")
     parser.add_argument("--wage-nested", help="observation element inside the row element")
     parser.add_argument("--database", required=True)

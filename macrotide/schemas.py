@@ -59,7 +59,6 @@ DEFAULT_WAGE_COUNTRIES = [
     "USA", "GBR", "DEU", "FRA", "JPN", "CAN", "AUS", "ITA", "ESP", "NLD",
 ]
 MAJOR_WAGE_COUNTRIES = DEFAULT_WAGE_COUNTRIES + ["BEL", "AUT", "CHE", "SWE", "NOR", "DNK"]
-G7_COUNTRIES = ["USA", "GBR", "DEU", "FRA", "JPN", "CAN", "ITA"]
 YEAR_WINDOW = (2000, 2030)
 
 

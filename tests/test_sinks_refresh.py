@@ -127,16 +127,18 @@ def test_refresh_from_files(spark, tmp_path, database):
     record = {"indicator": {"id": "FP.CPI.TOTL.ZG"}, "country": {"value": "Germany"}, "countryiso3code": "DEU", "date": "2021", "value": 3.1}
     (tmp_path / "pages.json").write_text(json.dumps([{"page": 1}, [record]]))
     (tmp_path / "sheet.csv").write_text("a\nb\nc\nPeriod,Gold\n2021M01,10\n2021M02,20\n")
-    (tmp_path / "wages.csv").write_text("LOCATION,TIME_PERIOD,OBS_VALUE\nDEU,2021,51550\n")
+    (tmp_path / "wages.csv").write_text("LOCATION,TIME_PERIOD,OBS_VALUE\nDEU,2021,51550\nXYZ,2021,1\n")
+    (tmp_path / "index.csv").write_text("OBS_VALUE,LOCATION,TIME_PERIOD\n101.5,DEU,2021\n")
     done = main([
         "--inflation", str(tmp_path / "pages.json"), "--inflation-format", "json",
         "--commodities", str(tmp_path / "sheet.csv"), "--commodity-format", "sheet",
-        "--wages", str(tmp_path / "wages.csv"), "--wage-format", "table", "--wage-dataset", "Average Annual Wages",
+        "--wages", str(tmp_path / "wages.csv"), str(tmp_path / "index.csv"), "--wage-format", "table",
+        "--wage-dataset", "Average Annual Wages", "Real Wage Index", "--wage-countries", "default",
         "--database", database, "--folder", str(tmp_path / "stages"),
     ])
     assert (tmp_path / "stages" / "merged").is_dir()
-    assert values(done.merged, "country_code", "year", "inflation_rate", "commodity_price_index", "real_wage_adjusted") == [
-        ("DEU", 2021, pytest.approx(0.031), 15.0, pytest.approx(50000.0)),
+    assert values(done.merged, "country_code", "year", "inflation_rate", "commodity_price_index", "real_wage_adjusted", "real_wage_index") == [
+        ("DEU", 2021, pytest.approx(0.031), 15.0, pytest.approx(50000.0), 101.5),
     ]
 
 
