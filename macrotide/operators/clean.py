@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.functions.parsing import (
-    parse_date, parse_number, parse_year, strip, strip_punctuation,
+    parse_date, parse_number, parse_year, strip_punctuation,
 )
 from macrotide.functions.percent import load_time_rate
-from macrotide.operators.reshape import date_column, long_to_wide, unify_aliases, wide_to_long
+from macrotide.operators.reshape import date_column, long_to_wide, unify_aliases
 from macrotide.schemas import WAGE_COLUMNS, WAGE_FEED, YEAR_WINDOW
 
 # Header names of the wage source, by priority.

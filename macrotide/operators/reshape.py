@@ -57,13 +57,6 @@ def date_column(df: DataFrame) -> str:
     return next((c for c in DATE_COLUMNS if c in df.columns), df.columns[0])
 
 
-def wide_to_long(df: DataFrame, key: str, names: str, value: str) -> DataFrame:
-    """One row per cell; unnamed spreadsheet columns are left out, cells become text."""
-    variables = [c for c in df.columns if c != key and not c.startswith("Unnamed")]
-    text = df.select(key, *[F.col(f"`{c}`").cast("string").alias(c) for c in variables])
-    return text.unpivot(key, [F.col(f"`{c}`") for c in variables], names, value)
-
-
 def union_feeds(feeds: Sequence[DataFrame | None], schema: T.StructType, spark) -> DataFrame:
     """All rows of the feeds that could be read; no feed gives an empty frame."""
     present = [f for f in feeds if f is not None]
