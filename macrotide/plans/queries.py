@@ -613,7 +613,7 @@ def parse_csv_feed(t: Tables) -> DataFrame:
     one = F.concat(above, F.lit('Period,Gold,"Oil, crude",\n'), F.concat_ws(",", date, gold, oil, F.lit("note")))
     two = F.concat(above, F.lit('"Oil, crude",,Gold,Period\n'), F.concat_ws(",", oil, F.lit("5"), gold, date))
     documents = t.lineitem.select(F.when(F.col("l_linenumber") % 2 == 0, one).otherwise(two).alias("value"))
-    return csv_feed.sheet_cells(documents)
+    return csv_feed.parse_commodity_sheets(documents)
 
 
 @query

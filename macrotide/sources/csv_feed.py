@@ -6,18 +6,14 @@ import csv
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from macrotide.functions.parsing import parse_date, parse_number, strip
 from macrotide.operators.clean import clean_commodity_sheet, clean_wage_table
-from macrotide.operators.reshape import DATE_COLUMNS, select_typed, union_feeds
+from macrotide.operators.reshape import select_typed, union_feeds
 from macrotide.schemas import COMMODITY_FEED, INFLATION_FEED, WAGE_FEED
 
-# A comma outside quotes.
-COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
 
 def header_groups(
     spark: SparkSession, path: str | Sequence[str], header_line: int = 1
@@ -75,33 +71,33 @@ def read_wage_table(spark: SparkSession, path: str | Sequence[str], dataset_code
     return clean_wage_table(read_csv(spark, path), dataset_code)
 
 
-def sheet_cells(documents: DataFrame, text: str = "value", header_line: int = 4) -> DataFrame:
-    """Commodity feed from whole sheets held as one text each. Every cell is paired with the header
-    of its own sheet, so sheets may differ in columns and their order."""
-    def cells(line: Column) -> Column:
-        quoted = F.transform(F.split(line, COMMA), lambda c: F.btrim(c))
-        plain = lambda c: F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))
-        return F.transform(quoted, lambda c: F.when(c.startswith('"'), plain(c)).otherwise(c))
-
+def parse_csv_documents(
+    documents: DataFrame, columns: Sequence[str], text: str = "value", header_line: int = 1,
+) -> DataFrame:
+    """Data lines of CSV documents as text columns. Lines up to the header are skipped."""
     lines = F.split(F.col(text), r"\r?\n")
-    keys = F.array(*[F.lit(c) for c in DATE_COLUMNS])
-    rows = documents.select(
-        F.transform(cells(F.coalesce(F.get(lines, F.lit(header_line - 1)), F.lit(""))), strip).alias("header"),
-        F.explode(F.slice(lines, header_line + 1, F.greatest(F.size(lines), F.lit(1)))).alias("line"),
-    ).filter(F.trim("line") != "")
-    key = F.get(F.filter(keys, lambda k: F.array_contains("header", k)), F.lit(0))
-    at = F.when(key.isNotNull(), F.array_position("header", key).cast("int") - 1).otherwise(0)
-    parsed = rows.select("header", cells(F.col("line")).alias("cells"), at.alias("at")).select(
-        F.explode(F.array_compact(F.array(parse_date(F.get("cells", F.col("at")))))).alias("date"),
-        F.transform("header", lambda name, i: F.struct(
-            name.alias("commodity"), parse_number(F.get("cells", i)).alias("price"), (i == F.col("at")).alias("key"))).alias("cells"))
+    data = F.slice(lines, header_line + 1, F.greatest(F.size(lines), F.lit(1)))
     return (
-        parsed.select(F.year("date").alias("year"), F.month("date").alias("month"), F.inline("cells"))
-        .filter(F.col("price").isNotNull() & ~F.col("key") & (F.col("commodity") != "") & ~F.startswith("commodity", F.lit("Unnamed")))
-        .select("year", "month", "commodity", "price")
+        documents.select(F.explode(data).alias("line"))
+        .filter(F.trim("line") != "")
+        .select(F.from_csv("line", ", ".join(f"`{c.replace(chr(96), chr(96) * 2)}` string" for c in columns)).alias("r"))
+        .select("r.*")
     )
 
 
+def parse_commodity_sheets(documents: DataFrame, text: str = "value", header_line: int = 4) -> DataFrame:
+    """Commodity feed from whole sheets held as one text each. One job finds the headers that
+    occur; the sheets of each are parsed with its columns."""
+    header = F.get(F.split(F.col(text), r"\r?\n"), F.lit(header_line - 1))
+    found = documents.select(header.alias("header")).filter(F.trim("header") != "").distinct().orderBy("header").collect()
+    frames = [
+        clean_commodity_sheet(parse_csv_documents(
+            documents.filter(header == r["header"]), header_columns(r["header"]), text, header_line))
+        for r in found
+    ]
+    return union_feeds([f for f in frames if f.columns == COMMODITY_FEED.names], COMMODITY_FEED, documents.sparkSession)
+
+
 def read_commodity_sheet(
     spark: SparkSession, path: str | Sequence[str], header_line: int = 4
 ) -> DataFrame:

@@ -97,9 +97,9 @@ def test_files_with_different_headers(spark, tmp_path):
     (sheets / "b.csv").write_text(two)
     want = [(2020, 1, "Gold", 10.0), (2020, 1, "Wheat", 4.0), (2020, 2, "Copper", 9.0), (2020, 2, "Wheat", 5.0)]
     assert values(csv_feed.read_commodity_sheet(spark, str(sheets))) == want
-    assert values(csv_feed.sheet_cells(spark.createDataFrame([(one,), (two,)], "value string"))) == want
+    assert values(csv_feed.parse_commodity_sheets(spark.createDataFrame([(one,), (two,)], "value string"))) == want
     quoted = 'a,"b, ""c""",\n"2020M03",x,"1,000"\n2020M04,"7",1\n'
-    assert values(csv_feed.sheet_cells(spark.createDataFrame([(quoted,), (None,), ("",)], "value string"), header_line=1)) == [(2020, 4, 'b, "c"', 7.0)]
+    assert values(csv_feed.parse_commodity_sheets(spark.createDataFrame([(quoted,), (None,), ("",)], "value string"), header_line=1)) == [(2020, 4, 'b, "c"', 7.0)]
 
 
 @pytest.mark.parametrize("prefix", ["", "g:"])
