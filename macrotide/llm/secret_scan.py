@@ -6,7 +6,8 @@ is cut into segments of least total guess cost by dynamic programming. A segment
 (with leet and capital variants), a date, a repeat, a keyboard walk, a sequence, or a brute-force
 span priced by its character classes. Costs are base-10 logarithms of guesses; a value that needs
 at least `GUESSES` of them is a secret. Prose after a credential word is cheap or has a single
-class of characters and stays.
+class of characters and stays. A value that base spans hold whole is not listed again; one that reaches
+beyond them is, and the base spans stay.
 
 Scale. One pass over the documents, nothing is shuffled, whole texts are scanned. The dynamic
 programme sees values of up to `LONGEST` characters; longer ones are secrets if their mean cost per
@@ -48,6 +49,7 @@ CONTEXT_WORDS = (
 CONTEXT = re.compile(
     r"(?<![A-Za-z0-9])(?:" + "|".join(_either(w) for w in sorted(CONTEXT_WORDS, key=len, reverse=True))
     + r""")(?:["']?[\x20\t]*(?::=|=>|->|[:=])|[\x20\t]+(?:is|was)(?=[\x20\t:]))[\x20\t:]*["'`]?([!-~]+)""")
+AFTER = re.compile("[A-Za-z0-9]")
 MARKS = tuple(w.split()[0].split("_")[0].split("-")[0].encode() for w in CONTEXT_WORDS)
 
 #: Common password words, most common first: the place is the number of guesses.
@@ -131,6 +133,17 @@ def is_secret(value: str, guesses: float = GUESSES) -> bool:
     return sum(map(guess_cost, pieces)) / len(value) * LONGEST >= guesses
 
 
+def joined(ranges) -> list[list[int]]:
+    """The union of (start, end) ranges, in order."""
+    out: list[list[int]] = []
+    for start, end in sorted(ranges):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return out
+
+
 def spans_of(text: str, guesses: float = GUESSES) -> list[tuple[int, int, int]]:
     """(start, kind, end) of all spans, in order; kinds by their place in KINDS."""
     low = text.lower().encode()
@@ -140,11 +153,13 @@ def spans_of(text: str, guesses: float = GUESSES) -> list[tuple[int, int, int]]:
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     if any(mark in low for mark in MARKS):
-        base = list(found)
+        base = joined((a, b) for a, _, b in found)
         for m in CONTEXT.finditer(text):
             value = m[1].rstrip("\"'`,;:.!?)]}>")
+            if (quote := text[m.start(1) - 1]) in "\"'`" and (last := m[1].rfind(quote)) >= 0 and not AFTER.search(m[1], last):
+                value = m[1][:last]  # signs before the closing quote belong to the value, those behind it do not
             start, end = m.start(1), m.start(1) + len(value)
-            if not any(a < end and start < b for a, _, b in base) and is_secret(value, guesses):
+            if not any(a <= start and end <= b for a, b in base) and is_secret(value, guesses):
                 found.append((start, 3, end))
     return sorted(found)
 
@@ -172,14 +187,11 @@ def scan(documents: DataFrame, guesses: float = GUESSES) -> DataFrame:
 
 
 def redacted(text: str, guesses: float = GUESSES) -> str:
-    """The text with the secret of every span replaced; names before a value stay readable."""
+    """The text with the union of all spans replaced; names before a value stay readable."""
     kept, at = [], 0
-    for start, kind, end in spans_of(text, guesses):
-        if kind == 0:
-            start = ASSIGN.match(text, start).start(2)
-        if start >= at:
-            kept += [text[at:start], "[secret]"]
-        at = max(at, end)
+    for start, end in joined((ASSIGN.match(text, a).start(2) if k == 0 else a, b) for a, k, b in spans_of(text, guesses)):
+        kept += [text[at:start], "[secret]"]
+        at = end
     return "".join([*kept, text[at:]])
 
 
