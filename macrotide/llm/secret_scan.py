@@ -5,13 +5,14 @@ spans of kind `guess`: wherever a credential word is followed by a separator and
 is cut into segments of least total guess cost by dynamic programming. A segment is a listed word
 (with leet and capital variants), a date, a repeat, a keyboard walk, a sequence, or a brute-force
 span priced by its character classes. Costs are base-10 logarithms of guesses; a value that needs
-at least `GUESSES` of them is a secret. Prose after a credential word is cheap or has a single
-class of characters and stays. A value that base spans hold whole is not listed again; one that reaches
+at least `GUESSES` of them is a secret, whatever its characters. Prose after a credential word is cheap, as
+its words are listed, and stays; a word of eight letters or more that is not listed is a secret. A value that base spans hold whole is not listed again; one that reaches
 beyond them is, and the base spans stay.
 
 Scale. One pass over the documents, nothing is shuffled, whole texts are scanned. The dynamic
-programme sees values of up to `LONGEST` characters; longer ones are secrets if their mean cost per
-character over consecutive pieces is that of a secret, so no value is skipped.
+programme runs over the whole value and stops where every way on is dear enough. In values of more than
+`LONGEST` characters a long repeat is tried from its first `LONGEST` places to its last, so its time
+grows with the length of the value.
 
 Cases. Null texts count as empty; empty texts, tables and repeated rows give the obvious results.
 Other columns are ignored by the query and kept by `redact`.
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.llm.common import map_batches, table
+from macrotide.llm.english import WORDS
 
 GUESSES, LONGEST, LEAST = 10.0, 64, 6
 KINDS = ("assign", "access", "hex", "guess")
@@ -62,7 +64,8 @@ COMMON = (
     "that", "with", "from", "not", "none", "null", "true", "false", "empty", "required", "optional", "value", "string",
     "key", "token", "reset", "change", "enter", "type", "here", "username", "email", "name", "number", "phone", "server",
 )
-RANK = {w: i + 1 for i, w in enumerate(COMMON)}
+RANK = {w: i + 1 for i, w in enumerate(dict.fromkeys(COMMON + WORDS))}
+LONGEST_WORD = max(map(len, RANK))
 LEET = str.maketrans("013457@$!", "oleastasi")
 ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 NEXT_TO = {a + b for row in ROWS for a, b in zip(row, row[1:])} | {
@@ -82,22 +85,28 @@ def segments(value: str):
     """(start, stop, cost) of every span that a guesser would try as a whole."""
     low, n = value.lower(), len(value)
     plain = low.translate(LEET)
+    # same[u][i]: how many characters from i on equal the one u places before them, from i + u
+    same = {unit: [0] * (n + 1) for unit in range(1, 5)}
+    for unit, run in same.items():
+        for i in range(n - unit - 1, -1, -1):
+            run[i] = run[i + 1] + 1 if value[i] == value[i + unit] else 0
     for i in range(n):
-        for j in range(i + 3, min(n, i + 12) + 1):
+        for j in range(i + 3, min(n, i + LONGEST_WORD) + 1):
             for form in {low[i:j], plain[i:j]}:
                 if form in RANK:
                     changed = (form != low[i:j]) + (low[i:j] != value[i:j])
                     yield i, j, math.log10(RANK[form] + 1) + 0.5 * changed
         if m := DATE.match(value, i):
             yield i, m.end(), math.log10(365 * 120) + (0.6 if m.end() - i > 8 else 0)
-        for unit in range(1, 5):
-            times = 1
-            while value[i + times * unit:i + (times + 1) * unit] == value[i:i + unit] and len(value[i:i + unit]) == unit:
-                times += 1
+        for unit, run in same.items():
+            if i >= LONGEST and run[i - LONGEST] >= LONGEST + unit:
+                continue  # far inside a repeat that was tried from its start
+            most = 1 + run[i] // unit
+            for times in (*range(2, min(most, LONGEST) + 1), *range(max(LONGEST + 1, most - LONGEST), most + 1)):
                 if times * unit >= 3:
                     yield i, i + times * unit, brute(value[i:i + unit]) + math.log10(times)
         j = i + 1
-        while j < n and low[j - 1] + low[j] in NEXT_TO:
+        while j < min(n, i + LONGEST) and low[j - 1] + low[j] in NEXT_TO:
             j += 1
             if j - i >= 3:
                 yield i, j, math.log10(47 * 4) + 0.5 * (j - i - 2)
@@ -109,28 +118,39 @@ def segments(value: str):
                 yield i, j, math.log10(26) + math.log10(j - i)
 
 
-def guess_cost(value: str) -> float:
-    """Least log10 of guesses over all ways to cut the value into segments and brute-force spans."""
-    n = len(value)
-    known: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+def steps(value: str, per: float):
+    """The segments in order of their start, after the brute-force character at each place."""
+    at = -1
     for i, j, cost in segments(value):
-        known[j].append((i, cost))
-    best, spare = [0.0] + [math.inf] * n, [0.0] + [math.inf] * n
+        while at < i:
+            at += 1
+            yield at, at + 1, per
+        yield i, j, cost
+    for at in range(at + 1, len(value)):
+        yield at, at + 1, per
+
+
+def guess_cost(value: str, enough: float = math.inf) -> float:
+    """Least log10 of guesses over all ways to cut the value into segments and brute-force spans; once every
+    way on costs `enough`, a bound of at least that much."""
+    n = len(value)
+    best = [0.0] + [math.inf] * n
     per = brute(value) / max(1, n)  # one price per brute-force character: the classes of the whole value
-    for j in range(1, n + 1):
-        spare[j] = min(best[j - 1], spare[j - 1]) + per  # the last character is brute force
-        best[j] = min([spare[j], *(best[i] + cost for i, cost in known[j])])
+    cheap = at = 0  # the last place known to be reached for less than enough
+    for i, j, cost in steps(value, per):
+        if i > at:
+            at = i
+            if cheap < at:
+                return enough
+        if best[i] + cost < best[j]:
+            best[j] = best[i] + cost
+            if best[j] < enough:
+                cheap = max(cheap, j)
     return best[n]
 
 
 def is_secret(value: str, guesses: float = GUESSES) -> bool:
-    classes = sum(bool(re.search(c, value)) for c in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    if len(value) < LEAST or classes < 2 or not re.search("[0-9]", value):
-        return False  # one class, or no digit: words of a sentence
-    if len(value) <= LONGEST:
-        return guess_cost(value) >= guesses
-    pieces = [value[i:i + LONGEST] for i in range(0, len(value), LONGEST)]
-    return sum(map(guess_cost, pieces)) / len(value) * LONGEST >= guesses
+    return len(value) >= LEAST and guess_cost(value, guesses) >= guesses
 
 
 def joined(ranges) -> list[list[int]]:

@@ -109,6 +109,18 @@ def test_redaction_keeps_names_and_rows(spark):
     assert secret_scan.scan(empty(spark)).count() == 0
 
 
+def test_guess_cost_decides_for_every_value():
+    for text in ("passphrase is CorrectHorse!Battery", "pwd: kQzXvBnMhGtRplw", "private key is QWmzRtLpXbNcVd", "secret is xkqzvbnmwt"):
+        assert [k for _, k, _ in secret_scan.spans_of(text)] == [3], text
+    for text in ("the password is required", "the secret was everything", "token is available", "my passphrase is different from yours",
+                 "pwd: aaaaaaaaaaaa", "pwd: qwertyuiop", "pwd: abcdefghijk"):
+        assert not secret_scan.spans_of(text), text
+    value = "x8Kq29zLmP0wYt5RbN3cVd7H"
+    assert secret_scan.is_secret(value) and secret_scan.is_secret(value + "=" * 600) and secret_scan.is_secret("=" * 600 + value)
+    assert not secret_scan.is_secret("=" * 100_000) and not secret_scan.is_secret("ab" * 50_000 + "2020")
+    assert secret_scan.guess_cost("=" * 1000) == pytest.approx(secret_scan.brute("=") + 3)
+
+
 @pytest.mark.parametrize(("text", "spans", "left"), [
     ('password = "Summer2024!x#9Q" now', "assign:0:22,guess:12:27", 'password = "[secret]" now'),
     ("pwd: 0123456789abcdef01234567!Zk9#Qw2 x", "guess:5:37,hex:5:29", "pwd: [secret] x"),
