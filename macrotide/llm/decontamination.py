@@ -8,7 +8,8 @@ one window, found at its own end. Words inside windows are hit.
 
 Scale. One pass over the documents without a shuffle. Items are broadcast in blocks of at most
 `BLOCK_WORDS` words (a proven bound), and the automaton is built by each task; with several blocks
-the documents pass once per block and only the rows that hit are merged, by document. A single item
+the documents pass once per block and only the rows that hit are merged, by document; `decontaminate` repeats
+this for the documents it cut. A single item
 longer than a block is cut into pieces that overlap by a window less one word, which keeps every
 window.
 
@@ -20,12 +21,13 @@ rows give repeated results. Other columns are ignored by the query and kept by `
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from macrotide.llm.common import map_batches, table
+from macrotide.llm.common import map_batches, staged, table
 
 WINDOW = 10
 BLOCK_WORDS = 100_000
@@ -178,6 +180,21 @@ def _hits_of_block(documents: DataFrame, items: list, window: int) -> DataFrame:
     return map_batches(documents, schema, work)
 
 
+def _merged(every: DataFrame, keys: list[str]) -> DataFrame:
+    """What several blocks found, merged by key: (keys, n_words, items, spans, n_hit)."""
+    spans = F.array_sort(F.flatten(F.collect_set("spans")))
+    merged = F.aggregate(
+        spans, F.array().cast("array<struct<start:bigint,stop:bigint>>"),
+        lambda done, s: F.when(
+            (F.size(done) > 0) & (F.element_at(done, -1)["stop"] >= s["start"]),
+            F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(
+                F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["stop"], s["stop"]).alias("stop")))))
+        .otherwise(F.concat(done, F.array(s))))
+    return every.groupBy(*keys).agg(
+        F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        merged.alias("spans")).withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"]))
+
+
 def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, n_words, n_hit, items, spans) per row; spans are in words."""
     blocks = item_blocks(benchmark, window, block_words)
@@ -190,17 +207,7 @@ def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block
     every = found[0]
     for more in found[1:]:
         every = every.union(more.where("n_hit > 0"))
-    spans = F.array_sort(F.flatten(F.collect_list("spans")))
-    merged = F.aggregate(
-        spans, F.array().cast("array<struct<start:bigint,stop:bigint>>"),
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["stop"] >= s["start"]),
-            F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(
-                F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["stop"], s["stop"]).alias("stop")))))
-        .otherwise(F.concat(done, F.array(s))))
-    once = every.groupBy("doc_id", "digest").agg(
-        F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        merged.alias("spans")).withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"]))
+    once = _merged(every, ["doc_id", "digest"])
     rows = keyed.select("doc_id", "digest")
     return rows.alias("k").join(once.alias("o"), F.col("k.doc_id").eqNullSafe(F.col("o.doc_id")) & F.col("k.digest").eqNullSafe(F.col("o.digest"))) \
         .select("k.doc_id", "n_words", "n_hit", "items", "spans")
@@ -220,12 +227,39 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, longest: int = 0,
                   window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents, all columns, without benchmark spans of more than `longest` words; documents
     of which hit words cover more than `coverage` go as a whole. Cut texts are scanned again until
-    nothing is found, as what stood on both sides of a cut comes together."""
+    nothing is found, as what stood on both sides of a cut comes together. The result does not depend
+    on how the benchmark falls into blocks: coverage and cuts follow the spans of all blocks."""
     columns, at = documents.columns, documents.columns.index("text")
-    cleaned = documents.withColumn("text", F.col("text").cast("string"))
-    for items in item_blocks(benchmark, window, block_words):
-        cleaned = _clean_block(cleaned, documents.sparkSession.sparkContext.broadcast(items), at, longest, coverage, window)
-    return cleaned.select(columns)
+    texts, blocks = documents.withColumn("text", F.col("text").cast("string")), item_blocks(benchmark, window, block_words)
+    if len(blocks) == 1:
+        return _clean_block(texts, documents.sparkSession.sparkContext.broadcast(blocks[0]), at, longest, coverage, window).select(columns)
+    return _clean_blocks(texts, blocks, at, longest, coverage, window).select(columns)
+
+
+def _clean_blocks(documents: DataFrame, blocks: list, at: int, longest: int, coverage: float, window: int) -> DataFrame:
+    """Rounds over all blocks: the first over the documents, each later one over those cut in the one before."""
+    names, key, found = documents.columns, "hit_digest", "hit_found"
+    cut_before, done = documents, None
+
+    def work(batches):
+        for batch in batches:
+            texts = [cut(t, [(s["start"], s["stop"]) for s in spans]) for t, spans in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True)]
+            yield {n: batch.column(i) if i != at else texts for i, n in enumerate(names)}
+
+    while True:
+        keyed = cut_before.withColumn(key, F.sha2("text", 256))
+        folded = keyed.select(key, F.col("text").cast("binary").alias("folded"))
+        every = [_hits_of_block(folded, b, window).where("n_hit > 0") for b in blocks]
+        merged = staged(_merged(reduce(DataFrame.union, every), [key]).select(key, F.struct("n_words", "n_hit", "spans").alias(found)))
+        rows = keyed.join(merged, key, "left")
+        if done is None:  # coverage is that of the uncut text
+            rows = rows.where(F.col(found).isNull() | (F.col(f"{found}.n_hit") <= coverage * F.col(f"{found}.n_words")))
+        long = F.coalesce(F.filter(f"{found}.spans", lambda s: s["stop"] - s["start"] > longest), F.array())
+        calm = rows.where(F.size(long) == 0).select(names)
+        done = calm if done is None else done.union(calm)
+        cut_before = staged(map_batches(rows.where(F.size(long) > 0).select(*names, long.alias(found)), documents.schema, work))
+        if cut_before.isEmpty():
+            return done
 
 
 def _clean_block(documents: DataFrame, sent, at: int, longest: int, coverage: float, window: int) -> DataFrame:

@@ -56,6 +56,24 @@ def test_decontaminated_texts_have_no_window_left(spark):
     assert decontamination.hits(clean, benchmark(spark, ITEMS[:1])).where("n_hit > 0").count() == 0
 
 
+def test_decontamination_does_not_depend_on_blocks(spark):
+    def words(name, n):
+        return " ".join(f"{name}{k}" for k in range(n))
+
+    one, two = words("one", 12), words("two", 12)
+    items = [(1, one), (2, two), (3, "short item"), (4, words("four", 12))]
+    rows = [(1, f"{one} {words('x', 16)} {two}", "en", "a", 1, 0.0),  # 30 % each, 60 % together
+            (2, f"{one} {words('y', 40)} {two}", "en", "a", 1, 0.0),
+            (3, f"{words('z', 50)} one0 one1 one2 one3 one4 {two} one5 one6 one7 one8 one9 one10 one11", "en", "a", 1, 0.0),  # joined by a later block's cut
+            (4, f"{words('v', 50)} short {two} item {words('w', 5)}", "en", "a", 1, 0.0),
+            (2, f"{one} {words('y', 40)} {two}", "en", "a", 1, 0.0), (None, f"{words('u', 30)} {two}", None, None, None, None), *ROWS]
+    whole, parts = (sorted(map(tuple, decontamination.decontaminate(documents(spark, rows), benchmark(spark, items), block_words=n).collect()), key=str)
+                    for n in (100_000, 12))
+    assert parts == whole and len(whole) == len(rows) - 1 and "one0" not in str(whole)
+    left = decontamination.decontaminate(documents(spark, rows), benchmark(spark, items), block_words=12)
+    assert decontamination.hits(left, benchmark(spark, items)).where("n_hit > 0").count() == 0
+
+
 def test_decontamination_of_nothing(spark):
     assert decontamination.hits(empty(spark), benchmark(spark)).count() == 0
     assert decontamination.hits(documents(spark), benchmark(spark, [])).where("n_hit > 0").count() == 0
