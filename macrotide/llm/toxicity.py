@@ -13,12 +13,14 @@ which the machine is linear. As sentences are sums over words, the trained machi
 word, kept in a cache of bounded size while a task streams its texts; so is a second machine over whole documents.
 
 Training. `TRAINING` labelled documents at most of each class, the first of a hash order (the
-documented bound of the sample). Sentences inherit the label; in a toxic document only its worst
+documented bound of the sample), each with all its sentences. Sentences inherit the label; in a toxic document only its worst
 sentence counts, chosen anew in each of `ROUNDS` fits (squared hinge loss, Newton steps). A logistic
 fit turns the worst sentence, the second worst, the total and the value of the second machine, which
 is trained on whole documents, into the score of a document.
 
-Scale. Sampled texts are picked by a broadcast of at most twice `TRAINING` ids. Scoring is one pass
+Scale. Sampled texts are picked by a broadcast of at most twice `TRAINING` ids. Their sentences stay in the
+shared folder as landmark sums: the tasks add up gradients and Newton matrices, and the driver sees one
+sum per task and step and four numbers per sampled document. Scoring is one pass
 over all documents, whole texts, without a shuffle.
 
 Cases. Null texts count as empty; empty texts get the score of no evidence. Null labels are left out.
@@ -39,7 +41,7 @@ from macrotide.llm.common import bucket_of, map_batches, staged, table
 
 SPAN, DECAY, SHARP = 6, 0.7, 6
 LANDMARKS, COMMON = 72, 8
-TRAINING, SENTENCES, ROUNDS = 2_500, 8, 4
+TRAINING, ROUNDS = 2_500, 4
 WHOLE = 0.01
 CACHE = 200_000
 LETTERS = 64
@@ -137,30 +139,38 @@ class Toxicity:
             self.word, self.bias = np.zeros((len(landmarks), 2)), 0.0
             self.document = np.zeros(5)
 
-    def fit(self, bags: list[np.ndarray], totals: np.ndarray, labels: np.ndarray) -> None:
-        """bags: per document the landmark sums of its sentences that speak most for toxicity;
-        totals: those of whole documents."""
-        if not bags or labels.min() == labels.max():
+    def fit(self, bags: DataFrame) -> None:
+        """bags: (label, sums, totals) per document: landmark sums of all its sentences, and of the whole."""
+        m, root = len(self.landmarks), self.root
+        rows = bags.select("label", "totals").toArrow()
+        labels = rows["label"].to_numpy()
+        if not len(labels) or labels.min() == labels.max():
             return
         self.ready = True
-        count = np.array([len(b) for b in bags])
-        start = np.concatenate([[0], np.cumsum(count)[:-1]])
-        sums = np.concatenate(bags)
-        x = np.hstack([sums @ self.root, np.ones((len(sums), 1))])
-        doc = np.repeat(np.arange(len(bags)), count)
-        worst = sums[:, :LANDMARKS].sum(1)
+        totals = rows["totals"].combine_chunks().flatten().to_numpy().reshape(-1, m)
+        w = np.zeros(root.shape[1] + 1)
+        n = newton_sums(bags, root, None, w)[2]
+        chooser = None
         for _ in range(ROUNDS):
-            order = np.lexsort((-worst, doc))
-            top = order[start[count > 0]]
-            used = (labels[doc] == 0)
-            used[top[labels[doc[top]] == 1]] = True
-            w = squared_hinge(x[used], np.where(labels[doc[used]] == 1, 1.0, -1.0))
-            worst = x @ w
-        whole = squared_hinge(np.hstack([totals @ self.root, np.ones((len(totals), 1))]), np.where(labels == 1, 1.0, -1.0), WHOLE)
-        self.word = np.stack([self.root @ w[:-1], self.root @ whole[:-1]], 1)
+            for _ in range(30):
+                gradient, matrix, _ = newton_sums(bags, root, chooser, w, n)
+                step = np.linalg.solve(matrix, gradient)
+                w = w - step
+                if np.abs(step).max() < 1e-9:
+                    break
+            chooser = w
+        whole = squared_hinge(np.hstack([totals @ root, np.ones((len(totals), 1))]), np.where(labels == 1, 1.0, -1.0), WHOLE)
+        self.word = np.stack([root @ w[:-1], root @ whole[:-1]], 1)
         self.bias = whole[-1]
-        facts = np.array([self.facts((b @ self.word)[:, 0], t @ self.word[:, 1]) for b, t in zip(bags, totals, strict=True)])
-        self.document = logistic(facts, labels)
+        word, facts_of = self.word, self.facts
+
+        def read(batches):
+            for batch in batches:
+                found = [facts_of(x @ word[:, 0], np.array(t) @ word[:, 1]) for x, t in zip(sums_of(batch.column(1), m), batch.column(2).to_pylist(), strict=True)]
+                yield {"label": batch.column(0), "facts": found}
+
+        facts = map_batches(bags.select("label", "sums", "totals"), "label int, facts array<double>", read).toArrow()
+        self.document = logistic(facts["facts"].combine_chunks().flatten().to_numpy().reshape(-1, 4), facts["label"].to_numpy())
 
     def facts(self, sentence_values: np.ndarray, total: float) -> list[float]:
         """Worst and second worst sentence, the total of what speaks for toxicity, the whole."""
@@ -174,6 +184,41 @@ class Toxicity:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
+def sums_of(column, m: int) -> list[np.ndarray]:
+    """Landmark sums (sentence, landmark) of each document."""
+    return [np.frombuffer(b, np.float32).reshape(-1, m).astype(np.float64) for b in column.to_pylist()]
+
+
+def newton_sums(bags: DataFrame, root: np.ndarray, chooser: np.ndarray | None, w: np.ndarray, n: tuple[int, int] = (1, 1),
+                penalty: float = 1e-3) -> tuple[np.ndarray, np.ndarray, tuple[int, int]]:
+    """Gradient and Newton matrix of the class-balanced squared hinge loss at w, over all sentences of label 0 and the
+    worst sentence, by `chooser`, of each document of label 1; and how many of both there are. Added up in the tasks."""
+    m, k = len(root), len(w)
+
+    def work(batches):
+        gradient, matrix, count = np.zeros(k), np.zeros((k, k)), [0, 0]
+        for batch in batches:
+            for y, sums in zip(batch.column(0).to_pylist(), sums_of(batch.column(1), m), strict=True):
+                if not len(sums):
+                    continue
+                x = np.hstack([sums @ root, np.ones((len(sums), 1))])
+                if y == 1:
+                    worst = int(np.argmax(sums[:, :LANDMARKS].sum(1) if chooser is None else x @ chooser))
+                    x = x[worst:worst + 1]
+                count[y] += len(x)
+                sign, share = (1.0, 0.5 / n[1]) if y == 1 else (-1.0, 0.5 / n[0])
+                slack = 1 - sign * (x @ w)
+                x, slack = x[slack > 0], slack[slack > 0]
+                gradient -= 2 * share * sign * (x.T @ slack)
+                matrix += 2 * share * (x.T @ x)
+        yield {"sums": [np.concatenate([gradient, matrix.ravel(), count])]}
+
+    parts = map_batches(bags.select("label", "sums"), "sums array<double>", work).toArrow()["sums"]
+    total = parts.combine_chunks().flatten().to_numpy().reshape(-1, k + k * k + 2).sum(0)
+    ridge = penalty * np.eye(k)
+    return ridge @ w + total[:k], ridge + total[k:-2].reshape(k, k) + 1e-9 * np.eye(k), (max(1, int(total[-2])), max(1, int(total[-1])))
+
+
 def squared_hinge(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
     """Linear machine with class-balanced squared hinge loss, by Newton steps."""
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
@@ -263,19 +308,15 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", fold=No
                 read = [sentences(t) for t in part.column(1).to_pylist()]
                 new = sorted(set(chain.from_iterable(chain.from_iterable(read))))
                 place, values = {w: i for i, w in enumerate(new)}, kernel(new)
-                tops, totals = [], []
+                every, totals = [], []
                 for parts in read:
-                    sums = np.array([values[[place[w] for w in p]].sum(0) for p in parts]).reshape(len(parts), -1)
-                    order = np.argsort(-sums[:, :LANDMARKS].max(1, initial=0), kind="stable")[:SENTENCES]
-                    tops.append(sums[order].astype(np.float32).ravel())
+                    sums = np.array([values[[place[w] for w in p]].sum(0) for p in parts]).reshape(len(parts), kernel.m)
+                    every.append(sums.astype(np.float32).tobytes())
                     totals.append(sums.sum(0))
-                yield {"known_id": part.column(2), "label": part.column(0), "tops": tops, "totals": totals}
+                yield {"label": part.column(0), "sums": every, "totals": totals}
 
-    rows = map_batches(texts.select("label", "text", "known_id"), "known_id bigint, label int, tops array<float>, totals array<double>", bagged).toArrow()
-    rows = rows.sort_by([("known_id", "ascending")])
-    tops = [r.values.to_numpy().reshape(-1, len(model.landmarks)) for r in rows["tops"]]
-    whole = rows["totals"].combine_chunks().flatten().to_numpy().reshape(-1, len(model.landmarks))
-    model.fit(tops, whole, rows["label"].to_numpy())
+    bags = staged(map_batches(texts.select("label", "text"), "label int, sums binary, totals array<double>", bagged))
+    model.fit(bags.coalesce(documents.sparkSession.sparkContext.defaultParallelism))  # some fifty short passes
     return model
 
 

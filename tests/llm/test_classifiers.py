@@ -78,6 +78,31 @@ def test_toxicity_held_out(spark, tables):
     assert toxicity.classify(empty(spark), model).count() == 0
 
 
+def test_toxicity_trains_on_all_sentences(spark):
+    rng = random.Random(8)
+    rows, labels = [(900, "", "en", "a", 1, 0.5)], [(900, 1, 0)]
+    for k in range(80):
+        parts = [" ".join(rng.choice(PLAIN) for _ in range(6)) for _ in range(rng.choice([3, 40]))]
+        if k % 2:
+            parts[rng.randrange(len(parts))] += " " + rng.choice(INSULTS)
+        rows.append((k, ". ".join(parts) + ".", "en", "a", 1, 0.5))
+        labels.append((k, 1, k % 2))
+    model = toxicity.train(documents(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    facts = toxicity.Reader(model).facts([r[1] for r in rows])  # of whole texts, as scored
+    assert model.document == pytest.approx(toxicity.logistic(facts, np.array([y for *_, y in labels])), rel=1e-3, abs=1e-3)
+    # and the sentence machine is at its minimum over all sentences of label 0 and the worst of label 1
+    w = np.append(np.linalg.lstsq(model.root, model.word[:, 0], rcond=None)[0], 0.0)
+    x, y = [], []
+    for (_, text, *_), (*_, label) in zip(rows, labels, strict=True):
+        sums = np.array([model.kernel(p).sum(0) for p in toxicity.sentences(text)]).reshape(-1, len(model.landmarks))
+        z = np.hstack([sums @ model.root, np.ones((len(sums), 1))])
+        keep = [int(np.argmax(z @ w))] if label else range(len(z))
+        x += [z[i] for i in keep]
+        y += [1.0 if label else -1.0] * len(keep)
+    best = toxicity.squared_hinge(np.array(x), np.array(y))
+    assert model.root @ best[:-1] == pytest.approx(model.word[:, 0], rel=1e-2, abs=1e-2)
+
+
 def test_toxicity_without_labels(spark, tables):
     docs, labels, _ = tables
     none = toxicity.train(docs, labels.where("false"))
