@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from support import values
 from macrotide.operators.clean import (
     clean_commodities, clean_commodity_sheet, clean_inflation, clean_wage_table, clean_wages,
 )

@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import values
+from support import values
 from macrotide.functions.country import CountryLookup
 from macrotide.operators.standardize import normalize_columns, standardize_countries
 

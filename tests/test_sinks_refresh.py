@@ -4,7 +4,7 @@ from datetime import date
 
 import pytest
 
-from conftest import values
+from support import values
 from macrotide.functions.country import CountryLookup
 from macrotide.operators import sinks
 from macrotide.operators.quality import constraint_report

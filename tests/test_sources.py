@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from support import values
 from macrotide.schemas import INFLATION_INDICATORS
 from macrotide.sources import csv_feed, json_feed, tables, xml_feed
 

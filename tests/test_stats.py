@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import values
+from support import values
 from macrotide.operators import analytics, stats, views
 
 
