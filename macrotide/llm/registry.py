@@ -10,6 +10,7 @@ from macrotide.llm.decontamination import op7_decontamination
 from macrotide.llm.lm_score import op8_lm_score
 from macrotide.llm.mixing import op6_mixing
 from macrotide.llm.oracle import ORACLE
+from macrotide.llm.periodic_runs import op11_periodic_runs
 from macrotide.llm.quality_classifier import op5_quality_classifier
 from macrotide.llm.quality_rules import op4_quality_rules
 from macrotide.llm.secret_scan import op3_secret_scan
@@ -20,7 +21,7 @@ from macrotide.llm.warc import op10_warc
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_simhash, op2_toxicity, op3_secret_scan, op4_quality_rules, op5_quality_classifier, op6_mixing, op7_decontamination,
-    op8_lm_score, op9_suffix_dedup, op10_warc)
+    op8_lm_score, op9_suffix_dedup, op10_warc, op11_periodic_runs)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
