@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from macrotide.operators.analytics import latest_names
 from macrotide.schemas import TABLES
+from macrotide.session import new_folder, stored
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -79,6 +80,26 @@ def with_serial_id(df: DataFrame, after: int = 0, into: str = "id") -> DataFrame
     return df.select((F.monotonically_increasing_id() + F.lit(after + 1)).alias(into), *df.columns)
 
 
+def with_dense_ids(
+    df: DataFrame, order: Sequence[str], after: int = 0, into: str = "id", folder: str | None = None,
+) -> DataFrame:
+    """Ids ``after + 1``, ``after + 2`` and so on in the order of columns that name each row once.
+
+    Rows are sorted by ranges and written with their task and place; the ids are the places plus
+    the numbers of rows in the tasks before (one row per task). As the places are written, a lost executor gives
+    nobody another id.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = stored(
+        df.orderBy(*order).select("*", F.spark_partition_id().alias("__task"), place.alias("__place")),
+        folder or new_folder(df.sparkSession, "ids"))
+    earlier = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = placed.groupBy("__task").agg(F.count("*").alias("__rows"))
+    before = tasks.select("__task", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
+    return placed.join(F.broadcast(before), "__task").select(
+        (F.lit(after) + F.col("__before") + F.col("__place") + 1).alias(into), *df.columns)
+
+
 def with_stamps(df: DataFrame, now: Column | None = None) -> DataFrame:
     now = F.current_timestamp() if now is None else now
     return df.withColumns({"created_at": now, "updated_at": now})
@@ -86,14 +107,15 @@ def with_stamps(df: DataFrame, now: Column | None = None) -> DataFrame:
 
 def upsert(
     existing: DataFrame, incoming: DataFrame, key: Sequence[str], now: Column | None = None,
-    keep: Sequence[str] = ("id", "created_at"), stamp: str = "updated_at",
+    keep: Sequence[str] = ("id", "created_at"), stamp: str = "updated_at", last_id: int | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Existing rows with those of ``incoming`` put over them by key.
 
     A row that existed keeps its id and creation stamp; whatever comes in is stamped now, and
-    new rows get ids above the highest. Keys match null-safe.
+    new rows get the ids after ``last_id`` (by default the highest of ``existing``) in the order of their key. Keys match null-safe.
     ``incoming`` must be unique on the key (see ``one_per_key``). One full outer join, so each
-    side is shuffled once.
+    side is shuffled once; with ids its result is written once to ``folder``, and only new rows are sorted.
     """
     now = F.current_timestamp() if now is None else now
     new = incoming.select(*[F.col(c).alias(f"__new_{c}") for c in incoming.columns], F.lit(True).alias("__new"))
@@ -106,9 +128,6 @@ def upsert(
             value = F.when(is_new, now).otherwise(F.col(c))
         elif c == "created_at":
             value = F.coalesce(F.col(c), now)
-        elif c == "id" and c not in incoming.columns:
-            last = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).scalar()
-            value = F.coalesce(F.col(c), last + 1 + F.monotonically_increasing_id())
         elif c in keep:
             value = F.coalesce(F.col(c), fresh) if fresh is not None else F.col(c)
         elif fresh is not None:
@@ -116,4 +135,12 @@ def upsert(
         else:
             value = F.col(c)
         columns.append(value.alias(c))
-    return existing.join(new, on, "full_outer").select(*columns)
+    put = existing.join(new, on, "full_outer").select(*columns)
+    if "id" not in existing.columns or "id" in incoming.columns:
+        return put
+    if last_id is None:
+        last_id = existing.agg(F.max("id")).first()[0] or 0
+    folder = folder or new_folder(existing.sparkSession, "upsert")
+    put = stored(put, f"{folder}/put")
+    numbered = with_dense_ids(put.filter(F.col("id").isNull()).drop("id"), key, last_id, folder=f"{folder}/new")
+    return put.filter(F.col("id").isNotNull()).unionByName(numbered)

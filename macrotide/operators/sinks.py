@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from macrotide.operators.load import (
-    breaks, conform, country_rows, one_per_key, rejected, upsert, with_serial_id, with_stamps,
+    breaks, conform, country_rows, one_per_key, rejected, upsert, with_dense_ids, with_stamps,
 )
 from macrotide.schemas import REJECTED, TABLES
 
 FORMATS = ("parquet", "csv", "json")
+#: Property of a table: the highest id ever given out.
+LAST_ID = "macrotide.last_id"
 
 
 def save(df: DataFrame, path: str, format: str = "parquet", by_year: bool = False) -> None:
@@ -98,15 +100,29 @@ def create_schema(spark: SparkSession, database: str) -> None:
         spark.sql(view)
 
 
+def last_id(spark: SparkSession, name: str) -> int:
+    """The highest id ever given out in a table: its mark, else the highest id in it."""
+    mark = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}.get(LAST_ID)
+    return int(mark) if mark is not None else spark.table(name).agg(F.max("id")).first()[0] or 0
+
+
+def reserve_ids(spark: SparkSession, name: str, last: int) -> None:
+    """Mark ids up to ``last`` as given out, before rows with them are written: a load that fails then leaves a
+    gap and no id twice."""
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{LAST_ID}' = '{last}')")
+
+
 def load_table(df: DataFrame, table: str, database: str, overwrite: bool = False) -> None:
-    """Write rows into one of the tables, with ids and stamps where the table has them."""
+    """Write rows into one of the tables, with ids and stamps where the table has them. Ids go on after the highest
+    one ever given out, in the order of the key."""
     spark = df.sparkSession
     name = f"{database}.{table}"
     spec = TABLES[table]
     rows = with_stamps(conform(df, table))
     if spec.serial:
-        last = 0 if overwrite else spark.table(name).agg(F.max("id")).first()[0] or 0
-        rows = with_serial_id(rows, last)
+        last = last_id(spark, name)
+        rows = with_dense_ids(rows, [c for c in rows.columns if c not in spec.stamps], last)
+        reserve_ids(spark, name, last + rows.count())
     if spec.by_year:
         rows = rows.hint("rebalance", "year")
     rows.select(*spark.table(name).columns).write.insertInto(name, overwrite=overwrite)
@@ -120,7 +136,8 @@ def load_countries(merged: DataFrame, database: str) -> None:
 def put_table(df: DataFrame, table: str, database: str, folder: str) -> DataFrame:
     """Put rows over those of a table by its key, and return the rows that break a rule of it.
 
-    Loading the same rows again changes nothing but stamps. Only the years that occur are read
+    Loading the same rows again changes nothing but stamps. New rows get ids after the highest one ever given out in
+    the table, whatever years come in. Only the years that occur are read
     and rewritten. The new content is written to ``folder`` first, as a plan must not overwrite
     what it reads.
     """
@@ -130,11 +147,15 @@ def put_table(df: DataFrame, table: str, database: str, folder: str) -> DataFram
     bad = spark.read.schema(REJECTED).parquet(f"{stage}_rejected")
     rows = one_per_key(conform(df.filter(~breaks(df, table)), table), spec.key)
     present = spark.table(name)
+    last = last_id(spark, name) if spec.serial else 0
     if spec.by_year:
         years = rows.select(F.col("year").alias("__year")).distinct()
         present = present.join(years, F.col("year") == F.col("__year"), "left_semi")
-    save(upsert(present, rows, spec.key), stage)
-    content = spark.read.schema(present.schema).parquet(stage).select(*spark.table(name).columns)
+    put = upsert(present, rows, spec.key, last_id=last, folder=f"{stage}_ids")
+    save(put, stage)
+    content = spark.read.schema(put.schema).parquet(stage).select(*spark.table(name).columns)
+    if spec.serial:
+        reserve_ids(spark, name, max(last, content.agg(F.max("id")).first()[0] or 0))
     if spec.by_year:
         content = content.hint("rebalance", "year")
     mode = "spark.sql.sources.partitionOverwriteMode"

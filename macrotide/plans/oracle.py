@@ -379,12 +379,18 @@ _SQL: dict[str, str] = {
     "country_rows": "SELECT DISTINCT country_code, country_name FROM inflation",
     "upsert": """WITH p AS (SELECT l_returnflag = 'R' AS flag, l_partkey AS commodity, CAST(year(l_shipdate) AS INT) AS year,
             min(l_extendedprice) AS price FROM lineitem GROUP BY ALL),
-        a AS (SELECT * FROM p WHERE NOT flag), r AS (SELECT * FROM p WHERE flag)
+        a AS (SELECT commodity, year, price, row_number() OVER (ORDER BY commodity, year) AS id FROM p WHERE NOT flag),
+        r AS (SELECT commodity, year, price FROM p WHERE flag),
+        n AS (SELECT commodity, year, (SELECT max(id) FROM a) + row_number() OVER (ORDER BY commodity, year) AS id
+            FROM r ANTI JOIN a USING (commodity, year))
         SELECT coalesce(r.commodity, a.commodity) AS commodity, coalesce(r.year, a.year) AS year,
-               coalesce(r.price, a.price) AS price, CASE WHEN a.price IS NULL THEN 8 ELSE 7 END::BIGINT AS id,
+               coalesce(r.price, a.price) AS price, coalesce(a.id, n.id)::BIGINT AS id,
                CASE WHEN a.price IS NULL THEN 'second' ELSE 'first' END AS created_at,
                CASE WHEN r.price IS NULL THEN 'first' ELSE 'second' END AS updated_at
-        FROM a FULL JOIN r ON a.commodity = r.commodity AND a.year = r.year""",
+        FROM a FULL JOIN r ON a.commodity = r.commodity AND a.year = r.year
+            LEFT JOIN n ON n.commodity = r.commodity AND n.year = r.year""",
+    "dense_ids": """SELECT 1000 + row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS id, l_orderkey, l_linenumber
+        FROM lineitem""",
     "serial_ids": "SELECT count(*) AS rows, count(*) AS ids, true AS ascending FROM lineitem",
     "parse_indicator_json": """SELECT concat('S', l_suppkey) AS country_code, l_linestatus AS country_name,
             'FP.CPI.TOTL.ZG' AS indicator_code, 'Inflation, consumer prices (annual %)' AS indicator_name,

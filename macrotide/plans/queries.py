@@ -551,12 +551,18 @@ def _price_list(t: Tables, incoming: bool) -> DataFrame:
 
 @query
 def upsert(t: Tables) -> DataFrame:
-    """Price list of the returned goods put over that of all others, with marks for the stamps.
-    The ids of new rows depend on the tasks; what holds for them is that they are above the others."""
-    existing = _price_list(t, False).withColumns({
-        "id": F.lit(7).cast("long"), "created_at": F.lit("first"), "updated_at": F.lit("first")})
-    put = load.upsert(existing, _price_list(t, True), ["commodity", "year"], now=F.lit("second"))
-    return put.withColumn("id", F.least("id", F.lit(8)))
+    """Price list of the returned goods put over that of all others, with marks for the stamps: known
+    goods keep their ids, new ones get the next ids in the order of the key."""
+    key = ["commodity", "year"]
+    existing = load.with_dense_ids(_price_list(t, False), key).withColumns({
+        "created_at": F.lit("first"), "updated_at": F.lit("first")})
+    return load.upsert(existing, _price_list(t, True), key, now=F.lit("second"))
+
+
+@query
+def dense_ids(t: Tables) -> DataFrame:
+    """Ids without gaps after the last one given out, in the order of the key."""
+    return load.with_dense_ids(t.lineitem.select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], after=1000)
 
 
 @query

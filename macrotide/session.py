@@ -5,7 +5,10 @@ The library functions never create a session; callers pass frames or their own s
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution merges small shuffle partitions, splits skewed ones in joins and
 # switches to a broadcast when a side turns out small.
@@ -45,3 +48,19 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         raise ValueError("set spark.checkpoint.dir or name a folder on shared storage")
     return folder.rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str = "stage") -> str:
+    """A new path below the shared folder. Where none is set and everything runs on this machine, a temporary folder
+    is named once for the session; on a cluster that is an error."""
+    local = spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")
+    if local and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="run-"))
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+    """The frame written once and read back from there."""
+    path = path or new_folder(df.sparkSession)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,13 +3,15 @@ import uuid
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from support import values
 from macrotide.functions.country import CountryLookup
 from macrotide.operators import sinks
+from macrotide.operators.load import with_dense_ids
 from macrotide.operators.quality import constraint_report
 from macrotide.plans.refresh import main, refresh
-from macrotide.session import shared_folder, shuffle_partitions
+from macrotide.session import new_folder, shared_folder, shuffle_partitions
 from macrotide.schemas import COMMODITY_FEED, INFLATION_FEED, TABLES, WAGE_FEED
 
 
@@ -78,6 +80,47 @@ def test_loads_append_with_new_ids(spark, database):
     assert values(spark.table(f"{database}.countries"), "country_code", "country_name", "region") == [("USA", "United States", None)]
 
 
+def ids_of(spark, database, table="inflation_rates"):
+    return {(r.country_code, r.year): r.id for r in spark.table(f"{database}.{table}").collect()}
+
+
+def test_ids_are_unique_over_all_loads(spark, tmp_path, database):
+    """Years loaded one after another, one of them again with more rows."""
+    def put(codes, year, run):
+        rows = spark.createDataFrame([(c, year, 0.5) for c in codes], "country_code string, year int, inflation_rate double")
+        sinks.put_table(rows.repartition(3), "inflation_rates", database, str(tmp_path / run))
+        return ids_of(spark, database)
+
+    sinks.create_schema(spark, database)
+    first = put(["DEU", "AUT", "FRA"], 2020, "a")
+    assert first == {("AUT", 2020): 1, ("DEU", 2020): 2, ("FRA", 2020): 3}
+    second = put(["FRA", "DEU"], 2021, "b")
+    assert second == first | {("DEU", 2021): 4, ("FRA", 2021): 5}
+    third = put(["ESP", "DEU", "AUT", "BEL", "FRA"], 2020, "c")
+    assert third == second | {("BEL", 2020): 6, ("ESP", 2020): 7}
+    spark.table(f"{database}.inflation_rates").filter("year = 2020 AND id < 6").write.mode("overwrite").parquet(str(tmp_path / "part"))
+    spark.read.parquet(str(tmp_path / "part")).select(*spark.table(f"{database}.inflation_rates").columns).write.insertInto(
+        f"{database}.inflation_rates", overwrite=True)
+    assert put(["BEL"], 2020, "d")["BEL", 2020] == 8  # an id is never given out again
+
+
+def test_ids_go_on_where_there_is_no_mark(spark, tmp_path, database):
+    sinks.create_schema(spark, database)
+    rows = spark.createDataFrame([(c, y, 0.5) for c in ("AUT", "DEU") for y in (2019, 2020)], "country_code string, year int, inflation_rate double")
+    sinks.load_table(rows, "inflation_rates", database)
+    spark.sql(f"ALTER TABLE {database}.inflation_rates UNSET TBLPROPERTIES ('{sinks.LAST_ID}')")
+    assert sinks.last_id(spark, f"{database}.inflation_rates") == 4
+    sinks.put_table(rows.filter("year = 2019").withColumn("country_code", F.lit("FRA")).dropDuplicates(), "inflation_rates", database, str(tmp_path))
+    assert ids_of(spark, database)["FRA", 2019] == 5
+
+
+def test_dense_ids_follow_the_order(spark):
+    rows = spark.range(1000).select((F.col("id") * 7919 % 1009).alias("k"), F.lit("x").alias("v")).repartition(13)
+    found = [tuple(r) for r in with_dense_ids(rows, ["k"], after=5).orderBy("id").collect()]
+    assert [r[0] for r in found] == list(range(6, 1006)) and [r[1] for r in found] == sorted(r[1] for r in found)
+    assert with_dense_ids(rows.limit(0), ["k"]).count() == 0
+
+
 def test_refresh(spark, tmp_path, database):
     cpi = "Inflation, consumer prices (annual %)"
     inflation = spark.createDataFrame([
@@ -149,6 +192,23 @@ def test_shuffle_sizes():
     assert shuffle_partitions(100 * 1024 ** 4, most=50_000) == 50_000
 
 
+def test_stages_of_one_machine_need_no_setting(spark):
+    assert new_folder(spark, "a") != new_folder(spark, "a")
+    assert new_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+    class Elsewhere:
+        class sparkContext:
+            master = "spark://host:7077"
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        new_folder(Elsewhere)
+
+
 def test_shared_folder_is_the_clusters(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
