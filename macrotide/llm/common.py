@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from pyspark.sql.types import StructType
 
+from macrotide.session import new_folder, stored
+
 #: Java form of the word separators: space, tab, line feed, vertical tab, form feed, return.
 SPACES = "[\\x20\\x09-\\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -22,21 +22,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared(spark: SparkSession) -> str:
-    """A new path below the folder that all executors share, as spark.checkpoint.dir names it.
-    Where the session names none (tests, a single machine) a temporary folder is named once."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    """A new path below the folder that all executors share, as spark.checkpoint.dir names it; see `new_folder`."""
+    return new_folder(spark, "llm")
 
 
 def staged(frame: DataFrame) -> DataFrame:
     """The frame written once to the shared folder and read back: later plans start from files
     that outlive any executor, and their sizes steer the joins."""
-    path = shared(frame.sparkSession)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    return stored(frame, shared(frame.sparkSession))
 
 
 def text_or_empty(name: str = "text"):
