@@ -100,9 +100,43 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, {BASE32.format(hex="hex"
   strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id), '%Y%m%d%H%M%S') AS timestamp
 FROM u"""
 
+FILTER_AUDIT = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, {TEXT} AS t, {WORDS.format(text=TEXT)} AS w FROM documents
+), m AS (
+  SELECT doc_id, part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+    + 4 * (100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 3 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT
+    + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask FROM d
+), l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), c AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask
+), f AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(name, bit)
+), orders AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS prior
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+)
+SELECT part, filter_order, step::INT AS step,
+  coalesce(sum(n) FILTER (mask & (bit | prior) = 0), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & prior = 0), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & prior <> 0), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & prior = 0), 0)::BIGINT AS good_lost,
+  coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & prior = 0), 0)::BIGINT AS toxic_lost,
+  sum(CASE WHEN mask & bit <> 0 THEN n * 120 // bit_count(mask) ELSE 0 END)::BIGINT AS shapley
+FROM c, steps GROUP BY part, filter_order, step, bit"""
+
 ORACLE = {
     "op4_quality_rules": QUALITY_RULES,
     "op7_decontamination": DECONTAMINATION,
     "op8_lm_score": LM_SCORE,
     "op10_warc": WARC,
+    "op12_filter_audit": FILTER_AUDIT,
 }
