@@ -1,20 +1,22 @@
 """Repeated passages: bytes covered by a string of `LENGTH` bytes that starts anywhere else too.
 
-Method. Suffixes are merged by interleave refinement. Every text piece is a shard. The interleave of
-all suffixes of a merge is refined from the back: a round puts one more symbol in front of what is
-ordered already, as the backward step of a Burrows-Wheeler transform does, splits the blocks by it,
-and drops suffixes that are alone in their block, since nothing shares their prefix. After `SYMBOLS`
-rounds the common prefixes are `LENGTH` bytes long, and the blocks left are the repeated intervals;
-nothing is sorted by whole suffixes. A symbol stands for `LENGTH` / `SYMBOLS` bytes (its 64-bit hash),
-which takes 8 rounds where single bytes would take 400.
+Method. Suffixes are merged by interleave refinement, without sorting them. Every run of text that is to be
+compared is a shard, and a symbol stands for `LENGTH` / `SYMBOLS` bytes (by their 64-bit hash). The interleave
+starts as the shards one after another. A round takes the symbols in front of what is in order
+already, as the backward step of a Burrows-Wheeler transform does, and deals the suffixes out by symbol, keeping
+their order otherwise (counting passes over symbol numbers). A bit per place says whether the prefix shared with the suffix
+before ends there; suffixes with a bit on both sides share nothing and drop out. After `SYMBOLS` rounds the
+common prefixes are `LENGTH` bytes long, and what lies between two bits is a repeated interval. Single
+bytes as symbols would take 400 rounds where this takes 8.
 
 What is merged. A merge of whole shards would end in one task, so suffixes are first dealt to merges
-that cannot share a block: every string of `LENGTH` bytes (a window) is named by the least hash of
+that cannot share an interval: every string of `LENGTH` bytes (a window) is named by the least hash of
 the `GRAM`-byte strings in it, and equal windows have equal names. Windows whose name occurs once are
 done. Consecutive windows of a text with one name form a run, named by its content as well. Equal
 runs decide each other as a whole, and one of them stands for all in the merge of the name, which is
-needed only where runs differ. If more than `CROWD` different runs share a name, their windows are
-dealt to several merges by the hash of the window, and one round compares whole windows.
+needed only where runs differ. If more than `CROWD` different runs share a name, or they have more than
+`PART_WINDOWS` windows, the windows are dealt to several merges by the hash of the window, and one round with
+the whole window as its symbol remains. There a run sends each of its different windows once; those it holds several times it knows to be repeated.
 
 Texts that occur several times need none of this: they are repeated from end to end.
 
@@ -30,18 +32,23 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from macrotide.llm.common import map_batches, staged, table
 
 LENGTH, GRAM = 400, 64
 BLOCK = 1 << 20
-CROWD = 200
+CROWD, PART_WINDOWS = 200, 200_000
 SYMBOLS = 8
-MERGE_WINDOWS = 2_000_000
+MERGE_WINDOWS, SLICE = 200_000, 500
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 MOST = np.uint64(2 ** 64 - 1)
@@ -114,27 +121,34 @@ def runs_of(data: np.ndarray, hashes: Hashes, length: int, gram: int) -> tuple[n
 
 
 RUN = "name bigint, content bigint, start bigint, count bigint, periodic boolean"
+RUNS = f"array<struct<{RUN.replace(' ', ':').replace(',:', ',')}>>"
+PARSED = f"rid bigint, doc_id bigint, digest binary, n_bytes bigint, runs {RUNS}"
 
 
 def parsed(documents: DataFrame, length: int, gram: int) -> DataFrame:
-    """(rid, doc_id, digest, n_bytes, runs) per document; rid numbers the rows."""
-    names = [f.split()[0] for f in RUN.split(", ")]
+    """(rid, doc_id, digest, n_bytes, runs) per document; rid numbers the rows. A batch is worked off in slices."""
+    kind = to_arrow_schema(StructType.fromDDL(PARSED)).field("runs").type
+    columns = [kind.value_type.field(i) for i in range(kind.value_type.num_fields)]
 
     def work(batches):
         hashes = Hashes()
-        for batch in batches:
-            out = {"digest": [], "n_bytes": [], "runs": []}
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
+            digests, sizes, found, ends = [], [], [], [0]
             for text in batch.column(2).to_pylist():
                 text = text or b""
                 runs = runs_of(np.frombuffer(text, np.uint8), hashes, length, gram) if len(text) >= length else ()
-                out["digest"].append(hashlib.sha256(text).digest())
-                out["n_bytes"].append(len(text))
-                out["runs"].append([dict(zip(names, r, strict=True)) for r in zip(*(x.tolist() for x in runs), strict=True)])
-            yield {"rid": batch.column(0), "doc_id": batch.column(1)} | out
+                digests.append(hashlib.sha256(text).digest())
+                sizes.append(len(text))
+                found.append(runs)
+                ends.append(ends[-1] + (len(runs[0]) if runs else 0))
+            fields = [pa.array(np.concatenate([r[i] for r in found if r]), type=c.type) if ends[-1] else pa.array([], c.type)
+                      for i, c in enumerate(columns)]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, fields=columns), type=kind)
+            yield {"rid": batch.column(0), "doc_id": batch.column(1), "digest": digests, "n_bytes": sizes, "runs": lists}
 
     rows = documents.select(
         F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    return map_batches(rows, f"rid bigint, doc_id bigint, digest binary, n_bytes bigint, runs array<struct<{RUN.replace(' ', ':').replace(',:', ',')}>>", work)
+    return map_batches(rows, PARSED, work)
 
 
 def decided(runs: DataFrame) -> DataFrame:
@@ -144,20 +158,35 @@ def decided(runs: DataFrame) -> DataFrame:
     classes = runs.groupBy("name", "content", "count").agg(
         F.count("*").alias("n"), F.min(F.struct("rid", "start")).alias("first"), F.max("periodic").alias("periodic"))
     classes = staged(classes)
-    names = classes.groupBy("name").agg(F.count("*").alias("kinds"), F.max("periodic").alias("any_periodic"), F.sum("n").alias("total"))
+    names = classes.groupBy("name").agg(F.count("*").alias("kinds"), F.max("periodic").alias("any_periodic"), F.sum("n").alias("total"),
+                                        F.sum("count").alias("windows"))
     names = staged(names.where("total > 1 or any_periodic").drop("total"))
-    known = staged(classes.join(names, "name").select("name", "content", "count", "n", "first", "kinds", "any_periodic"))
+    known = staged(classes.join(names, "name").select("name", "content", "count", "n", "first", "kinds", "windows", "any_periodic"))
     several = (F.col("kinds") > 1) | F.col("any_periodic")
     lead = (F.col("first.rid") == F.col("rid")) & (F.col("first.start") == F.col("start"))
+    parts = F.greatest(F.ceil(F.col("kinds") / F.lit(CROWD)), F.ceil(F.col("windows") / F.lit(PART_WINDOWS)))
     return runs.drop("periodic").join(known, ["name", "content", "count"]).select(
-        "rid", "start", "count", "name", F.ceil(F.col("kinds") / F.lit(CROWD)).cast("long").alias("parts"),
+        "rid", "start", "count", "name", parts.cast("long").alias("parts"),
         (F.col("n") > 1).alias("whole"), (several & lead).alias("sends"))
 
 
+def ranges(at: np.ndarray, shift: int) -> list[dict]:
+    """Ascending places as spans of neighbours, moved."""
+    if not len(at):
+        return []
+    edges = np.flatnonzero(np.diff(at) > 1)
+    starts, stops = at[np.append(0, edges + 1)] + shift, at[np.append(edges, len(at) - 1)] + shift + 1
+    return [{"start": a, "stop": b} for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+
+
+SPANS = "array<struct<start:bigint,stop:bigint>>"
+
+
 def pieces(texts: DataFrame, length: int) -> DataFrame:
-    """(name, part, rid, whole, start, count, data, places) of the runs to be compared; texts: (rid,
-    text, runs). data: the bytes of the run; in a crowd the hashes of the windows at `places`."""
-    columns = ("name", "part", "rid", "whole", "start", "count", "data", "places")
+    """(name, part, rid, whole, start, count, data, places, known) of the runs to be compared; texts: (rid,
+    text, runs). data: the bytes of the run; where a name has several parts the hashes of the different windows at `places`, -1 for
+    those that the run holds several times, which are spans in `known` already."""
+    columns = ("name", "part", "rid", "whole", "start", "count", "data", "places", "known")
 
     def work(batches):
         hashes = Hashes()
@@ -165,54 +194,72 @@ def pieces(texts: DataFrame, length: int) -> DataFrame:
             for rid, text, runs in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 out = {c: [] for c in columns}
 
-                def put(run, part, count, data, places, out=out, rid=rid):
-                    for c, v in zip(columns, (run["name"], part, rid, run["whole"], run["start"], count, data, places), strict=True):
+                def put(run, part, count, data, places, known, out=out, rid=rid):
+                    for c, v in zip(columns, (run["name"], part, rid, run["whole"], run["start"], count, data, places, known), strict=True):
                         out[c].append(v)
 
                 for r in runs:
                     data = (text or b"")[r["start"]:r["start"] + r["count"] + length - 1]
                     if r["parts"] == 1:
-                        put(r, 0, r["count"], data, b"")
+                        put(r, 0, r["count"], data, b"", [])
                         continue
                     windows = hashes.all_of(hashes.sums(np.frombuffer(data, np.uint8)), length)
-                    part = (windows % np.uint64(r["parts"])).astype(np.int64)
+                    code, different = pd.factorize(windows)
+                    times = np.bincount(code)
+                    place = np.full(len(different), -1, np.int32)
+                    single = times[code] == 1
+                    place[code[single]] = np.flatnonzero(single)
+                    known = ranges(np.flatnonzero(~single), r["start"])
+                    part = (different % np.uint64(r["parts"])).astype(np.int64)
                     for p in np.unique(part).tolist():
                         here = np.flatnonzero(part == p)
-                        put(r, p, len(here), windows[here].tobytes(), here.astype(np.int32).tobytes())
+                        put(r, p, len(here), different[here].tobytes(), place[here].tobytes(), known)
+                        known = []
                 yield out
 
     return map_batches(texts.select("rid", "text", "runs"),
-                       "name bigint, part bigint, rid bigint, whole boolean, start bigint, count bigint, data binary, places binary", work)
-
-
-def refined(symbols: list[np.ndarray]) -> np.ndarray:
-    """Whether a suffix shares all its symbols with another; symbols: first to last, one array each."""
-    alive = np.arange(len(symbols[0]))
-    block = np.zeros(len(alive), np.uint64)
-    for symbol in reversed(symbols):
-        key = mixed(symbol[alive] + block * np.uint64(BASE))
-        order = np.argsort(key)
-        key = key[order]
-        group = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)]) - 1
-        shared = np.bincount(group)[group] > 1
-        alive, block = alive[order[shared]], group[shared].astype(np.uint64)
-        if not len(alive):
+                       f"name bigint, part bigint, rid bigint, whole boolean, start bigint, count bigint, data binary, places binary, known {SPANS}", work)
+
+
+def dealt_out(symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that puts equal symbols together and keeps what came first first, and the symbols as numbers:
+    counting passes over the lower and the upper half of the numbers."""
+    code, different = pd.factorize(symbol)
+    order = np.argsort((code & 0xFFFF).astype(np.uint16), kind="stable")
+    if len(different) > 1 << 16:
+        order = order[np.argsort((code[order] >> 16).astype(np.uint16), kind="stable")]
+    return order, code
+
+
+def refined(n: int, symbol: Callable[[int, np.ndarray], np.ndarray], rounds: int) -> np.ndarray:
+    """Which of n suffixes share all their symbols with another; symbol(k, some) is the k-th symbol of some."""
+    order = np.arange(n)  # the interleave: of suffixes that share no prefix only the dealing counts
+    block = np.zeros(n, np.int64)
+    for k in range(rounds - 1, -1, -1):
+        dealt, code = dealt_out(symbol(k, order))
+        order, code, block = order[dealt], code[dealt], block[dealt]
+        ends = np.ones(len(order) + 1, bool)  # the prefix shared with the one before ends here
+        ends[1:-1] = (code[1:] != code[:-1]) | (block[1:] != block[:-1])
+        shared = ~(ends[:-1] & ends[1:])
+        order, block = order[shared], np.cumsum(ends[:-1][shared])
+        if not len(order):
             break
-    same = np.zeros(len(symbols[0]), bool)
-    same[alive] = True
+    same = np.zeros(n, bool)
+    same[order] = True
     return same
 
 
 def merged(rows: list[dict], hashes: Hashes, length: int) -> list[np.ndarray]:
     """For each piece, which of its windows are repeated among the pieces."""
-    width = -(-length // SYMBOLS)
     if rows[0]["places"]:
-        same = refined([np.concatenate([np.frombuffer(r["data"], np.uint64) for r in rows])])
+        windows = np.concatenate([np.frombuffer(r["data"], np.uint64) for r in rows])
+        same = refined(len(windows), lambda k, some: windows[some], 1)
     else:
+        width = -(-length // SYMBOLS)
         grams = hashes.all_of(hashes.sums(np.frombuffer(b"".join(r["data"] for r in rows), np.uint8)), width)
         ends = np.cumsum([len(r["data"]) for r in rows])
         first = np.concatenate([np.arange(e - len(r["data"]), e - length + 1) for e, r in zip(ends, rows, strict=True)])
-        same = refined([grams[first + min(k * width, length - width)] for k in range(SYMBOLS)])
+        same = refined(len(first), lambda k, some: grams[first[some] + min(k * width, length - width)], SYMBOLS)
     return np.split(same, np.cumsum([r["count"] for r in rows])[:-1])
 
 
@@ -223,19 +270,20 @@ def equal_windows(sent: DataFrame, length: int) -> DataFrame:
         crowded, plain = [r for r in rows if r["places"]], [r for r in rows if not r["places"]]
         for some in filter(None, (crowded, plain)):
             for r, same in zip(some, merged(some, hashes, length), strict=True):
-                hit = np.flatnonzero(same)
-                if r["whole"] or not len(hit):
+                if r["whole"]:
                     continue
-                at = np.frombuffer(r["places"], np.int32)[hit] if r["places"] else hit
-                edges = np.flatnonzero(np.diff(at) > 1)
-                starts, stops = at[np.concatenate([[0], edges + 1])] + r["start"], at[np.append(edges, len(at) - 1)] + r["start"] + 1
-                out["rid"].append(r["rid"])
-                out["spans"].append([{"start": a, "stop": b} for a, b in zip(starts.tolist(), stops.tolist(), strict=True)])
+                at = np.flatnonzero(same)
+                if r["places"]:
+                    at = np.frombuffer(r["places"], np.int32)[at]
+                    at = np.sort(at[at >= 0])
+                if spans := ranges(at, r["start"]) + r["known"]:
+                    out["rid"].append(r["rid"])
+                    out["spans"].append(spans)
         return out
 
     def work(batches):
         hashes, rows, size = Hashes(), [], 0
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             for row in batch.to_pylist():
                 if size > MERGE_WINDOWS and (row["name"], row["part"]) != (rows[-1]["name"], rows[-1]["part"]):  # merges stay together
                     yield spans_of(rows, hashes)
@@ -246,7 +294,7 @@ def equal_windows(sent: DataFrame, length: int) -> DataFrame:
             yield spans_of(rows, hashes)
 
     grouped = sent.repartition("name", "part").sortWithinPartitions("name", "part")
-    return map_batches(grouped, "rid bigint, spans array<struct<start:bigint,stop:bigint>>", work)
+    return map_batches(grouped, f"rid bigint, spans {SPANS}", work)
 
 
 def removed(texts: DataFrame, length: int) -> DataFrame:

@@ -110,9 +110,11 @@ def brute_repeats(rows, length):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize(("length", "gram", "crowd"), [(40, 8, 500), (40, 8, 1), (30, 20, 3)])
-def test_repeated_bytes_equal_brute_force(spark, monkeypatch, length, gram, crowd):
+@pytest.mark.parametrize(("length", "gram", "crowd", "windows"), [(40, 8, 500, 10**6), (40, 8, 1, 10**6), (30, 20, 3, 10**6), (40, 8, 500, 20)])
+def test_repeated_bytes_equal_brute_force(spark, monkeypatch, length, gram, crowd, windows):
     monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+    monkeypatch.setattr(suffix_dedup, "PART_WINDOWS", windows)
+    monkeypatch.setattr(suffix_dedup, "SLICE", 7)
     monkeypatch.setattr(suffix_dedup, "BLOCK", 500)
     rng = random.Random(5)
     words = ["ab", "cde", "fghi", "jé", "kl", "m", "nopq"]
@@ -127,3 +129,29 @@ def test_repeated_bytes_equal_brute_force(spark, monkeypatch, length, gram, crow
     frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
     got = sorted((tuple(r) for r in suffix_dedup.repeated(frame, length, gram).collect()), key=str)
     assert got == brute_repeats(rows, length)
+
+
+def test_merges_of_one_letter_stay_small(spark):
+    """One name, 150 kinds of run, 15 MB: what is compared are the different windows of each run."""
+    texts = [(k, "w" * (100_000 + k)) for k in range(150)]
+    runs = [{"name": 1, "whole": False, "start": 0, "count": len(t) - 399, "parts": 76} for _, t in texts]
+    sent = spark.createDataFrame([(k, t.encode(), [r]) for (k, t), r in zip(texts, runs, strict=True)],
+                                 "rid bigint, text binary, runs array<struct<name:bigint,whole:boolean,start:bigint,count:bigint,parts:bigint>>").repartition(8)
+    rows = suffix_dedup.pieces(sent, 400).collect()
+    assert len(rows) == 150 and all(r["count"] == 1 and len(r["data"]) == 8 for r in rows)
+    whole = suffix_dedup.repeated(spark.createDataFrame(texts, "doc_id bigint, text string").repartition(8)).collect()
+    assert all(r["n_removed"] == r["n_bytes"] and r["n_spans"] == 1 for r in whole) and len(whole) == 150
+
+
+def test_refinement_finds_what_is_shared():
+    import numpy as np
+
+    rng = random.Random(4)
+    words = [tuple(rng.randrange(3) for _ in range(5)) for _ in range(400)]
+    symbols = np.array(words, np.uint64)
+    same = suffix_dedup.refined(len(words), lambda k, some: symbols[some, k], 5)
+    times = Counter(words)
+    assert same.tolist() == [times[w] > 1 for w in words]
+    many = np.arange(200_000, dtype=np.uint64) // np.uint64(2)  # more symbols than one counting pass takes
+    many[-1] = 10**9
+    assert suffix_dedup.refined(len(many), lambda k, some: many[some], 1).sum() == 199_998
