@@ -67,7 +67,7 @@ WITH t AS (
 ), c AS (
   SELECT w, count(*) AS n FROM t GROUP BY w
 ), p AS (
-  SELECT u, w, count(*) AS n FROM t WHERE u IS NOT NULL GROUP BY u, w HAVING count(*) >= 2
+  SELECT u, w, count(*) AS n FROM t WHERE u IS NOT NULL GROUP BY u, w
 ), scored AS (
   SELECT doc_id, count(*) AS n_words, sum(CASE
     WHEN p.n IS NOT NULL THEN ln(p.n / cu.n)

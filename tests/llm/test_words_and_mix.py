@@ -182,28 +182,56 @@ def test_rule_order_changes_no_verdict(spark):
     assert sorted(quality_rules.measured(documents(spark), list(quality_rules.RULES))) == sorted(quality_rules.RULES)
 
 
-@pytest.mark.parametrize("block_words", [50, 1_000_000])
-def test_backoff_scores(spark, monkeypatch, block_words):
-    monkeypatch.setattr(lm_score, "BLOCK_WORDS", block_words)
+def backoff_rows():
     rng = random.Random(1)
-    rows = [r for r in ROWS if r[0] is not None] + [(50 + k, " ".join(rng.choice("a b c d e the".split()) for _ in range(40)), "en", "a", 1, 0.0) for k in range(20)]
-    got = {r["doc_id"]: (r["n_words"], r["log_prob"]) for r in lm_score.scores(documents(spark, rows)).collect()}
-    texts = [(r[0], (r[1] or "").encode().split()) for r in rows]
-    one = Counter(w for _, t in texts for w in t)
-    two = Counter(p for _, t in texts for p in zip(t, t[1:], strict=False))
+    return ROWS + [(50 + k, " ".join(rng.choice("a b c d e the".split()) for _ in range(40)) + f" only{k} once{k}", "en", "a", 1, 0.0) for k in range(20)]
+
+
+def plain_scores(rows, corpus):
+    """(words, score) per id: every pair counts, single ones too."""
+    texts = [(r[1] or "").encode().split() for r in corpus]
+    one = Counter(w for t in texts for w in t)
+    two = Counter(p for t in texts for p in zip(t, t[1:], strict=False))
     want = {}
-    for i, t in texts:
+    for i, text, *_ in rows:
+        t = (text or "").encode().split()
+        share = [max(one[w], 1) / one.total() for w in t]
         total = sum(
-            math.log(two[t[k - 1], w] / one[t[k - 1]]) if k and two[t[k - 1], w] >= 2
-            else math.log(one[w] / one.total()) + (math.log(0.4) if k else 0) for k, w in enumerate(t))
+            math.log(two[t[k - 1], w] / one[t[k - 1]]) if k and two[t[k - 1], w]
+            else math.log(share[k]) + (math.log(0.4) if k else 0) for k, w in enumerate(t))
         n, s = want.get(i, (0, 0.0))
         want[i] = (n + len(t), s + total)
+    return want
+
+
+def same_scores(found, want):
+    got = {r["doc_id"]: (r["n_words"], r["log_prob"]) for r in found.collect()}
     assert got.keys() == want.keys()
     for i, (n, s) in want.items():
         assert got[i][0] == n and got[i][1] == pytest.approx(s)
+
+
+@pytest.mark.parametrize(("block_words", "buckets"), [(50, 8), (1_000_000, 8), (50, 1_000), (200, 1)])
+def test_backoff_scores(spark, monkeypatch, block_words, buckets):
+    """Also with few buckets, where words and pairs are hot, and with many, where none is."""
+    monkeypatch.setattr(lm_score, "BLOCK_WORDS", block_words)
+    monkeypatch.setattr(lm_score, "BUCKETS", buckets)
+    rows = backoff_rows()
+    same_scores(lm_score.scores(documents(spark, rows)), plain_scores(rows, rows))
     assert lm_score.scores(empty(spark)).count() == 0
 
 
+def test_held_out_documents_back_off(spark):
+    corpus = backoff_rows()
+    rows = [(1, "a b unseen a the", "en", "a", 1, 0.0), (1, "only3 once3 only4", "en", "a", 1, 0.0), (None, "new words", "en", "a", 1, 0.0)]
+    words, pairs = lm_score.count_tables(documents(spark, corpus))
+    found = lm_score.held_out(documents(spark, rows), words, pairs)
+    same_scores(found, plain_scores(rows, corpus))
+    same_scores(lm_score.held_out(documents(spark, corpus), words, pairs), {i: v for i, v in plain_scores(corpus, corpus).items() if v[0]})
+    nothing = lm_score.count_tables(empty(spark))
+    assert lm_score.held_out(documents(spark, rows), *nothing).count() == 2
+
+
 def test_mixing_meets_targets(spark):
     rng = random.Random(2)
     rows = [(k, " ".join(["w"] * rng.randrange(0, 60)), "en", rng.choice(["a", "b", "c", "d", None]), 1, 0.0) for k in range(900)]
