@@ -4,13 +4,12 @@ The ISO list itself is not shipped: codes and names come from the JVM's locale d
 ``ISO_SHORT_NAMES`` lists only the countries whose ISO short name is written differently
 there. A caller with another list passes it as rows.
 
-Its size is bounded by the two-letter code space, so it may be broadcast and may be held
-in an expression.
+Lists of any length work: names are matched through an index of their letters and words, see
+``operators.standardize``.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -118,9 +117,6 @@ ISO_SHORT_NAMES = {
 }
 
 
-_SEPARATOR = "\u0001"
-
-
 def is_iso3_shaped(code: Column) -> Column:
     return code.rlike(r"^\p{L}{3}$")
 
@@ -166,55 +162,23 @@ class CountryLookup:
             rows.append((alpha_2, alpha_3, name, common_name))
         return cls(sorted(rows, key=lambda row: row[1]))
 
-    def frame(self, spark: SparkSession, code: str, iso3: str) -> DataFrame:
-        """Exact spellings as a two-column frame."""
-        rows = _constant(
-            [{code: c, iso3: i} for c, i in self.exact.items()],
-            f"array<struct<{code}: string, {iso3}: string>>",
-        )
-        return spark.range(1).select(F.inline(rows))
-
-    def loose_match(self, text: Column, words: Column) -> Column:
-        """First name that contains the text or lies in it, else first name sharing a word.
-
-        ``text`` and ``words`` come from ``loose_text`` and ``loose_words`` and should be columns
-        of their own. The names are constants in the plan, so rows are matched where they
-        are. Most texts match nothing, so each step starts with a test of all names at once:
-        a search in the joined names, one pattern for the names that may lie in the text, and
-        the first name of each word.
-        """
-        ordered = list(self.names)
-        names = _constant(ordered, "array<string>")
-        codes = _constant(list(self.names.values()), "array<string>")
-
-        # Cleaned text never holds the separator, so a find lies within one name.
-        joined = F.lit(_SEPARATOR.join(ordered))
-        found = F.instr(joined, text)
-        containing = F.when(
-            F.contains(joined, text), F.size(F.split(F.substring(joined, F.lit(1), found), _SEPARATOR)) - 1
-        )
-        lying_in = F.when(
-            text.rlike(_any_of(ordered)),
-            F.array_position(F.transform(names, lambda n: F.contains(text, n)), True) - 1,
-        )
-        first_by_word: dict[str, int] = {}
-        for at, name in enumerate(ordered):
-            for word in name.split():
-                first_by_word.setdefault(word, at)
-        by_word = _constant(first_by_word, "map<string, int>")
-        sharing = F.array_min(F.transform(words, lambda w: F.try_element_at(by_word, w)))
-        return F.get(codes, F.coalesce(F.least(containing, lying_in), sharing).cast("int"))
-
-
-def _any_of(names: list[str]) -> str:
-    """Pattern that finds any of the names; alternatives are grouped by first letter."""
-    by_letter: dict[str, list[str]] = {}
-    for name in names:
-        by_letter.setdefault(name[0], []).append(name[1:])
-    return "|".join(
-        rf"\Q{letter}\E(?:" + "|".join(rf"\Q{rest}\E" if rest else "" for rest in rests) + ")"
-        for letter, rests in by_letter.items()
-    )
+    def spellings(self, spark: SparkSession) -> DataFrame:
+        """(spelling, iso3) of the exact spellings."""
+        return _rows(spark, {"spelling": list(self.exact), "iso3": list(self.exact.values())}, "spelling string, iso3 string")
+
+    def ordered_names(self, spark: SparkSession) -> DataFrame:
+        """(at, name, iso3) of the names in their order."""
+        return _rows(spark, {"at": list(range(len(self.names))), "name": list(self.names), "iso3": list(self.names.values())},
+                     "at int, name string, iso3 string")
+
+
+def _rows(spark: SparkSession, columns: dict[str, list], schema: str) -> DataFrame:
+    """Rows as data of the plan, not as constants in it; their size is known when joins are planned."""
+    import pyarrow as pa
+
+    kinds = {"int": pa.int32(), "string": pa.string()}
+    types = dict(field.split() for field in schema.split(", "))
+    return spark.createDataFrame(pa.table({name: pa.array(values, kinds[types[name]]) for name, values in columns.items()}))
 
 
 def loose_text(code: Column) -> Column:
@@ -225,7 +189,3 @@ def loose_text(code: Column) -> Column:
 
 def loose_words(text: Column) -> Column:
     return F.split(text, r"(?U)\s+")
-
-
-def _constant(value: list | dict, schema: str) -> Column:
-    return F.from_json(F.lit(json.dumps(value)), schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +16,25 @@ WHITE_SPACE = (
 DATE_PATTERNS = ("yyyy'M'MM", "yyyy'M'M", "yyyy/MM/dd", "MM/dd/yyyy", "MMM yyyy", "MMM-yyyy")
 
 
+# A comma and the CSV cell behind it: quoted, with doubled quotes inside, or plain.
+CSV_CELL = r',(?:"(?:[^"]|"")*+"[^,]*+|[^,]*+)'
+
+
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f uses it inside lambdas."""
+    return F.transform(F.array(value), f)[0]
+
+
+def csv_cells(line: Column) -> Column:
+    """The cells of a CSV line as text, without their quotes; empty ones are null."""
+    def plain(cell: Column) -> Column:
+        text = F.substr(cell, F.lit(2))
+        inner = F.regexp_replace(F.regexp_extract(text, r'^"((?:[^"]|"")*+)"', 1), '""', '"')
+        return F.nullif(F.when(text.startswith('"'), F.when(text.rlike(r'^"(?:[^"]|"")*+"'), inner).otherwise(text)).otherwise(text), F.lit(""))
+
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(CSV_CELL), F.lit(0)), plain)
+
+
 def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 

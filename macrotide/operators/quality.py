@@ -28,6 +28,12 @@ def cascade_delete(child: DataFrame, remaining: DataFrame, key: str = "country_c
     return child.join(remaining.select(key), key, "left_semi")
 
 
+def cascade(tables: Mapping[str, DataFrame], table: str, keys: DataFrame, key: str = "country_code") -> dict[str, DataFrame]:
+    """What stays of a table and of those that refer to it when the given keys are deleted."""
+    gone = keys.select(key).distinct()
+    return {name: tables[name].join(gone, key, "left_anti") for name in [table, *(n for n, s in TABLES.items() if s.parent == table)] if name in tables}
+
+
 def range_check(rates: DataFrame, low: float = -0.5, high: float = 5.0) -> DataFrame:
     """Extremes of the rates and whether they lie in range; null when there is no rate."""
     return rates.agg(

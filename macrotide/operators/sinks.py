@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from datetime import date
 
@@ -12,6 +13,7 @@ from macrotide.operators.load import (
     breaks, conform, country_rows, one_per_key, rejected, upsert, with_dense_ids, with_stamps,
 )
 from macrotide.schemas import REJECTED, TABLES
+from macrotide.session import stored
 
 FORMATS = ("parquet", "csv", "json")
 #: Property of a table: the highest id ever given out.
@@ -133,13 +135,16 @@ def load_countries(merged: DataFrame, database: str) -> None:
     load_table(country_rows(merged), "countries", database, overwrite=True)
 
 
-def put_table(df: DataFrame, table: str, database: str, folder: str) -> DataFrame:
-    """Put rows over those of a table by its key, and return the rows that break a rule of it.
+#: Property of a database: the folder of a load whose content is complete but not yet installed.
+PENDING = "macrotide.pending"
+
 
-    Loading the same rows again changes nothing but stamps. New rows get ids after the highest one ever given out in
-    the table, whatever years come in. Only the years that occur are read
-    and rewritten. The new content is written to ``folder`` first, as a plan must not overwrite
-    what it reads.
+def prepare(df: DataFrame, table: str, database: str, folder: str) -> DataFrame:
+    """Write the new content of a table to ``folder``, the table itself left alone, and return the rows that break
+    a rule of it.
+
+    Rows are put over those of the table by its key. Loading the same rows again changes nothing but stamps. New rows get
+    ids after the highest one ever given out in the table, whatever years come in. Only the years that occur are read.
     """
     spark, name, spec = df.sparkSession, f"{database}.{table}", TABLES[table]
     stage = f"{folder.rstrip('/')}/{table}"
@@ -153,21 +158,108 @@ def put_table(df: DataFrame, table: str, database: str, folder: str) -> DataFram
         present = present.join(years, F.col("year") == F.col("__year"), "left_semi")
     put = upsert(present, rows, spec.key, last_id=last, folder=f"{stage}_ids")
     save(put, stage)
-    content = spark.read.schema(put.schema).parquet(stage).select(*spark.table(name).columns)
     if spec.serial:
-        reserve_ids(spark, name, max(last, content.agg(F.max("id")).first()[0] or 0))
-    if spec.by_year:
+        highest = spark.read.schema(put.schema).parquet(stage).agg(F.max("id")).first()[0]
+        reserve_ids(spark, name, max(last, highest or 0))
+    return bad
+
+
+def install(spark: SparkSession, table: str, database: str, folder: str) -> None:
+    """Put prepared content in its place: the whole table, or the years that occur in it. Doing it twice does no harm."""
+    name, spec = f"{database}.{table}", TABLES[table]
+    content = spark.read.schema(spark.table(name).schema).parquet(f"{folder.rstrip('/')}/{table}").select(*spark.table(name).columns)
+    replace(content, name, spec.by_year)
+
+
+def replace(content: DataFrame, name: str, by_year: bool) -> None:
+    """Overwrite a table, or only the years that occur in the content."""
+    spark = content.sparkSession
+    if by_year:
         content = content.hint("rebalance", "year")
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic" if spec.by_year else "static")
+    spark.conf.set(mode, "dynamic" if by_year else "static")
     try:
         content.write.insertInto(name, overwrite=True)
     finally:
         spark.conf.set(mode, before)
+
+
+def put_table(df: DataFrame, table: str, database: str, folder: str) -> DataFrame:
+    """Put rows over those of one table; see ``prepare``."""
+    bad = prepare(df, table, database, folder)
+    install(df.sparkSession, table, database, folder)
+    return bad
+
+
+def put_tables(loads: Mapping[str, DataFrame], database: str, folder: str) -> list[DataFrame]:
+    """Put rows over those of several tables, all or none, and return the rows that break a rule, by table.
+
+    The new content of all tables is written first; a failure up to there leaves the tables as they were.
+    Then the folder is noted at the database and the content is installed. If that is interrupted, ``finish_load``
+    installs it all from the folder, which the next load does by itself before it begins.
+    """
+    spark = next(iter(loads.values())).sparkSession
+    finish_load(spark, database)
+    bad = [prepare(rows, table, database, folder) for table, rows in loads.items()]
+    note = f"{','.join(loads)}={folder}"
+    spark.sql(f"ALTER DATABASE {database} SET DBPROPERTIES ('{PENDING}' = '{note}')")
+    finish_load(spark, database)
     return bad
 
 
+def pending_load(spark: SparkSession, database: str) -> tuple[list[str], str] | None:
+    """Tables and folder of a load that is complete but not installed."""
+    about = spark.sql(f"DESCRIBE DATABASE EXTENDED {database}").where("info_name = 'Properties'").select("info_value").first()
+    found = re.search(rf"\({re.escape(PENDING)},([^=()]+)=([^()]*)\)", about[0] if about else "")
+    return (found[1].split(","), found[2]) if found else None
+
+
+def finish_load(spark: SparkSession, database: str) -> None:
+    """Install what is pending, if anything is."""
+    if not (pending := pending_load(spark, database)):
+        return
+    tables, folder = pending
+    for table in tables:
+        install(spark, table, database, folder)
+    spark.sql(f"ALTER DATABASE {database} SET DBPROPERTIES ('{PENDING}' = '=')")
+
+
+def dependents(table: str) -> list[str]:
+    """The tables that refer to a table, those that refer to them before them, and the table last."""
+    children = [name for name, spec in TABLES.items() if spec.parent == table]
+    return [t for child in children for t in dependents(child)] + [table]
+
+
+def delete_cascade(spark: SparkSession, database: str, keys: DataFrame, table: str = "countries", key: str = "country_code") -> DataFrame:
+    """Delete the rows of a table with the given keys and the rows of all tables that refer to them, children first.
+
+    Only years that hold such rows are rewritten; a year that loses all its rows is dropped. Returns (table, rows) with
+    the number of rows deleted.
+    """
+    keys = stored(keys.select(key).distinct())
+    deleted = []
+    for name in dependents(table):
+        spec, rows = TABLES[name], spark.table(f"{database}.{name}")
+        gone = rows.join(keys, key, "left_semi")
+        if not spec.by_year:
+            n = gone.count()
+            if n:
+                replace(stored(rows.join(keys, key, "left_anti").select(*rows.columns)), f"{database}.{name}", False)
+        else:
+            # a row per year: bounded by the number of partitions
+            years = {r["year"]: r["n"] for r in gone.groupBy("year").agg(F.count("*").alias("n")).collect()}
+            n = sum(years.values())
+            if n:
+                kept = stored(rows.filter(F.col("year").isin(list(years))).join(keys, key, "left_anti").select(*rows.columns))
+                left = {r["year"] for r in kept.select("year").distinct().collect()}
+                replace(kept, f"{database}.{name}", True)
+                for year in sorted(set(years) - left):
+                    spark.sql(f"ALTER TABLE {database}.{name} DROP IF EXISTS PARTITION (year = {year})")
+        deleted.append((name, n))
+    return spark.createDataFrame(deleted, "table string, rows bigint")
+
+
 def load_jdbc(
     df: DataFrame, url: str, table: str, properties: Mapping[str, str],
     schema: str | None = None, batch_size: int = 10_000,

@@ -331,6 +331,11 @@ _SQL: dict[str, str] = {
     "orphan_counts": """SELECT r.country_code, count(*) AS orphaned_rows FROM residents r
         LEFT JOIN remaining c ON r.country_code = c.country_code WHERE c.country_code IS NULL GROUP BY r.country_code""",
     "cascade_delete": "SELECT * FROM residents WHERE country_code IN (SELECT country_code FROM remaining)",
+    "cascade_tables": """WITH gone AS (SELECT country_code FROM fx_country WHERE region = 'ASIA')
+        SELECT 'countries' AS "table", country_code, count(*) AS rows FROM fx_country
+            WHERE country_code NOT IN (FROM gone) GROUP BY country_code
+        UNION ALL SELECT 'inflation_rates', country_code, count(*) FROM inflation WHERE country_code NOT IN (FROM gone) GROUP BY country_code
+        UNION ALL SELECT 'wage_index', country_code, count(*) FROM wages WHERE country_code NOT IN (FROM gone) GROUP BY country_code""",
     "range_check": f"""SELECT {_r('lo', 6, 'min_rate')}, {_r('hi', 6, 'max_rate')}, lo >= -0.5 AND hi <= 5.0 AS passed
         FROM (SELECT min(v) AS lo, max(v) AS hi FROM (
             SELECT CASE WHEN abs(value) > 10 THEN value / 100.0 ELSE value END AS v FROM fx_rate_row))""",
@@ -404,6 +409,10 @@ _SQL: dict[str, str] = {
             'Gold' AS commodity, l_discount + 0.0 AS price FROM lineitem
         UNION ALL SELECT CAST(year(l_shipdate) AS INT), CAST(month(l_shipdate) AS INT), 'Oil, crude', l_tax + 0.0
             FROM lineitem""",
+    "parse_observations": """SELECT concat('S', l_suppkey) AS country_code, CAST(year(l_shipdate) AS INT) AS year,
+            'AWE' AS indicator, l_discount + 0.0 AS value FROM lineitem
+        UNION ALL SELECT concat('S&', l_suppkey), CAST(year(l_shipdate) + 1 AS INT), 'AWE', l_tax + 0.0 FROM lineitem
+        UNION ALL SELECT NULL, CAST(l_linenumber + 2000 AS INT), 'AWE', NULL FROM lineitem""",
     "parse_xml_feed": """SELECT concat('S', l_suppkey) AS country_code, CAST(year(l_shipdate) AS INT) AS year,
             'AWE' AS indicator, l_discount + 0.0 AS value FROM lineitem
         UNION ALL SELECT concat('S', l_suppkey), CAST(year(l_shipdate) + 1 AS INT), 'AWE', l_tax + 0.0 FROM lineitem""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -559,6 +560,17 @@ def upsert(t: Tables) -> DataFrame:
     return load.upsert(existing, _price_list(t, True), key, now=F.lit("second"))
 
 
+@query
+def cascade_tables(t: Tables) -> DataFrame:
+    """Rows that stay in three tables when the countries of a region are deleted."""
+    countries = b.country(t)
+    tables_ = {"countries": countries, "inflation_rates": b.inflation(t), "wage_index": b.wages(t)}
+    left = quality.cascade(tables_, "countries", countries.filter(F.col("region") == "ASIA"))
+    counts = [frame.groupBy("country_code").agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "country_code", "rows")
+              for name, frame in left.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def dense_ids(t: Tables) -> DataFrame:
     """Ids without gaps after the last one given out, in the order of the key."""
@@ -631,3 +643,17 @@ def parse_xml_feed(t: Tables) -> DataFrame:
     )
     schema = "_REF_AREA string, Obs array<struct<_TIME_PERIOD: string, _OBS_VALUE: string>>"
     return xml_feed.parse_wage_documents(t.lineitem.select(text.alias("value")), schema, "AWE")
+
+
+@query
+def parse_observations(t: Tables) -> DataFrame:
+    """Documents that mix observation elements of several names, prefixes and depths with others, with attributes in any
+    order, escaped text, and elements in comments, which do not count."""
+    text = F.format_string(
+        '<?xml version="1.0"?><d:Data xmlns:d="urn:x"><!-- <Obs TIME="1900" VALUE="1"/> --><Series REF_AREA="none"><Obs TIME_PERIOD="%d" OBS_VALUE="%s"'
+        ' REF_AREA="S%d"/><g:Group><g:Obs OBS_VALUE = \'%s\' NOTE="a &lt; b" COUNTRY="S&amp;%d"\n TIME="%d.0"></g:Obs></g:Group></Series>'
+        '<m:OBSERVATION period_time="%d" value="n/a"/><Observations count="2"/><Object TIME="1901" VALUE="2"/></d:Data>',
+        F.year("l_shipdate"), (F.col("l_discount") + 0.0).cast("string"), F.col("l_suppkey"), (F.col("l_tax") + 0.0).cast("string"),
+        F.col("l_suppkey"), F.year("l_shipdate") + 1, F.col("l_linenumber") + 2000,
+    )
+    return xml_feed.parse_observations(t.lineitem.select(text.alias("value")), "AWE")

@@ -22,7 +22,7 @@ from macrotide.operators.load import country_rows
 from macrotide.operators.merge import merge_datasets
 from macrotide.operators.quality import constraint_report, table_counts, validate
 from macrotide.operators.reshape import union_feeds
-from macrotide.operators.sinks import create_schema, put_table, save
+from macrotide.operators.sinks import create_schema, put_tables, save
 from macrotide.operators.standardize import normalize_columns, split_coded, with_codes
 from macrotide.operators.stats import describe_numeric, summary
 from macrotide.schemas import (
@@ -60,7 +60,7 @@ def refresh(
     years: tuple[int, int] = YEAR_WINDOW, basket: Sequence[str] = KEY_COMMODITIES,
     wage_indicators: Mapping[str, str] = WAGE_COLUMNS,
 ) -> Refreshed:
-    """Run everything over landed feeds. A second run on the same feeds leaves the tables as they
+    """Run everything over landed feeds. The tables change all together or not at all (see ``put_tables``). A second run on the same feeds leaves them as they
     are; rows that break a rule of their table are kept aside in ``rejected``. Stages are written to ``folder``, which all executors
     must reach; without one, to a new folder under the session's ``spark.checkpoint.dir``."""
     folder = folder or f"{shared_folder(spark)}/refresh-{uuid.uuid4().hex}"
@@ -84,7 +84,7 @@ def refresh(
         "countries": country_rows(merged), "inflation_rates": merged, "wage_index": pay,
         "commodity_prices": prices, "economic_indicators": merged,
     }
-    rejected = [put_table(rows, name, database, f"{folder.rstrip('/')}/tables") for name, rows in loads.items()]
+    rejected = put_tables(loads, database, f"{folder.rstrip('/')}/tables")
     tables = {name: spark.table(f"{database}.{name}") for name in TABLES}
     constraints = [
         constraint_report(table, name).select(F.lit(name).alias("table"), "*") for name, table in tables.items()]
@@ -109,6 +109,7 @@ def read_feeds(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame
         "table": lambda path, dataset: csv_feed.read_wage_table(spark, path, dataset),
         "xml": lambda path, dataset: xml_feed.read_wage_xml(
             spark, path, dataset, row_tag=args.wage_tag, nested=args.wage_nested),
+        "observations": lambda path, dataset: xml_feed.read_observations(spark, path, dataset),
     }[args.wage_format]
     datasets = args.wage_dataset * len(args.wages) if len(args.wage_dataset) == 1 else args.wage_dataset
     feeds = [read_wages(path, dataset) for path, dataset in zip(args.wages, datasets, strict=True)]
@@ -123,7 +124,8 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--commodities", required=True)
     parser.add_argument("--commodity-format", choices=("csv", "sheet"), default="csv")
     parser.add_argument("--wages", required=True, nargs="+", help="one path per dataset")
-    parser.add_argument("--wage-format", choices=("csv", "table", "xml"), default="csv")
+    parser.add_argument("--wage-format", choices=("csv", "table", "xml", "observations"), default="csv",
+                        help="xml: one element, named below; observations: every element that is one by its tag")
     parser.add_argument("--wage-dataset", default=["AWE"], nargs="+", help="code or name of each dataset: "
                         + ", ".join(f"{code} ({name})" for code, name in WAGE_DATASETS.items()))
     parser.add_argument("--wage-countries", choices=tuple(WAGE_SELECTIONS), default="all")

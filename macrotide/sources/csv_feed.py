@@ -3,40 +3,113 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+import io
+import json
+import re
+import sys
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from typing import BinaryIO
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from macrotide.functions.parsing import csv_cells, let, parse_date, parse_number, strip
 from macrotide.operators.clean import clean_commodity_sheet, clean_wage_table
-from macrotide.operators.reshape import select_typed, union_feeds
+from macrotide.operators.reshape import DATE_COLUMNS, select_typed, union_feeds
 from macrotide.schemas import COMMODITY_FEED, INFLATION_FEED, WAGE_FEED
 
 
+HEADER_BYTES = 64 * 1024
+
+
+def first_record(stream: BinaryIO, line: int = 1, step: int = HEADER_BYTES) -> list[str] | None:
+    """Cells of the CSV record that begins on a line of a byte stream; line ends inside quotes belong to the
+    cell. It reads ``step`` bytes, and as many again only while the record has not ended."""
+    data = b""
+    while True:
+        more = stream.read(step)
+        data += more
+        above = data.split(b"\n", line - 1)
+        rest = above[-1] if len(above) == line else b""
+        ends = [m.start() for m in re.finditer(b"\n", rest)]
+        # the record ends at the first line end outside quotes
+        end = next((e for e in ends if rest.count(b'"', 0, e) % 2 == 0), None)
+        if end is None and more:
+            continue
+        text = rest[:end].decode("utf-8", "replace").removeprefix("\ufeff").rstrip("\r")
+        return next(csv.reader(io.StringIO(text, newline="")), []) if text.strip() else None
+
+
+def opened(file: str) -> BinaryIO:
+    """A file of any store that Arrow reads, by its address."""
+    from pyarrow import fs
+
+    address = re.sub("^s3[an]:", "s3:", file)
+    system, path = fs.FileSystem.from_uri(address)
+    return system.open_input_stream(path, buffer_size=HEADER_BYTES)
+
+
+class FilesOfReader(InputPartition):
+    def __init__(self, files: list[str]) -> None:
+        self.files = files
+
+
+class HeaderReader(DataSourceReader):
+    """A row per file: its address and the cells of its header. Only the first bytes of each file are read."""
+
+    def __init__(self, files: list[str], line: int) -> None:
+        self.files, self.line = files, line
+
+    def partitions(self) -> list[FilesOfReader]:
+        return [FilesOfReader(self.files[k:k + 64]) for k in range(0, len(self.files), 64)]
+
+    def read(self, partition: FilesOfReader) -> Iterator[tuple]:
+        for file in partition.files:
+            with opened(file) as stream:
+                yield file, first_record(stream, self.line)
+
+
+class Headers(DataSource):
+    """Source ``csv_headers``: the header of each file, with the options ``files`` (a JSON list) and ``line``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "csv_headers"
+
+    def schema(self) -> str:
+        return "file string, header array<string>"
+
+    def reader(self, schema) -> HeaderReader:
+        return HeaderReader(json.loads(self.options["files"]), int(self.options["line"]))
+
+
 def header_groups(
     spark: SparkSession, path: str | Sequence[str], header_line: int = 1
-) -> list[tuple[str, list[str]]]:
-    """(header line, its files) for every header that occurs.
+) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) for every header that occurs.
 
-    One pass over the first block of each file finds the lines; the driver gets a header and a
-    file list, as it would to plan any read.
+    A task reads the first bytes of its files; the driver gets a header and a file list, as it would to plan
+    any read.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("n"), "value",
-    ).filter(F.col("at") == 0)
-    numbered = lines.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("n")))
-    headers = numbered.filter((F.col("line") <= header_line) & (F.col("line") == header_line))
-    found = headers.groupBy("value").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("value").collect()
-    return [(r["value"].removeprefix("\ufeff").rstrip("\r"), r["files"]) for r in found]
+    files = spark.read.text(path).inputFiles()
+    if not files:
+        return []
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the package
+    spark.dataSource.register(Headers)
+    found = spark.read.format("csv_headers").option("files", json.dumps(sorted(files))).option("line", header_line).load()
+    groups = found.filter("header IS NOT NULL").groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    # listed as addresses, read as paths
+    return [(header_columns(r["header"]), list(map(unquote, r["files"]))) for r in groups.orderBy("header").collect()]
 
 
-def header_columns(header: str) -> list[str]:
-    """Column names of a header line; unnamed cells are numbered."""
-    cells = next(csv.reader([header]), [])
-    return [cell.strip() or f"Unnamed: {i}" for i, cell in enumerate(cells)]
+def header_columns(cells: Sequence[str]) -> list[str]:
+    """Column names of a header; unnamed cells are numbered."""
+    return [(cell or "").strip() or f"Unnamed: {i}" for i, cell in enumerate(cells)]
 
 
 def _text_schema(columns: Sequence[str]) -> T.StructType:
@@ -45,10 +118,11 @@ def _text_schema(columns: Sequence[str]) -> T.StructType:
 
 def read_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Any CSV with a header, every column as text. Each file is read by its own header and the
-    files are united by column name."""
+    files are united by column name. Files are split, but for those whose header has line ends in it."""
     frames = [
-        spark.read.csv(files, header=True, schema=_text_schema(header_columns(header)), enforceSchema=True)
-        for header, files in header_groups(spark, path)
+        spark.read.csv(files, header=True, schema=_text_schema(columns), enforceSchema=True,
+                       multiLine=any("\n" in c for c in columns))
+        for columns, files in header_groups(spark, path)
     ]
     if not frames:
         return spark.read.csv(path, header=True)
@@ -71,31 +145,40 @@ def read_wage_table(spark: SparkSession, path: str | Sequence[str], dataset_code
     return clean_wage_table(read_csv(spark, path), dataset_code)
 
 
-def parse_csv_documents(
-    documents: DataFrame, columns: Sequence[str], text: str = "value", header_line: int = 1,
-) -> DataFrame:
-    """Data lines of CSV documents as text columns. Lines up to the header are skipped."""
+def sheet_lines(documents: DataFrame, text: str = "value", header_line: int = 4) -> DataFrame:
+    """(date, cells) of the data lines of sheets held as one text each: the date cell, and the other cells as
+    (commodity, price) texts. Each sheet is read by its own header, in one pass and without a job ahead of it."""
     lines = F.split(F.col(text), r"\r?\n")
-    data = F.slice(lines, header_line + 1, F.greatest(F.size(lines), F.lit(1)))
-    return (
-        documents.select(F.explode(data).alias("line"))
-        .filter(F.trim("line") != "")
-        .select(F.from_csv("line", ", ".join(f"`{c.replace(chr(96), chr(96) * 2)}` string" for c in columns)).alias("r"))
-        .select("r.*")
-    )
+
+    def named(header: Column) -> Column:
+        return F.transform(csv_cells(header), lambda c, i: F.coalesce(
+            F.nullif(strip(c), F.lit("")), F.concat(F.lit("Unnamed: "), i.cast("string"))))
+
+    def date_at(names: Column) -> Column:
+        known = [F.when(F.array_contains(names, c), F.array_position(names, c)) for c in DATE_COLUMNS]
+        return (F.coalesce(*known, F.lit(1)) - 1).cast("int")
+
+    def rows(names: Column) -> Column:
+        return let(date_at(names), lambda at: let(
+            F.filter(F.sequence(F.lit(0), F.size(names) - 1), lambda i: (i != at) & ~names[i].startswith("Unnamed")),
+            lambda kept: F.transform(
+                F.filter(F.slice(lines, header_line + 1, F.greatest(F.size(lines), F.lit(1))), lambda line: F.trim(line) != ""),
+                lambda line: let(csv_cells(line), lambda cells: F.struct(
+                    F.get(cells, at).alias("date"),
+                    F.transform(kept, lambda i: F.struct(names[i].alias("commodity"), F.get(cells, i).alias("price"))).alias("cells"))))))
+
+    header = F.get(lines, F.lit(header_line - 1))
+    found = F.when(F.trim(header) != "", let(named(header), rows))
+    return documents.select(F.inline(found))
 
 
 def parse_commodity_sheets(documents: DataFrame, text: str = "value", header_line: int = 4) -> DataFrame:
-    """Commodity feed from whole sheets held as one text each. One job finds the headers that
-    occur; the sheets of each are parsed with its columns."""
-    header = F.get(F.split(F.col(text), r"\r?\n"), F.lit(header_line - 1))
-    found = documents.select(header.alias("header")).filter(F.trim("header") != "").distinct().orderBy("header").collect()
-    frames = [
-        clean_commodity_sheet(parse_csv_documents(
-            documents.filter(header == r["header"]), header_columns(r["header"]), text, header_line))
-        for r in found
-    ]
-    return union_feeds([f for f in frames if f.columns == COMMODITY_FEED.names], COMMODITY_FEED, documents.sparkSession)
+    """Commodity feed from whole sheets held as one text each, of any number of headers."""
+    dated = sheet_lines(documents, text, header_line).select(F.explode(F.array_compact(F.array(parse_date(F.col("date"))))).alias("date"), "cells")
+    return (
+        dated.select(F.year("date").alias("year"), F.month("date").alias("month"), F.inline("cells"))
+        .withColumn("price", parse_number(F.col("price"))).filter(F.col("price").isNotNull())
+    )
 
 
 def read_commodity_sheet(
@@ -104,8 +187,7 @@ def read_commodity_sheet(
     """Commodity feed from wide sheets saved as CSV, each read by its own header. Files are split
     like any CSV; the lines up to the header fall out as they do not start with a date."""
     frames = []
-    for header, files in header_groups(spark, path, header_line):
-        columns = header_columns(header)
+    for columns, files in header_groups(spark, path, header_line):
         sheet = spark.read.csv(files, schema=_text_schema(columns))
         frames.append(clean_commodity_sheet(sheet))
     return union_feeds([f for f in frames if f.columns == COMMODITY_FEED.names], COMMODITY_FEED, spark)

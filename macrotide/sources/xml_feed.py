@@ -1,4 +1,5 @@
-"""Wage observations in XML: attributes of ``Obs`` elements, country possibly on ``Series``."""
+"""Wage observations in XML: attributes of every element whose tag says it is an observation, whatever its prefix and
+nesting; or, read with Spark's XML source, of one named element, the country possibly on its ``Series``."""
 
 from __future__ import annotations
 
@@ -13,6 +14,16 @@ from macrotide.schemas import WAGE_FEED
 ATTRIBUTE_MARKS = {"year": ("time",), "value": ("value",), "country_code": ("country", "ref_area")}
 
 
+# An element is an observation if its tag holds the first in this case, or the second in any.
+OBSERVATION = ("Obs", "observation")
+# An opening tag with its attributes; comments, character data and instructions, which hold no elements.
+TAG = r"""<([\p{L}_][^\s/>="']*+)((?:\s++[^\s=/>"']++\s*+=\s*+(?:"[^"]*+"|'[^']*+'))*+)\s*+/?+>"""
+ATTRIBUTE = r"""([^\s=/>"']++)\s*+=\s*+("[^"]*+"|'[^']*+')"""
+NO_ELEMENTS = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>"
+# The entities of XML; the ampersand comes last.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+
+
 def _field_of(attribute: str) -> str | None:
     name = attribute.lower()
     return next((f for f, marks in ATTRIBUTE_MARKS.items() if any(m in name for m in marks)), None)
@@ -36,6 +47,53 @@ def wage_observations(elements: DataFrame, dataset_code: str) -> DataFrame:
     ).filter(F.coalesce("country_code", F.col("year").cast("string"), F.col("value").cast("string")).isNotNull())
 
 
+def tags(text: Column) -> Column:
+    """Array of (tag, attributes) of all elements of an XML text, in order; attributes as an array of (name, value).
+    The text is read once, by patterns that never go back, so a long document takes time in proportion."""
+    def attribute(found: Column) -> Column:
+        value = F.regexp_extract(found, ATTRIBUTE, 2)
+        value = F.substr(value, F.lit(2), F.length(value) - 2)
+        for entity, sign in ENTITIES:
+            value = F.replace(value, F.lit(entity), F.lit(sign))
+        return F.struct(F.regexp_extract(found, ATTRIBUTE, 1).alias("name"), value.alias("value"))
+
+    opened = F.regexp_extract_all(F.regexp_replace(text, NO_ELEMENTS, ""), F.lit(TAG), F.lit(0))
+    return F.transform(opened, lambda e: F.struct(
+        F.regexp_extract(e, TAG, 1).alias("tag"),
+        F.transform(F.regexp_extract_all(F.regexp_extract(e, TAG, 2), F.lit(ATTRIBUTE), F.lit(0)), attribute).alias("attributes")))
+
+
+def is_observation(tag: Column) -> Column:
+    return tag.contains(OBSERVATION[0]) | F.lower(tag).contains(OBSERVATION[1])
+
+
+def parse_observations(documents: DataFrame, dataset_code: str, text: str = "value") -> DataFrame:
+    """Wage feed from XML documents held as one text each, of every observation element. An attribute
+    fills the first field whose mark its name holds; of several for one field the last in the element counts."""
+    def field_of(name: Column) -> Column:
+        found = F.lit(None).cast("string")
+        for target, marks in reversed(ATTRIBUTE_MARKS.items()):
+            holds = F.lit(False)
+            for mark in marks:
+                holds = holds | F.lower(name).contains(mark)
+            found = F.when(holds, F.lit(target)).otherwise(found)
+        return found
+
+    def last(target: str) -> Column:
+        return F.try_element_at(F.filter(F.col("e.attributes"), lambda a: field_of(a["name"]) == target), F.lit(-1))["value"]
+
+    elements = documents.select(F.explode(F.filter(tags(F.col(text)), lambda e: is_observation(e["tag"]))).alias("e"))
+    texts = elements.select(*(last(target).alias(target) for target in ATTRIBUTE_MARKS))
+    return texts.filter(F.coalesce(*ATTRIBUTE_MARKS).isNotNull()).select(
+        "country_code", parse_year(F.col("year")).alias("year"), F.lit(dataset_code).alias("indicator"),
+        parse_number(F.col("value")).alias("value"))
+
+
+def read_observations(spark: SparkSession, path: str, dataset_code: str) -> DataFrame:
+    """Wage feed from XML files of bounded size, one document each; see ``parse_observations``."""
+    return parse_observations(spark.read.text(path, wholetext=True), dataset_code)
+
+
 def nested_observations(series: DataFrame, obs: str = "Obs") -> DataFrame:
     """One row per observation of each series, the series' attributes repeated."""
     kind = series.schema[obs].dataType

@@ -1,8 +1,10 @@
+import random
+
 import pytest
 
 from support import values
 from macrotide.functions.country import CountryLookup
-from macrotide.operators.standardize import normalize_columns, standardize_countries
+from macrotide.operators.standardize import loose_codes, normalize_columns, standardize_countries
 
 EXPECTED = {
     "US": "USA", "USA": "USA", "United States": "USA", "United States of America": "USA",
@@ -72,6 +74,39 @@ def test_matches_row_by_row_rule(spark, iso):
     assert got == {i: rule(t) for i, t in enumerate(texts) if rule(t)}
 
 
+def test_long_lists_of_names(spark):
+    """50,000 names: an index of pieces and words, and no names in the plan."""
+    def name(k):
+        return f"PLACE{k:05d} {'EAST' if k % 2 else 'WEST'} BAY{k % 977}"
+
+    lookup = CountryLookup([(None, f"C{k}", name(k), None) for k in range(50_000)], custom={})
+    texts = ["place00017", "lace0100", "xx place00123 east bay123 yy", "bay976!", "y", "east", "zzzz zz", name(40_001), "00"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(100 + k, "place00017") for k in range(500)], "i int, country_code string")
+    mapped, unmapped = standardize_countries(frame, lookup)
+    assert "PLACE0" not in mapped._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.i: r.country_code for r in mapped.collect()}
+    assert {k: got.pop(100 + k) for k in range(500)} == dict.fromkeys(range(500), "C17")
+    assert got == {0: "C17", 1: "C1000", 2: "C123", 3: "C976", 4: "C0", 5: "C1", 7: "C40001", 8: "C0"}
+    assert values(unmapped) == ["zzzz zz"]
+
+
+def test_names_match_like_the_plain_rule(spark):
+    """Random short names, so that pieces of one and two letters and shared words matter."""
+    rng = random.Random(7)
+    names = list(dict.fromkeys(" ".join("".join(rng.choice("ABC") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 2))) for _ in range(60)))
+    texts = list(dict.fromkeys(" ".join("".join(rng.choice("ABCD") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 3))) for _ in range(400)))
+    frame = spark.createDataFrame([(k, n, f"I{k}") for k, n in enumerate(names)], "at int, name string, iso3 string")
+    got = {r.text: r.iso3 for r in loose_codes(spark.createDataFrame([(t,) for t in texts], "text string"), frame).collect()}
+    want = {}
+    for text in texts:
+        first = next((k for k, n in enumerate(names) if text in n or n in text), None)
+        if first is None:
+            first = next((k for k, n in enumerate(names) if set(text.split()) & set(n.split())), None)
+        if first is not None:
+            want[text] = f"I{first}"
+    assert got == want
+
+
 def test_missing_column_changes_nothing(spark, iso):
     frame = spark.createDataFrame([(1,)], "x int")
     mapped, unmapped = standardize_countries(frame, iso)

@@ -1,9 +1,12 @@
+import io
 import json
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
 
 from support import values
+from macrotide.functions.parsing import csv_cells
 from macrotide.schemas import INFLATION_INDICATORS
 from macrotide.sources import csv_feed, json_feed, tables, xml_feed
 
@@ -102,6 +105,55 @@ def test_files_with_different_headers(spark, tmp_path):
     assert values(csv_feed.parse_commodity_sheets(spark.createDataFrame([(quoted,), (None,), ("",)], "value string"), header_line=1)) == [(2020, 4, 'b, "c"', 7.0)]
 
 
+class Counted(io.BytesIO):
+    """A stream that counts what is read from it."""
+
+    taken = 0
+
+    def read(self, n=-1):
+        found = super().read(n)
+        self.taken += len(found)
+        return found
+
+
+def test_header_probe_reads_the_first_bytes():
+    long = Counted(b"a,b\n" + b"1,2\n" * 2_000_000)
+    assert csv_feed.first_record(long) == ["a", "b"] and long.taken <= csv_feed.HEADER_BYTES
+    sheet = Counted(b'prices\n"x\n\nPeriod,"Oil,\r\ncrude","say ""x""",\r\n' + b"1,2\n" * 2_000_000)
+    assert csv_feed.first_record(sheet, 4) == ["Period", "Oil,\r\ncrude", 'say "x"', ""] and sheet.taken <= csv_feed.HEADER_BYTES
+    wide = ",".join(f"column {i}" for i in range(20_000)).encode()
+    assert len(csv_feed.first_record(Counted(wide + b"\n1\n"))) == 20_000
+    assert csv_feed.first_record(Counted(b"")) is None and csv_feed.first_record(Counted(b"a\nb\n"), 4) is None
+    assert csv_feed.first_record(Counted(b"\xef\xbb\xbfa,b")) == ["a", "b"]
+
+
+def test_headers_with_line_ends(spark, tmp_path):
+    (tmp_path / "a b.csv").write_text('year,"country_code",value,"a\nnote"\n2020,USA,1.5,"x\ny"\n')
+    (tmp_path / "c.csv").write_text("year,country_code,value,indicator\n2021,DEU,2.5,W\n")
+    assert values(csv_feed.read_wages(spark, str(tmp_path))) == [("DEU", 2021, "W", 2.5), ("USA", 2020, None, 1.5)]
+    groups = csv_feed.header_groups(spark, str(tmp_path))
+    assert [len(files) for _, files in groups] == [1, 1] and groups[0][0][3] == "a\nnote"
+
+
+def test_sheets_are_parsed_in_one_pass(spark):
+    """Any number of headers, no job while the plan is built."""
+    sheets = [(f"x\n\n\nnote {k},Date,\"Metal, {k}\"\nn,2020-0{k % 9 + 1}-01,{k}\n\nn,,5\nn,2021-01-01,\"1\n",) for k in range(50)]
+    documents = spark.createDataFrame(sheets, "value string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    feed = csv_feed.parse_commodity_sheets(documents)
+    spark.sparkContext.setJobGroup("reading", "")
+    assert values(feed, "commodity", "price", "month") == sorted((f"Metal, {k}", float(k), k % 9 + 1) for k in range(50))
+    assert not tracker.getJobIdsForGroup("building")
+    assert feed._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_csv_cells(spark):
+    lines = ['a,b', '', ',', '"a,b",c', '"a ""q"" b",,"",x', ' "a",b', '"a"z,b', '"open,b', '"' + "x" * 20_000 + '",1']
+    got = [r.c for r in spark.createDataFrame([(k, line) for k, line in enumerate(lines)], "k int, line string").orderBy("k").select(csv_cells(F.col("line")).alias("c")).collect()]
+    assert got == [["a", "b"], [None], [None, None], ["a,b", "c"], ['a "q" b', None, None, "x"], [' "a"', "b"], ["a", "b"], ['"open', "b"], ["x" * 20_000, "1"]]
+
+
 @pytest.mark.parametrize("prefix", ["", "g:"])
 def test_wage_xml(spark, tmp_path, prefix):
     ns = ' xmlns:g="urn:g"' if prefix else ""
@@ -122,6 +174,45 @@ def test_wage_xml(spark, tmp_path, prefix):
     assert values(got) == [("GBR", 2020, "AWE", 3.0), ("USA", 2020, "AWE", 1.0), ("USA", 2021, "AWE", 2.0)]
 
 
+def plain_observations(text, code):
+    """Every element, its attributes in order, the first mark that fits."""
+    rows = []
+    for e in ElementTree.fromstring(text).iter():
+        tag = e.tag.rsplit("}", 1)[-1]
+        record = {}
+        for name, value in e.attrib.items():
+            low = name.lower()
+            for target, marks in (("year", ("time",)), ("value", ("value",)), ("country_code", ("country", "ref_area"))):
+                if any(m in low for m in marks):
+                    record[target] = value
+                    break
+        if ("Obs" in tag or "observation" in tag.lower()) and record:
+            rows.append((record.get("country_code"), record.get("year"), code, record.get("value")))
+    return rows
+
+
+def test_every_observation_element(spark, tmp_path):
+    text = """<?xml version="1.0"?><!-- <Obs TIME="1"/> --><m:Data xmlns:m="urn:m" xmlns:g="urn:g"><m:Series Country="USA">
+      <Obs TIME_PERIOD="2020" OBS_VALUE="1.5" REF_AREA="USA" OTHER="time"/><g:Obs Value='2.5'
+      ref_area="D&amp;E"   Time="2021"><inner><m:MyObservation START_TIME="1999" time="2022" value="a&lt;b &quot;c&quot;"/></inner></g:Obs>
+      <observations><Observed/><g:Observer value="7"/></observations><Note TIME="2000" VALUE="9"/><![CDATA[<Obs TIME="1"/>]]><obs TIME="3"/></m:Series></m:Data>"""
+    (tmp_path / "a.xml").write_text(text)
+    (tmp_path / "b.xml").write_text("<Obs/>")
+    documents = spark.createDataFrame([(text,), ("<Obs/>",), ("",), (None,), ("<Obs TIME='5'",)], "value string")
+    want = [(c, y and int(y), code, float(v) if v and v.replace(".", "").isdigit() else None) for c, y, code, v in plain_observations(text, "AWE")]
+    key = lambda r: tuple(map(str, r))
+    for got in (xml_feed.parse_observations(documents, "AWE"), xml_feed.read_observations(spark, str(tmp_path), "AWE")):
+        assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(want, key=key) and len(want) == 4
+    tags = spark.createDataFrame([(text,)], "value string").select(xml_feed.tags(F.col("value")).alias("t")).first().t
+    assert [t.tag for t in tags][:4] == ["m:Data", "m:Series", "Obs", "g:Obs"] and tags[3].attributes[1].value == "D&E"
+
+
+def test_long_xml_documents(spark):
+    text = "<D>" + "".join(f'<g:Obs TIME="{1900 + k % 100}" VALUE="{k}" REF_AREA="X"/>' for k in range(60_000)) + "</D>"
+    rows = xml_feed.parse_observations(spark.createDataFrame([(text,), ("<Obs " + "a" * 200_000,)], "value string"), "AWE")
+    assert rows.count() == 60_000
+
+
 def test_tables_and_sql(spark):
     rates = tables.from_rows(spark, [("USA", 2020, 0.02), ("GBR", 2021, None)], ["country_code", "year", "inflation_rate"])
     tables.register_views({"rates_view": rates})
