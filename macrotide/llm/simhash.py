@@ -21,10 +21,21 @@ the same components follow.
 Cases. Null texts count as empty; rows without id have fingerprints and bridge links, and the
 component is the least id present (null if there is none). Repeated rows give repeated results.
 An empty table gives an empty result. Other columns are ignored.
+
+Near copies (`near_copies`) are texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or
+more. At that similarity two SimHash fingerprints differ in about 15 of 100 bits, too many for 64 bits to be searched, so these
+fingerprints are wider: `words_for` gives the number of 64-bit words with which a pair at 0.8 meets in some part with
+probability 0.95, for parts long enough that unrelated texts seldom meet. Correlated bits of a word are grouped to
+parts, dynamic programming allocates the thresholds, and pairs that meet are verified on 64 bits, then on all bits, then on
+the shingles themselves; only pairs of true similarity are linked. Where many texts share a part value, each is compared to one
+of them, the rest to two of what is left, and so on, until few enough for all pairs are left.
+Texts that differ in white space and case only are one class. Texts without words are one class.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -181,6 +192,201 @@ def near_duplicates(documents: DataFrame, limit: int = LIMIT) -> DataFrame:
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+# Near copies
+
+SHINGLE, SIMILARITY, FOUND = 5, 0.8, 0.95
+NEAR_CROWD = 16
+#: Verification on 64 and on all bits lets pairs at the least similarity pass with so many standard deviations to spare.
+SPARE = 3.0
+
+
+def differing(similarity: float) -> float:
+    """Expected share of SimHash bits in which two sets of about one size and this Jaccard similarity differ."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def parts_a_word(rows: int) -> int:
+    """4, 3 or 2 parts of 16, 21 or 32 bits: unrelated texts meet in a part 16 times each at most, or so."""
+    return next((g for g in (4, 3) if rows / 16 <= 2 ** (BITS // g)), 2)
+
+
+def words_for(rows: int, similarity: float = SIMILARITY, found: float = FOUND) -> int:
+    """Words of the fingerprint with which a pair at the least similarity meets in a part with the wanted probability."""
+    per_word = parts_a_word(rows)
+    meets = (1 - differing(similarity)) ** (BITS / per_word)
+    return math.ceil(math.log(1 - found) / math.log(1 - meets) / per_word)
+
+
+def shingles(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
+    """Distinct hashes of the word shingles; fewer words are one shingle, none give none."""
+    words = (text or b"").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    digest = xxhash.xxh64_intdigest
+    grams = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False)) if len(words) > size else [b" ".join(words)]
+    return np.unique(np.fromiter((digest(g, 42) for g in grams), np.uint64))
+
+
+def wide_fingerprint(hashes: np.ndarray, n_words: int) -> np.ndarray:
+    """SimHash of n_words * 64 bits, each shingle hash spread over all words."""
+    ones = np.zeros(n_words * BITS, np.int64)
+    step = np.arange(1, n_words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, len(hashes), 4096):
+        h = hashes[at:at + 4096, None] + step
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        ones += np.unpackbits(h.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.uint16)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)
+
+
+def text_key():
+    """Names the text of a row; a null text counts as empty."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def wide_fingerprints(documents: DataFrame, n_words: int) -> DataFrame:
+    """(doc_id, text_key, node, n, fp): node names the sequence of words, n is its number of shingles."""
+    def work(batches):
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
+            out = {"node": [], "n": [], "fp": []}
+            for text in batch.column(2).to_pylist():
+                own = shingles(text)
+                out["node"].append(xxhash.xxh3_128_digest(b" ".join((text or b"").lower().split())))
+                out["n"].append(len(own))
+                out["fp"].append(wide_fingerprint(own, n_words).tolist())
+            yield {"doc_id": batch.column(0), "text_key": batch.column(1)} | out
+
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), F.col("text").cast("string").cast("binary").alias("text"))
+    return map_batches(rows, "doc_id bigint, text_key bigint, node binary, n int, fp array<bigint>", work)
+
+
+def word_moments(classes: DataFrame, n_words: int) -> np.ndarray:
+    """For each word, how many classes have its bits i and j set, over all classes."""
+    def work(batches):
+        total = np.zeros((n_words, BITS, BITS), np.int64)
+        for batch in batches:
+            fp = np.ascontiguousarray(batch.column(0).flatten().to_numpy()).reshape(-1, n_words)
+            for w in range(n_words):
+                bits = np.unpackbits(np.ascontiguousarray(fp[:, w]).view(np.uint8), bitorder="little").reshape(-1, BITS).astype(np.float32)
+                total[w] += (bits.T @ bits).astype(np.int64)
+        if total.any():
+            yield {"w": np.arange(n_words), "n": [t.ravel().tolist() for t in total]}
+
+    both = np.zeros((n_words, BITS, BITS))
+    each = map_batches(classes.select("fp"), "w int, n array<bigint>", work)
+    for r in each.select("w", F.posexplode("n").alias("at", "n")).groupBy("w", "at").agg(F.sum("n").alias("n")).collect():
+        both[r["w"], r["at"] // BITS, r["at"] % BITS] = r["n"]
+    return both
+
+
+def wide_plan(n: int, both: np.ndarray, per_word: int) -> list[tuple[int, list[int], int]]:
+    """(word, bits, threshold 0 or 1) of the parts to look at: as many in all as parts times one bit guarantee, for the
+    least estimated probes and candidates."""
+    parts = [(w, part) for w in range(len(both)) for part in parts_of(n, both[w], per_word)]
+    state: dict[int, tuple[float, tuple[int, ...]]] = {0: (0.0, ())}
+    for w, part in parts:
+        p = np.diag(both[w])[part] / max(n, 1)
+        agree = float(np.prod(p * p + (1 - p) * (1 - p)))
+        one = agree * float((2 * p * (1 - p) / np.maximum(p * p + (1 - p) * (1 - p), 1e-9)).sum())
+        cost = [0.0, n + 0.5 * n * n * agree, n * (1 + len(part)) + 0.5 * n * n * (agree + one)]
+        following: dict[int, tuple[float, tuple[int, ...]]] = {}
+        for spent, (c, chosen) in state.items():
+            for t in (-1, 0, 1):
+                if spent + t + 1 <= len(parts):
+                    new = (c + cost[t + 1], (*chosen, t))
+                    following[spent + t + 1] = min(new, following.get(spent + t + 1, (float("inf"), ())))
+        state = following
+    return [(w, part, t) for (w, part), t in zip(parts, state[len(parts)][1], strict=True) if t >= 0]
+
+
+def wide_keys(plan: list[tuple[int, list[int], int]], probe: bool):
+    found = []
+    for i, (w, part, t) in enumerate(plan):
+        value = F.col("fp")[w].bitwiseAND(F.lit(signed(part)).cast("long"))
+        flips = [(), *([(b,) for b in part] if probe and t else [])]
+        found += [F.struct(F.lit(i).alias("part"), value.bitwiseXOR(F.lit(signed(flip)).cast("long")).alias("key")) for flip in flips]
+    return F.array(*found)
+
+
+def candidate_pairs(classes: DataFrame, plan: list[tuple[int, list[int], int]], similarity: float, crowd: int) -> DataFrame:
+    """(a, b): classes that meet in a part, or have a class there in common, and whose 64 first bits and sizes allow the similarity."""
+    share = differing(similarity)
+    limit = math.floor(BITS * share + SPARE * math.sqrt(BITS * share * (1 - share)))
+    index = classes.select("node", "n", F.col("fp")[0].alias("first"), F.inline(wide_keys(plan, probe=False)))
+    other = [F.col(c).alias(f"other_{c}") for c in ("node", "n", "first")]
+    near = (F.bit_count(F.col("first").bitwiseXOR(F.col("other_first"))) <= limit) & (
+        F.least("n", "other_n") >= similarity * F.greatest("n", "other_n"))
+    pair = [F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")]
+    crowded = staged(index.groupBy("part", "key").agg(F.count("*").alias("rows")).where(F.col("rows") > crowd).select("part", "key"))
+    quiet = index.join(crowded, ["part", "key"], "left_anti")
+    probes = [i for i, (*_, t) in enumerate(plan) if t]
+    pairs = quiet.join(quiet.select("part", "key", *other), ["part", "key"]).where((F.col("node") < F.col("other_node")) & near).select(*pair)
+    if probes:
+        wide = classes.select("node", "n", F.col("fp")[0].alias("first"), F.inline(wide_keys(plan, probe=True))).where(F.col("part").isin(probes))
+        pairs = pairs.union(wide.join(quiet.select("part", "key", *other), ["part", "key"]).where((F.col("node") != F.col("other_node")) & near).select(*pair))
+    members = classes.select("node", "n", F.col("fp")[0].alias("first"), F.inline(wide_keys(plan, probe=True)))
+    found, left, leaders = [pairs], staged(members.join(crowded, ["part", "key"], "left_semi")), 1
+    while left.limit(1).count():
+        # a few leaders for each value; whoever is near one of them is done there
+        lead = left.groupBy("part", "key", F.pmod(F.xxhash64("node"), F.lit(leaders)).alias("seat")).agg(F.min(F.struct("node", "n", "first")).alias("lead"))
+        lead = staged(lead.select("part", "key", F.col("lead.node").alias("other_node"), F.col("lead.n").alias("other_n"), F.col("lead.first").alias("other_first")))
+        met = staged(left.join(lead, ["part", "key"]).where(near).select("part", "key", "node", "other_node"))
+        found.append(met.where("node <> other_node").select(*pair))
+        left = left.join(met.select("part", "key", "node").distinct(), ["part", "key", "node"], "left_anti")
+        few = left.groupBy("part", "key").agg(F.count("*").alias("rows")).where(F.col("rows") <= crowd).select("part", "key")
+        left = staged(left.join(few.withColumn("few", F.lit(True)), ["part", "key"], "left"))
+        rest = left.where("few").drop("few")
+        found.append(rest.join(rest.select("part", "key", *other), ["part", "key"]).where((F.col("node") < F.col("other_node")) & near).select(*pair))
+        left, leaders = left.where("few IS NULL").drop("few"), 2 * leaders
+    return reduce(DataFrame.union, found).distinct()
+
+
+def similar_pairs(documents: DataFrame, pairs: DataFrame, classes: DataFrame, n_words: int, similarity: float) -> DataFrame:
+    """The pairs of classes whose shingles have the similarity; estimated on all bits first."""
+    share = differing(similarity)
+    limit = math.floor(n_words * BITS * share + SPARE * math.sqrt(n_words * BITS * share * (1 - share)))
+    prints = classes.select("node", "fp", "text_key")
+    bits = F.aggregate(F.zip_with("fp_a", "fp_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    both = pairs.join(prints.toDF("a", "fp_a", "key_a"), "a").join(prints.toDF("b", "fp_b", "key_b"), "b")
+    likely = staged(both.where(bits <= limit).select("a", "b", "key_a", "key_b"))
+    wanted = staged(likely.select(F.col("key_a").alias("text_key"), F.col("a").alias("node")).union(likely.select("key_b", "b")).distinct())
+
+    def work(batches):
+        for batch in batches:
+            yield {"node": batch.column(0), "own": [shingles(t).view(np.int64).tolist() for t in batch.column(1).to_pylist()]}
+
+    texts = documents.select(text_key().alias("text_key"), F.col("text").cast("string").cast("binary").alias("text"))
+    one_each = texts.join(wanted, "text_key").groupBy("node").agg(F.min("text").alias("text"))
+    sets = staged(map_batches(one_each, "node binary, own array<bigint>", work))
+    met = likely.join(sets.toDF("a", "own_a"), "a").join(sets.toDF("b", "own_b"), "b").withColumn("common", F.size(F.array_intersect("own_a", "own_b")))
+    return met.where(F.col("common") >= similarity * (F.size("own_a") + F.size("own_b") - F.col("common"))).select("a", "b")
+
+
+def near_copies(documents: DataFrame, similarity: float = SIMILARITY, crowd: int = NEAR_CROWD) -> DataFrame:
+    """(doc_id, text_key, node, group, component_id, kept) per document. group: the least class that near copies lead to;
+    component_id: its least id; kept: whether the row's text and id stand for the group (all rows that repeat both do)."""
+    rows = documents.count()
+    n_words = words_for(rows, similarity)
+    prints = staged(wide_fingerprints(documents, n_words))
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key"))
+    classes = staged(prints.groupBy("node").agg(least.alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp")).select(
+        "node", F.col("least.doc_id").alias("first_id"), F.col("least.text_key").alias("text_key"), "n", "fp"))
+    plan = wide_plan(classes.count(), word_moments(classes, n_words), parts_a_word(rows))
+    pairs = staged(candidate_pairs(classes.where("n > 0"), plan, similarity, crowd))
+    linked = components(similar_pairs(documents, pairs, classes, n_words, similarity))
+    grouped = classes.join(linked, "node", "left").select(
+        "node", "first_id", F.col("text_key").alias("first_key"), F.coalesce("component", "node").alias("group"))
+    # the class with the least id stands for the group; of classes without ids, or with one id, the least
+    best = grouped.groupBy("group").agg(
+        F.min("first_id").alias("component_id"), F.min(F.struct(F.col("first_id").isNull(), "first_id", "node"))["node"].alias("best"))
+    named = staged(grouped.join(best, "group").select(
+        "node", "first_id", "first_key", "group", "component_id", (F.col("node") == F.col("best")).alias("best")))
+    return prints.select("doc_id", "text_key", "node").join(named, "node").select(
+        "doc_id", "text_key", "node", "group", "component_id",
+        (F.col("best") & F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key"))).alias("kept"))
+
+
 def op1_simhash(spark, folder: str) -> DataFrame:
     found = near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
