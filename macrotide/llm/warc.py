@@ -2,9 +2,9 @@
 
 Writing. Payload digests decide first, on rows of a few numbers: of equal payloads of at least
 `least` bytes the smallest page_id is a response, the others are revisits without payload. A task
-sorts its captures by URL key and timestamp and writes them as one archive, so each archive is a
-sorted run. Spark's text writer does the writing, with the record end as line separator, so files
-land wherever the shared folder is and a lost task is simply written again.
+sorts its captures by URL key and timestamp and writes them as archives of so many records as make `ARCHIVE_BYTES` by
+the mean over all records, an eighth of what a task can read at once; each archive is a sorted run. Spark's text writer does the writing, with the record end as line separator, so files
+land wherever the shared folder is and a lost task is simply written again. Dates are in UTC, whatever the session's zone.
 
 Reading. Each archive is parsed by its Content-Length fields; digests of responses are computed anew
 from the bytes and compared.
@@ -32,9 +32,11 @@ from pyspark.sql import functions as F
 
 from macrotide.llm.common import map_batches, shared, staged, table
 
-FIRST_DAY = "2024-01-01 00:00:00"
+FIRST_SECOND = 1_704_067_200  # 2024-01-01T00:00:00Z
 END = "\r\n"
 ROWS_A_BATCH = 10_000
+#: An eighth of 2 GB, the most that a task can read at once.
+ARCHIVE_BYTES, HEAD_BYTES = 256 << 20, 600
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = (
     "url_key string, timestamp string, page_id bigint, record_type string, refers_to bigint, payload_bytes bigint, "
@@ -58,12 +60,21 @@ def url_key(url):
 
 def captures(pages: DataFrame) -> DataFrame:
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    when = F.col("captured_at").cast("timestamp") if "captured_at" in pages.columns else F.timestamp_seconds(
-        F.unix_timestamp(F.lit(FIRST_DAY)) + F.pmod(F.coalesce(F.col("page_id").cast("long"), F.lit(0)), F.lit(10 ** 10)))
+    # seconds of UTC, written out from the first day on, so that no time zone has a say
+    seconds = F.unix_timestamp(F.col("captured_at").cast("timestamp")) if "captured_at" in pages.columns else (
+        F.lit(FIRST_SECOND) + F.pmod(F.coalesce(F.col("page_id").cast("long"), F.lit(0)), F.lit(10 ** 10)))
     return pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.regexp_replace(F.col("url").cast("string"), "[\\x00-\\x20\\x7F]", "%20").alias("url"),
         payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
-        base32(F.sha1(payload)).alias("payload_digest"), when.alias("at"))
+        base32(F.sha1(payload)).alias("payload_digest"), seconds.alias("at"))
+
+
+def utc(seconds):
+    """Seconds as a WARC date; null stays null."""
+    day = F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86_400).cast("int")), "yyyy-MM-dd")
+    rest = F.pmod(seconds, F.lit(86_400))
+    clock = F.format_string("%02d:%02d:%02d", F.floor(rest / 3600), F.floor(rest / 60) % 60, rest % 60)
+    return F.when(seconds.isNotNull(), F.concat(day, F.lit("T"), clock, F.lit("Z")))
 
 
 def record(row: Callable = F.col):
@@ -76,7 +87,7 @@ def record(row: Callable = F.col):
     lines = F.concat_ws(
         END, F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
         F.concat(F.lit("WARC-Record-ID: <urn:page:"), name, F.lit(">")),
-        F.concat(F.lit("WARC-Date: "), F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        F.concat(F.lit("WARC-Date: "), F.col("date")),
         F.concat(F.lit("WARC-Target-URI: "), row("url")),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), row("payload_digest")),
         F.when(revisit, f"WARC-Profile: {PROFILE}"), F.concat(F.lit("WARC-Refers-To: <urn:page:"), row("refers_to"), F.lit(">")),
@@ -84,8 +95,8 @@ def record(row: Callable = F.col):
     return F.concat(lines, F.lit(END + END), block, F.lit(END))
 
 
-def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
-    """One archive per task below the path, each sorted by URL key, timestamp and page."""
+def write_archives(pages: DataFrame, path: str, least: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Archives of about so many bytes at most below the path, each sorted by URL key, timestamp and page."""
     taken = captures(pages)
     marks = staged(taken.select("page_id", "payload_bytes", "payload_digest"))
     firsts = staged(marks.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.min("page_id").alias("first")))
@@ -93,8 +104,9 @@ def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
         marks.join(firsts, "payload_digest").where(~F.col("page_id").eqNullSafe(F.col("first")))
         .select(F.col("page_id").alias("revisit"), F.col("first").alias("refers_to"), F.col("payload_digest").alias("of")).distinct())
     known = taken.alias("p").join(revisits, F.col("p.page_id").eqNullSafe(F.col("revisit")) & (F.col("payload_digest") == F.col("of")), "left")
-    runs = known.withColumn("url_key", url_key(F.col("url"))).sortWithinPartitions("url_key", "at", F.col("page_id").asc_nulls_last())
-    runs.select(record().alias("value")).write.option("lineSep", END).text(path)
+    mean = marks.agg(F.avg(F.col("payload_bytes") + HEAD_BYTES).alias("bytes")).first()["bytes"] or HEAD_BYTES
+    runs = known.withColumns({"url_key": url_key(F.col("url")), "date": utc(F.col("at"))}).sortWithinPartitions("url_key", "at", F.col("page_id").asc_nulls_last())
+    runs.select(record().alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", max(1, int(archive_bytes / mean))).text(path)
 
 
 def parsed(data: bytes) -> Iterator[dict]:
