@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import sys
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -43,6 +44,24 @@ def test_archives_round_trip(spark, least):
     assert got == sorted(want, key=str)
 
 
+def test_archives_are_cut_and_dated_in_utc(spark, tmp_path):
+    rows = [(k, f"http://host{k % 3}.org/{k}", "x" * 1000) for k in range(60)]
+    warc.write_archives(pages(spark, rows).coalesce(1), str(tmp_path / "a"), archive_bytes=5 * (1000 + warc.HEAD_BYTES), least=2000)
+    files = list((tmp_path / "a").glob("part-*"))
+    assert len(files) >= 12 and all(f.stat().st_size < 10_000 for f in files)
+    assert warc.read_archives(spark, str(tmp_path / "a")).count() == 60
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        stamps = {r["page_id"]: r["timestamp"] for r in warc.history(pages(spark, rows)).collect()}
+        dated = spark.createDataFrame([(1, "http://a.org", "x")], "page_id bigint, url string, html string").selectExpr(
+            "*", "timestamp_seconds(1709294399) AS captured_at")  # 2024-03-01 11:59:59 UTC
+        assert warc.history(dated).first()["timestamp"] == "20240301115959"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert stamps[0] == "20240101000000" and stamps[59] == "20240101000059"
+
+
 def test_history_is_in_global_order(spark):
     rng = random.Random(9)
     rows = [(k, f"http://host{rng.randrange(4)}.org/p{rng.randrange(30)}", str(k % 50)) for k in range(400)]
@@ -67,6 +86,102 @@ def test_damaged_archives_are_refused():
         list(warc.parsed(b"junk"))
 
 
+def words_of(text):
+    return (text or "").encode().lower().split()
+
+
+def shingle_sets(texts):
+    return {i: {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if (w := words_of(t)) else set() for i, t in texts.items()}
+
+
+def alike(texts):
+    """All pairs of texts whose five-word shingles have a similarity of 0.8 or more, and the components they make."""
+    sets = shingle_sets(texts)
+    holders, pairs = {}, set()
+    for i, own in sets.items():
+        for g in own or {()}:
+            holders.setdefault(g, []).append(i)
+    label = {i: i for i in texts}
+
+    def top(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, own in sets.items():
+        times = Counter(j for g in own or {()} for j in holders[g] if str(j) < str(i))
+        for j, n in times.items():
+            if n >= 0.8 * (len(own or {()}) + len(sets[j] or {()}) - n):
+                pairs.add((j, i))
+                label[top(i)] = top(j)
+    return pairs, {i: top(i) for i in texts}
+
+
+def near_groups(spark, docs):
+    return {r["doc_id"]: r["group"] for r in simhash.near_copies(docs).collect()}
+
+
+def test_near_copies_are_found_and_verified(spark):
+    """Copies with words changed, added, dropped, moved; a large crowd of them; short texts; texts that share a part only."""
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(3000)]
+
+    def text(n):
+        return [rng.choice(vocabulary) for _ in range(n)]
+
+    def changed(words, edits):
+        words = list(words)
+        for _ in range(edits):
+            at = rng.randrange(len(words))
+            words[at:at + rng.choice((0, 1, 1))] = [rng.choice(vocabulary)] * rng.choice((0, 1))
+        return words
+
+    texts = {}
+    for k in range(60):
+        base = text(rng.choice((8, 40, 120, 400, 1500)))
+        texts[10 * k] = " ".join(base)
+        texts[10 * k + 1] = " ".join(base).upper() + " \n"
+        for j in range(2, 6):
+            texts[10 * k + j] = " ".join(changed(base, rng.randint(1, max(1, len(base) // 40))))
+        texts[10 * k + 6] = " ".join(base[:len(base) // 2] + text(len(base) // 2))
+    crowd = text(300)
+    for k in range(150):
+        texts[5000 + k] = " ".join(changed(crowd, rng.randint(1, 4)))
+    rows = [(i, t, "en", "a", None, None) for i, t in texts.items()]
+    pairs, component = alike(texts)
+    for size in (2, simhash.NEAR_CROWD):
+        found = {r["doc_id"]: r["group"] for r in simhash.near_copies(documents(spark, rows, 5), crowd=size).collect()}
+        assert found.keys() == texts.keys()
+        hit = sum(found[a] == found[b] for a, b in pairs) / len(pairs)
+        assert hit >= 0.9, hit
+        by_group = {}
+        for i, g in found.items():
+            assert by_group.setdefault(g, component[i]) == component[i]
+    kept = corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows, 5), "").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(min(i for i in found if found[i] == g) for g in set(found.values()))
+
+
+def test_near_copies_of_awkward_rows(spark):
+    """Ties have one outcome: rows of one id are one document only if their texts are equal."""
+    rows = [(1, "a b c d e f g", "en", "a", 1, 0.5), (1, "other words of the same id", "en", "a", 1, 0.5), (2, "A b  c d e f g", "en", "a", 1, 0.5),
+            (1, "a b c d e f g", "en", "a", 1, 0.5), (None, "no id one two three", None, None, None, None), (None, "NO id one two three", None, None, None, None),
+            (3, None, None, None, None, None), (4, "", "en", "a", 1, 0.1), (5, " \t", "en", "a", 1, 0.1), (None, "other words of the same id", "en", "a", 1, 0.5)]
+    for parts in (1, 4):
+        kept = corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows, parts), "")
+        assert kept.columns == documents(spark).columns
+        got = [(r["doc_id"], r["text"] and r["text"].lower()) for r in kept.collect()]
+        assert sorted(map(str, got)) == sorted(map(str, [
+            (1, "a b c d e f g"), (1, "other words of the same id"), (None, "no id one two three"), (3, None)]))
+    assert corpus_pipeline.drop_near_duplicates(spark, documents(spark, []), "").count() == 0
+
+
+def test_words_of_the_wide_fingerprint():
+    for rows in (0, 1000, 10**6, 10**7, 10**9):
+        n_words, g = simhash.words_for(rows), simhash.parts_a_word(rows)
+        missed = (1 - (1 - simhash.differing(0.8)) ** (64 / g)) ** (n_words * g)
+        assert missed <= 0.05 and (n_words == 1 or missed >= 0.02)
+
+
 needs_tables = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="test tables not here")
 
 
@@ -83,7 +198,7 @@ def test_query_equals_sql(spark, name):
 
 
 @needs_tables
-@pytest.mark.parametrize("name", registry.queries())
+@pytest.mark.parametrize("name", [n for n in registry.queries() if not n.startswith("op12_")])
 def test_query_has_a_row_for_each_document(spark, name):
     of = "pages" if name.startswith("op10_") else "documents"
     assert registry.queries()[name](spark, FOLDER).count() == table(spark, FOLDER, of).count()
@@ -105,14 +220,11 @@ def test_pipeline_stages(spark):
 
     kept = stages["near_duplicates"](spark, docs, FOLDER)
     assert kept.columns == columns
-    prints = {i: simhash.fingerprint(t.encode()) for i, t in before.items()}
-    label = {i: i for i in prints}
-    for _ in range(len(prints)):
-        new = {a: min(label[b] for b in prints if (prints[a] ^ prints[b]).bit_count() <= 2) for a in prints}
-        if new == label:
-            break
-        label = new
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(label.values()))
+    found = {i: group_of for i, group_of in near_groups(spark, docs).items()}
+    pairs, component = alike(before)
+    assert all(component[a] == component[b] for a in found for b in found if found[a] == found[b])  # nothing unverified
+    assert sum(found[a] == found[b] for a, b in pairs) >= 0.9 * len(pairs)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(min(i for i in found if found[i] == g) for g in set(found.values()))
 
     cut = stages["benchmark_decontamination"](spark, docs, FOLDER)
     assert cut.columns == columns
