@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from macrotide.functions.bands import correlation_strength, inflation_delta
@@ -13,6 +13,7 @@ from macrotide.operators.reshape import long_to_wide
 from macrotide.operators.stats import (
     change_first_to_last, corr_matrix, group_mean, group_trend, pearson, spread, trend_line,
 )
+from macrotide.session import stored
 
 # What the figures show when the selection is empty.
 DEFAULT_AVG_WAGE = 48500.0
@@ -175,33 +176,30 @@ def filter_options(inflation: DataFrame, annual_prices: DataFrame) -> DataFrame:
     """What can be selected: countries with names, commodities, indicators and the year range.
 
     The first five countries and four commodities are preselected, and one indicator: 'CPI'
-    where there is one, else the first. The preselected values are a handful of rows and
-    are broadcast to mark the full lists.
+    where there is one, else the first. Both tables are read once: a row per country, name and indicator with its years, and
+    a row per commodity, are written to the shared folder, and everything follows from them.
     """
-    def options(kind: str, values: DataFrame, label: str, preselected: DataFrame) -> DataFrame:
-        marked = F.broadcast(preselected.select("value").withColumn("preselected", F.lit(True)))
-        return values.join(marked, "value", "left").select(
-            F.lit(kind).alias("kind"), "value", F.col(label).alias("label"),
-            F.coalesce("preselected", F.lit(False)).alias("preselected"),
-        )
-
-    countries = latest_names(inflation).withColumnRenamed("country_code", "value")
-    commodities = annual_prices.select(F.col("commodity").alias("value")).na.drop().distinct()
-    indicators = inflation.select(F.col("inflation_indicator").alias("value")).na.drop().distinct()
-    span = inflation.agg(
-        F.min("year").cast("string").alias("first"), F.max("year").cast("string").alias("last")
-    )
+    seen = inflation.groupBy("country_code", "country_name", "inflation_indicator").agg(F.min("year").alias("first"), F.max("year").alias("year"))
+    named = annual_prices.select("commodity").na.drop().distinct()
+    rows = stored(seen.unionByName(named, allowMissingColumns=True))
+
+    def options(kind: str, values: DataFrame, label: str, *order: Column, chosen: int) -> DataFrame:
+        place = F.row_number().over(Window.orderBy(*order))
+        return values.select(F.lit(kind).alias("kind"), "value", F.col(label).alias("label"), (place <= chosen).alias("preselected"))
+
+    value = F.col("value")
+    countries = latest_names(rows.filter("commodity IS NULL")).withColumnRenamed("country_code", "value")
+    commodities = rows.select(F.col("commodity").alias("value")).na.drop()
+    indicators = rows.select(F.col("inflation_indicator").alias("value")).na.drop().distinct()
+    span = rows.agg(F.min("first").cast("string").alias("first"), F.max("year").cast("string").alias("last"))
     years = span.select(F.inline(F.array(
         F.struct(F.lit("first_year").alias("kind"), F.col("first").alias("value")),
         F.struct(F.lit("last_year").alias("kind"), F.col("last").alias("value")),
     ))).select("kind", "value", F.col("value").alias("label"), F.lit(True).alias("preselected"))
     return (
-        options("country", countries, "country_name", countries.orderBy("value").limit(5))
-        .unionByName(options("commodity", commodities, "value", commodities.orderBy("value").limit(4)))
-        .unionByName(options(
-            "indicator", indicators, "value",
-            indicators.orderBy(F.desc(F.col("value") == "CPI"), "value").limit(1),
-        ))
+        options("country", countries, "country_name", value, chosen=5)
+        .unionByName(options("commodity", commodities, "value", value, chosen=4))
+        .unionByName(options("indicator", indicators, "value", F.desc(value == "CPI"), value, chosen=1))
         .unionByName(years)
     )
 

@@ -35,8 +35,8 @@ def save(df: DataFrame, path: str, format: str = "parquet", by_year: bool = Fals
     writer = df.write.mode("overwrite").format(name)
     if by_year:
         writer = writer.partitionBy("year")
-    if name == "csv":
-        writer = writer.option("header", True)
+    if name == "csv":  # outer blanks belong to a text
+        writer = writer.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     writer.save(path)
 
 
@@ -90,9 +90,9 @@ def _view_ddl(database: str) -> list[str]:
     ]
 
 
-def create_schema(spark: SparkSession, database: str) -> None:
-    """Database, five tables and three views; what exists already is left alone."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_schema(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """Database, five tables and three views; what exists already is left alone. Without a location the warehouse holds them."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
     for table, spec in TABLES.items():
         layout = " PARTITIONED BY (year)" if spec.by_year else ""
         spark.sql(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -97,9 +98,9 @@ def exact_quantiles(
     ``percentile`` would hold the values of a group in one task. Instead a sketch of bounded
     size brackets each quantile: its rank error is at most n / accuracy, so the brackets,
     three errors wide on each side, contain the ranks wanted. One counting pass then
-    keeps a single count for everything below a bracket and one count per distinct value in
-    it, which is all that has to be ordered. Groups no larger than ``accuracy`` use their
-    full range as bracket.
+    keeps one count per distinct value inside the brackets and one for each stretch between
+    them, which is all that has to be ordered; no row is copied. Where three errors are less than a rank, as in
+    small groups, the bracket reaches to the ends.
 
     The brackets are one row per group; where they turn out small, adaptive execution
     broadcasts them.
@@ -111,41 +112,39 @@ def exact_quantiles(
         F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"),
         F.percentile_approx(value, marks, accuracy).alias("marks"),
     )
-    brackets = []
+    few = F.col("n") * margin < 3
+    edges = []
     for i, p in enumerate(probabilities):
-        small = F.col("n") <= accuracy
-        lower = F.when(small | F.lit(p - margin <= 0), F.col("low")).otherwise(F.col("marks")[2 * i])
-        upper = F.when(small | F.lit(p + margin >= 1), F.col("high")).otherwise(F.col("marks")[2 * i + 1])
-        brackets.append(F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"),
-                                 lower.alias("lower"), upper.alias("upper")))
-    bounds = sketch.select(group, "n", "low", "high", F.array(*brackets).alias("brackets"))
+        lower = F.when(few | F.lit(p - margin <= 0), F.col("low")).otherwise(F.col("marks")[2 * i])
+        upper = F.when(few | F.lit(p + margin >= 1), F.col("high")).otherwise(F.col("marks")[2 * i + 1])
+        edges += [lower.alias(f"__lower{i}"), upper.alias(f"__upper{i}")]
+    bounds = sketch.select(group, "n", "low", "high", *edges)
     bracketed = join_unique(rows, bounds, [group], "inner")
-    keys = [group, "n", "low", "high", "i", "p"]
-    cells = (
-        bracketed.select(group, value, "n", "low", "high", F.inline("brackets"))
-        .filter(F.col(value) <= F.col("upper"))
-        .select(*keys, F.when(F.col(value) >= F.col("lower"), F.col(value)).alias("cell"))
-        .groupBy(*keys, "cell").agg(F.count("*").alias("c"))
-    )
-    running = Window.partitionBy(group, "i").orderBy(F.asc_nulls_first("cell")).rowsBetween(
+    brackets = [(F.col(f"__lower{i}"), F.col(f"__upper{i}")) for i in range(len(probabilities))]
+    v = F.col(value)
+    inside = reduce(Column.__or__, [v.between(lower, upper) for lower, upper in brackets])
+    # a value between brackets counts behind the end of the last bracket below it
+    before = reduce(lambda a, b: F.greatest(a, b), [F.when(upper < v, upper) for _, upper in brackets] + [F.lit(None).cast("double")])
+    keys = [group, "n", "low", "high"]
+    cells = bracketed.groupBy(*keys, F.when(inside, v).otherwise(before).alias("cell"), (~inside).alias("between")).agg(F.count("*").alias("c"))
+    running = Window.partitionBy(group).orderBy(F.asc_nulls_first("cell"), "between").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    position = F.col("p") * (F.col("n") - 1)
     end = F.col("end")
     start = end - F.col("c")
 
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((start <= rank) & (rank < end), F.col("cell")))
+    def quantile(p: float) -> Column:
+        position = F.lit(float(p)) * (F.col("n") - 1)
 
-    picked = (
-        cells.withColumn("end", F.sum("c").over(running))
-        .groupBy(*keys)
-        .agg(value_at(F.floor(position)).alias("below"), value_at(F.ceil(position)).alias("above"))
-        .withColumn("q", F.col("below") + (F.col("above") - F.col("below")) * (position - F.floor(position)))
-    )
-    return picked.groupBy(group, "n", "low", "high").agg(*[
-        F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i + 1}") for i in range(len(probabilities))
-    ])
+        def value_at(rank: Column) -> Column:
+            return F.max(F.when((start <= rank) & (rank < end), F.col("cell")))
+
+        below, above = value_at(F.floor(position)), value_at(F.ceil(position))
+        share = F.max(position - F.floor(position))
+        return below + (above - below) * share
+
+    return cells.withColumn("end", F.sum("c").over(running)).groupBy(*keys).agg(
+        *[quantile(p).alias(f"q{i + 1}") for i, p in enumerate(probabilities)])
 
 
 def box_stats(df: DataFrame, value: str = "inflation_rate") -> DataFrame:

@@ -397,6 +397,33 @@ _SQL: dict[str, str] = {
     "dense_ids": """SELECT 1000 + row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS id, l_orderkey, l_linenumber
         FROM lineitem""",
     "serial_ids": "SELECT count(*) AS rows, count(*) AS ids, true AS ascending FROM lineitem",
+    "csv_files_inflation": "SELECT country_code, country_name, indicator_code, indicator_name, year, value FROM fx_inflation",
+    "csv_files_commodities": """SELECT year, month, concat('  ', commodity, '-*. ') AS commodity, round(price + 2e-8, 4) + 0.0 AS price
+        FROM fx_commodity""",
+    "csv_files_wages": "SELECT country_code, year, indicator, round(value + 2e-8, 4) + 0.0 AS value FROM fx_wage",
+    "csv_files_wage_table": """SELECT country_code, year, '2-HIGH' AS indicator, round(value + 2e-8, 4) + 0.0 AS value
+        FROM fx_wage WHERE indicator = '2-HIGH'""",
+    "sheet_files": """WITH m AS (SELECT CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS month,
+            max(l_discount) AS one, max(l_tax) AS two FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY ALL)
+        SELECT year, month, 'Gold' AS commodity, one + 0.0 AS price FROM m UNION ALL SELECT year, month, 'Oil, crude', two + 0.0 FROM m
+        UNION ALL SELECT year, month, 'Oil, crude', two + 0.0 FROM m UNION ALL SELECT year, month, 'Wheat', one + 0.0 FROM m""",
+    "json_files": "SELECT country_code, country_name, indicator_code, indicator_name, year, value FROM fx_inflation",
+    "parquet_by_year": """SELECT country_code, country_name, indicator_code, indicator_name, year, value FROM fx_inflation
+        WHERE year BETWEEN 1996 AND 2001""",
+    "exported_view": "SELECT country_code, year, round(avg_annual_wage + 2e-8, 2) AS wage FROM wages",
+    "view_by_name": "SELECT country_code, count(*) AS years FROM wages GROUP BY country_code",
+    "xml_files": """SELECT country_code, year, 'AWE' AS indicator, round(value + 2e-8, 2) AS value FROM fx_wage WHERE indicator = '1-URGENT'""",
+    "damaged_documents": """SELECT 'inflation feed' AS "table", CASE l_linenumber WHEN 1 THEN 'not a JSON list' ELSE 'no list of records' END AS rule,
+            count(*) AS rows FROM lineitem WHERE l_linenumber IN (1, 2) GROUP BY ALL
+        UNION ALL SELECT 'commodity feed', CASE l_linenumber WHEN 1 THEN 'no header line' ELSE 'open quote in the header' END, count(*)
+            FROM lineitem WHERE l_linenumber IN (1, 2) GROUP BY ALL
+        UNION ALL SELECT 'wage feed', CASE l_linenumber WHEN 1 THEN 'elements that are not closed' WHEN 2 THEN 'no element'
+            ELSE 'elements that are not closed' END, count(*) FROM lineitem WHERE l_linenumber IN (1, 2, 3) GROUP BY 2""",
+    "refreshed_tables": f"""WITH v AS (SELECT country_code, year, indicator_name AS inflation_indicator,
+            CASE WHEN abs(value) > 10 THEN value / 100.0 ELSE value END AS v FROM fx_inflation),
+        r AS (SELECT country_code, year, inflation_indicator, CASE WHEN v > 1 THEN v / 100.0 ELSE v END AS inflation_rate FROM v)
+        SELECT row_number() OVER (ORDER BY country_code, year, inflation_indicator) AS id, country_code, year,
+               {_decimal('inflation_rate', '10,6')}, inflation_indicator, 'World Bank' AS data_source FROM r""",
     "parse_indicator_json": """SELECT concat('S', l_suppkey) AS country_code, l_linestatus AS country_name,
             'FP.CPI.TOTL.ZG' AS indicator_code, 'Inflation, consumer prices (annual %)' AS indicator_name,
             CAST(year(l_shipdate) AS INT) AS year, l_discount + 0.0 AS value FROM lineitem

@@ -8,12 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from macrotide.functions.country import CountryLookup
 from macrotide.functions import normalize_percentage, load_time_rate, inflation_category
-from macrotide.operators import analytics, clean, load, quality, reshape, standardize, stats, views
+from macrotide.operators import analytics, clean, load, quality, reshape, sinks, standardize, stats, views
 from macrotide.plans import bindings as b
-from macrotide.plans.bindings import COMMODITIES, COUNTRIES, INDICATORS, WINDOW, YEARS, Tables
+from macrotide.plans.bindings import BASKET, COMMODITIES, COUNTRIES, INDICATORS, WINDOW, YEARS, Tables
+from macrotide.plans.refresh import refresh
 from macrotide.schemas import INFLATION_FEED, TABLES
-from macrotide.sources import csv_feed, json_feed, tables, xml_feed
+from macrotide.session import new_folder
+from macrotide.sources import csv_feed, damaged, json_feed, tables, xml_feed
 
 Query = Callable[[Tables], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -585,6 +588,120 @@ def serial_ids(t: Tables) -> DataFrame:
     )
 
 
+# Files written and read back
+
+def _files(t: Tables, name: str, **frames: DataFrame) -> str:
+    """A new folder with the frames as CSV, each with columns of its own order."""
+    folder = new_folder(t.spark, name)
+    for part, frame in frames.items():
+        sinks.save(frame, f"{folder}/part={part}", "csv")
+    return f"{folder}/*"
+
+
+@query
+def csv_files_inflation(t: Tables) -> DataFrame:
+    feed = b.inflation_feed(t)
+    odd = F.col("year") % 2 == 1
+    return csv_feed.read_inflation(t.spark, _files(t, "inflation", a=feed.filter(odd), b=feed.filter(~odd).select(*reversed(feed.columns))))
+
+
+@query
+def csv_files_commodities(t: Tables) -> DataFrame:
+    feed = b.commodity_feed(t).withColumn("price", F.round(F.col("price") + 2e-8, 4) + 0.0)
+    return csv_feed.read_commodities(t.spark, _files(t, "prices", a=feed.select("price", "commodity", "month", "year")))
+
+
+@query
+def csv_files_wages(t: Tables) -> DataFrame:
+    feed = b.wage_feed(t).withColumn("value", F.round(F.col("value") + 2e-8, 4) + 0.0)
+    return csv_feed.read_wages(t.spark, _files(t, "wages", a=feed, b=feed.limit(0).select("value", "year")))
+
+
+@query
+def csv_files_wage_table(t: Tables) -> DataFrame:
+    feed = b.wage_feed(t).filter("indicator = '2-HIGH'").select(
+        (F.round(F.col("value") + 2e-8, 4) + 0.0).alias("OBS_VALUE"), F.lit("x, y").alias("NOTE"), F.col("year").alias("Time"), F.col("country_code").alias("LOCATION"))
+    return csv_feed.read_wage_table(t.spark, _files(t, "table", a=feed), "2-HIGH")
+
+
+@query
+def sheet_files(t: Tables) -> DataFrame:
+    """Wide sheets of two headers with three lines above them, one file each."""
+    month = F.format_string("%dM%02d", F.year("l_shipdate"), F.month("l_shipdate"))
+    prices = t.lineitem.groupBy(month.alias("month")).agg(F.max("l_discount").alias("one"), F.max("l_tax").alias("two")).filter("month IS NOT NULL")
+    folder = new_folder(t.spark, "sheets")
+    for name, header, cells in (("a", 'Period,Gold,"Oil, crude"', ("month", "one", "two")), ("b", '"Oil, crude",Period,Wheat', ("two", "month", "one"))):
+        lines = prices.agg(F.array_join(F.sort_array(F.collect_list(F.concat_ws(",", *[F.col(c).cast("string") for c in cells]))), "\n").alias("lines"))
+        lines.select(F.concat(F.lit(f"prices\nmonthly\n\n{header}\n"), "lines").alias("value")).write.text(f"{folder}/{name}")
+    return csv_feed.read_commodity_sheet(t.spark, f"{folder}/*")
+
+
+@query
+def json_files(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, "json")
+    sinks.save(b.inflation_feed(t), path, "JSON")
+    return t.spark.read.schema(INFLATION_FEED).json(path)
+
+
+@query
+def parquet_by_year(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, "parquet")
+    sinks.save(b.inflation_feed(t), path, by_year=True)
+    return t.spark.read.parquet(path).filter(F.col("year").between(*WINDOW))
+
+
+@query
+def exported_view(t: Tables) -> DataFrame:
+    path = sinks.export_view(b.wages(t).select("country_code", "year", F.round(F.col("avg_annual_wage") + 2e-8, 2).alias("wage")), new_folder(t.spark, "export"), "Wage Index")
+    return csv_feed.read_csv(t.spark, path).select("country_code", F.col("year").cast("int").alias("year"), F.col("wage").cast("double").alias("wage"))
+
+
+@query
+def view_by_name(t: Tables) -> DataFrame:
+    tables.register_views({"wages_by_name": b.wages(t)})
+    return tables.load_table(t.spark, "wages_by_name", "SELECT country_code, count(*) AS years FROM wages_by_name GROUP BY country_code")
+
+
+@query
+def xml_files(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, "xml")
+    text = F.format_string('<Obs REF_AREA="%s" TIME_PERIOD="%d" OBS_VALUE="%s"/>', F.col("country_code"), F.col("year"), F.round(F.col("value") + 2e-8, 2).cast("string"))
+    whole = b.wage_feed(t).filter("indicator = '1-URGENT'").groupBy("year").agg(F.concat(
+        F.lit("<Data>"), F.array_join(F.collect_list(text), ""), F.lit("</Data>")).alias("value"))
+    whole.select("value").write.text(path)
+    return xml_feed.read_observations(t.spark, path, "AWE")
+
+
+@query
+def damaged_documents(t: Tables) -> DataFrame:
+    """Pages, sheets and XML of which some are cut short or lack what they should have, by feed and rule."""
+    k, code = F.col("l_linenumber"), F.col("l_suppkey").cast("string")
+    page = F.concat(F.lit('[{"page":1},[{"countryiso3code":"'), code, F.lit('","value":1}]]'))
+    pages = F.when(k == 1, F.substring(page, 1, 20)).when(k == 2, F.lit('[{"page":1},{"message":"no"}]')).when(k == 3, F.lit('[{"page":1},null]')).otherwise(page)
+    sheet = F.concat(F.lit("a\nb\nc\nPeriod,Gold\n2020M01,"), code)
+    sheets = F.when(k == 1, F.lit("a\nb")).when(k == 2, F.replace(sheet, F.lit(",Gold"), F.lit(",\"Gold"))).when(k == 3, F.lit("")).otherwise(sheet)
+    xml = F.concat(F.lit('<D><Obs TIME="2020" VALUE="'), code, F.lit('"/></D>'))
+    texts = F.when(k == 1, F.replace(xml, F.lit("</D>"), F.lit(""))).when(k == 2, F.lit("plain")).when(k == 3, F.substring(xml, 1, 15)).otherwise(xml)
+    found = [f(t.lineitem.select(text.alias("value"))) for f, text in (
+        (damaged.damaged_pages, pages), (damaged.damaged_sheets, sheets), (damaged.damaged_xml, texts))]
+    return reduce(DataFrame.unionByName, found).groupBy("table", "rule").agg(F.count("*").alias("rows"))
+
+
+@query
+def refreshed_tables(t: Tables) -> DataFrame:
+    """The whole job in a database of its own: the rates it holds, with their ids."""
+    folder = new_folder(t.spark, "refresh")
+    database = "refresh_" + folder.rsplit("-", 1)[-1]
+    lookup = CountryLookup([(code, code, f"NATION_{code}", None) for code in COUNTRIES], custom={})
+    sinks.create_schema(t.spark, database, f"{folder}/tables")
+    # prices per month, so that what is landed stays small
+    prices = b.commodity_feed(t).groupBy("year", "month", "commodity").agg(F.round(F.avg("price"), 4).alias("price"))
+    hourly = F.col("indicator") == "3-MEDIUM"
+    pay = b.wage_feed(t).withColumn("value", F.when(hourly, F.col("value") / 100).otherwise(F.col("value")))
+    refresh(t.spark, b.inflation_feed(t), prices, pay, database, f"{folder}/stages", lookup, YEARS, BASKET, b.WAGE_INDICATORS)
+    return t.spark.table(f"{database}.inflation_rates").drop("created_at", "updated_at", "inflation_category")
+
+
 # Source documents, one per row, built from the row and parsed back
 
 @query

@@ -31,6 +31,7 @@ from macrotide.schemas import (
 )
 from macrotide.session import configure, shared_folder
 from macrotide.sources import csv_feed, json_feed, xml_feed
+from macrotide.sources.damaged import damaged_pages, damaged_xml
 
 
 WAGE_SELECTIONS = {"all": None, "default": DEFAULT_WAGE_COUNTRIES, "major": MAJOR_WAGE_COUNTRIES}
@@ -58,10 +59,10 @@ def refresh(
     spark: SparkSession, inflation: DataFrame, commodities: DataFrame, wages: DataFrame,
     database: str, folder: str | None = None, lookup: CountryLookup | None = None,
     years: tuple[int, int] = YEAR_WINDOW, basket: Sequence[str] = KEY_COMMODITIES,
-    wage_indicators: Mapping[str, str] = WAGE_COLUMNS,
+    wage_indicators: Mapping[str, str] = WAGE_COLUMNS, damaged: DataFrame | None = None,
 ) -> Refreshed:
     """Run everything over landed feeds. The tables change all together or not at all (see ``put_tables``). A second run on the same feeds leaves them as they
-    are; rows that break a rule of their table are kept aside in ``rejected``. Stages are written to ``folder``, which all executors
+    are; rows that break a rule of their table are kept aside in ``rejected``, with the documents in ``damaged`` (see ``sources.damaged``). Stages are written to ``folder``, which all executors
     must reach; without one, to a new folder under the session's ``spark.checkpoint.dir``."""
     folder = folder or f"{shared_folder(spark)}/refresh-{uuid.uuid4().hex}"
     lookup = lookup or CountryLookup.iso(spark)
@@ -85,6 +86,8 @@ def refresh(
         "commodity_prices": prices, "economic_indicators": merged,
     }
     rejected = put_tables(loads, database, f"{folder.rstrip('/')}/tables")
+    if damaged is not None:
+        rejected.append(land(damaged, folder, "damaged"))
     tables = {name: spark.table(f"{database}.{name}") for name in TABLES}
     constraints = [
         constraint_report(table, name).select(F.lit(name).alias("table"), "*") for name, table in tables.items()]
@@ -117,6 +120,16 @@ def read_feeds(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame
     return inflation, commodities, wages
 
 
+def damaged_feeds(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
+    """Documents of the feeds that are read whole and cannot be parsed."""
+    found = []
+    if args.inflation_format == "json":
+        found.append(damaged_pages(json_feed.read_documents(spark, args.inflation)))
+    if args.wage_format == "observations":
+        found += [damaged_xml(json_feed.read_documents(spark, path)) for path in args.wages]
+    return reduce(DataFrame.unionByName, found) if found else None
+
+
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Standardise, merge, load and check the landed feeds.")
     parser.add_argument("--inflation", required=True)
@@ -144,7 +157,7 @@ def main(argv: Sequence[str] | None = None) -> Refreshed:
         SparkSession.builder.appName("macrotide-refresh"), input_bytes=args.input_bytes
     ).getOrCreate()
     done = refresh(
-        spark, *read_feeds(spark, args), args.database, args.folder, years=tuple(args.years)
+        spark, *read_feeds(spark, args), args.database, args.folder, years=tuple(args.years), damaged=damaged_feeds(spark, args),
     )
     for frame in (done.summary, done.described, done.checks, done.constraints, done.counts, done.rejected, *done.unmapped.values()):
         frame.show(10, truncate=False)

@@ -26,8 +26,8 @@ _COUNTRY_RECORDS = """array<struct<
 
 
 def read_documents(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """One row per file, its text in ``value``."""
-    return spark.read.text(path, wholetext=True)
+    """One row per file, its text in ``value`` and its address in ``source``."""
+    return spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("source"))
 
 
 def _records(documents: DataFrame, text: str, schema: str) -> DataFrame:

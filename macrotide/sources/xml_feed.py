@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from macrotide.functions.parsing import parse_number, parse_year
 from macrotide.schemas import WAGE_FEED
+from macrotide.sources.json_feed import read_documents
 
 # What an attribute name must contain to fill the field, tried in this order.
 ATTRIBUTE_MARKS = {"year": ("time",), "value": ("value",), "country_code": ("country", "ref_area")}
@@ -91,7 +92,7 @@ def parse_observations(documents: DataFrame, dataset_code: str, text: str = "val
 
 def read_observations(spark: SparkSession, path: str, dataset_code: str) -> DataFrame:
     """Wage feed from XML files of bounded size, one document each; see ``parse_observations``."""
-    return parse_observations(spark.read.text(path, wholetext=True), dataset_code)
+    return parse_observations(read_documents(spark, path), dataset_code)
 
 
 def nested_observations(series: DataFrame, obs: str = "Obs") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from support import values
 from macrotide.functions.parsing import csv_cells
 from macrotide.schemas import INFLATION_INDICATORS
-from macrotide.sources import csv_feed, json_feed, tables, xml_feed
+from macrotide.sources import csv_feed, damaged, json_feed, tables, xml_feed
 
 
 def record(code, name, year, value, indicator="FP.CPI.TOTL.ZG"):
@@ -213,6 +213,24 @@ def test_long_xml_documents(spark):
     assert rows.count() == 60_000
 
 
+def test_damaged_documents_are_set_aside(spark, tmp_path):
+    def rules(frame):
+        rows = [(r.rule, json.loads(r.row)) for r in frame.collect()]
+        return sorted((rule, row.get("source", "").rsplit("/", 1)[-1], row.get("text")) for rule, row in rows)
+
+    pages = {"ok": '[{"page": 1}, [{"value": 1}]]', "empty": '[{"page": 3}, null]', "none": '[{"message": "no data"}]', "cut": '[{"page": 1}, [{"countr', "object": '[{"page": 1}, {"a": 1}]'}
+    for name, text in pages.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    assert rules(damaged.damaged_pages(json_feed.read_documents(spark, str(tmp_path)))) == [
+        ("no list of records", "object.json", pages["object"]), ("not a JSON list", "cut.json", pages["cut"])]
+    sheets = ["x\n\n\nPeriod,Gold\n2020M01,1", "", "one line", 'a\nb\nc\nPeriod,"Gold\n', "a\nb\nc\nPeriod,\n2020M01,1", None]
+    assert [r for r, *_ in rules(damaged.damaged_sheets(spark.createDataFrame([(s,) for s in sheets], "value string")))] == [
+        "no commodity column", "no header line", "no text", "open quote in the header"]
+    texts = ["<D><Obs A='1'/><x>1 &lt; 2</x><!-- <a> --></D>", "<?xml version='1.0'?><D/>", "<D><Obs/>", "<D><Obs A='1", "text", None, "<D><a></b></D>"]
+    assert [r for r, *_ in rules(damaged.damaged_xml(spark.createDataFrame([(t,) for t in texts], "value string")))] == [
+        "elements that are not closed", "elements that are not closed", "no element", "no element"]
+
+
 def test_tables_and_sql(spark):
     rates = tables.from_rows(spark, [("USA", 2020, 0.02), ("GBR", 2021, None)], ["country_code", "year", "inflation_rate"])
     tables.register_views({"rates_view": rates})
