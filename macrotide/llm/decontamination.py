@@ -7,7 +7,7 @@ through it; after each word it knows the longest run ending there that some item
 one window, found at its own end. Words inside windows are hit.
 
 Scale. One pass over the documents without a shuffle. Items are broadcast in blocks of at most
-`BLOCK_WORDS` words (a proven bound), and the automaton is built by each task; with several blocks
+`BLOCK_WORDS` words (a proven bound), of which the driver holds one at a time, and the automaton is built by each task; with several blocks
 the documents pass once per block and only the rows that hit are merged, by document; `decontaminate` repeats
 this for the documents it cut. A single item
 longer than a block is cut into pieces that overlap by a window less one word, which keeps every
@@ -21,8 +21,10 @@ rows give repeated results. Other columns are ignored by the query and kept by `
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import reduce
 
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -143,23 +145,28 @@ class Automaton:
         return spans, items
 
 
-def item_blocks(benchmark: DataFrame, window: int, block_words: int) -> list[list[tuple[str | None, list[bytes], bool]]]:
-    """Items read block by block; each block has at most `block_words` words and a window more."""
-    blocks, block, filled = [], [], 0
+def item_blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator[list[tuple[str | None, list[bytes], bool]]]:
+    """Items read block by block; each block has at most `block_words` words and a window more. There is one at least."""
+    block, filled, given = [], 0, 0
     for row in benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).toLocalIterator():
         words = words_of((row["text"] or "").encode())
         for at in range(0, max(1, len(words)), block_words):
             piece = words[at:at + block_words + window - 1]
             if block and filled + len(piece) > block_words:
-                blocks.append(block)
-                block, filled = [], 0
+                yield block
+                block, filled, given = [], 0, given + 1
             block.append((row["item"], piece, len(piece) == len(words)))
             filled += len(piece)
-    return [*blocks, block] if block else blocks or [[]]
+    if block or not given:
+        yield block
 
 
-def _hits_of_block(documents: DataFrame, items: list, window: int) -> DataFrame:
-    sent = documents.sparkSession.sparkContext.broadcast(items)
+def sent_blocks(benchmark: DataFrame, window: int, block_words: int) -> list[Broadcast]:
+    """The blocks as broadcasts. The driver holds one at a time: each is written to a file as it is sent."""
+    return [benchmark.sparkSession.sparkContext.broadcast(block) for block in item_blocks(benchmark, window, block_words)]
+
+
+def _hits_of_block(documents: DataFrame, sent: Broadcast, window: int) -> DataFrame:
     keep = [f for f in documents.schema.fields if f.name != "folded"]
     schema = T.StructType(keep + T.StructType.fromDDL(HITS).fields)
     at, names = documents.columns.index("folded"), documents.columns
@@ -197,7 +204,7 @@ def _merged(every: DataFrame, keys: list[str]) -> DataFrame:
 
 def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, n_words, n_hit, items, spans) per row; spans are in words."""
-    blocks = item_blocks(benchmark, window, block_words)
+    blocks = sent_blocks(benchmark, window, block_words)
     texts = documents.select("doc_id", F.col("text").cast("string").cast("binary").alias("folded"))
     if len(blocks) == 1:
         return _hits_of_block(texts, blocks[0], window)
@@ -230,9 +237,9 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, longest: int = 0,
     nothing is found, as what stood on both sides of a cut comes together. The result does not depend
     on how the benchmark falls into blocks: coverage and cuts follow the spans of all blocks."""
     columns, at = documents.columns, documents.columns.index("text")
-    texts, blocks = documents.withColumn("text", F.col("text").cast("string")), item_blocks(benchmark, window, block_words)
+    texts, blocks = documents.withColumn("text", F.col("text").cast("string")), sent_blocks(benchmark, window, block_words)
     if len(blocks) == 1:
-        return _clean_block(texts, documents.sparkSession.sparkContext.broadcast(blocks[0]), at, longest, coverage, window).select(columns)
+        return _clean_block(texts, blocks[0], at, longest, coverage, window).select(columns)
     return _clean_blocks(texts, blocks, at, longest, coverage, window).select(columns)
 
 
