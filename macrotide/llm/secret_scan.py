@@ -6,15 +6,18 @@ is cut into segments of least total guess cost by dynamic programming. A segment
 (with leet and capital variants), a date, a repeat, a keyboard walk, a sequence, or a brute-force
 span priced by its character classes. Costs are base-10 logarithms of guesses; a value that needs
 at least `GUESSES` of them is a secret, whatever its characters. Prose after a credential word is cheap, as
-its words are listed, and stays; a word of eight letters or more that is not listed is a secret. A value that base spans hold whole is not listed again; one that reaches
+its words are listed, and stays. Listed are common English words and, for text of any language, the words of eight letters or more
+that occur in `LEAST_DOCUMENTS` documents at least, away from credential words, the `MOST_WORDS` most frequent of them; other words of
+eight letters or more are secrets. A value that base spans hold whole is not listed again; one that reaches
 beyond them is, and the base spans stay.
 
-Scale. One pass over the documents, nothing is shuffled, whole texts are scanned. The dynamic
+Scale. Two passes over the documents, whole texts: one counts long words, combined per batch before the counts are shuffled, the
+other scans. The listed words, at most `MOST_WORDS`, go through the driver to the tasks. The dynamic
 programme runs over the whole value and stops where every way on is dear enough. In values of more than
 `LONGEST` characters a long repeat is tried from its first `LONGEST` places to its last, so its time
 grows with the length of the value.
 
-Cases. Null texts count as empty; empty texts, tables and repeated rows give the obvious results.
+Cases. A value in a credential context ends at white space and at the first character outside ASCII. Null texts count as empty; empty texts, tables and repeated rows give the obvious results.
 Other columns are ignored by the query and kept by `redact`.
 """
 
@@ -23,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +35,7 @@ from macrotide.llm.common import map_batches, table
 from macrotide.llm.english import WORDS
 
 GUESSES, LONGEST, LEAST = 10.0, 64, 6
+MOST_WORDS, LEAST_DOCUMENTS = 50_000, 3
 KINDS = ("assign", "access", "hex", "guess")
 
 #: Letters in either case, spelled out so that no letter outside ASCII matches.
@@ -65,7 +70,8 @@ COMMON = (
     "key", "token", "reset", "change", "enter", "type", "here", "username", "email", "name", "number", "phone", "server",
 )
 RANK = {w: i + 1 for i, w in enumerate(dict.fromkeys(COMMON + WORDS))}
-LONGEST_WORD = max(map(len, RANK))
+LONGEST_WORD = 24
+LONG_WORD = re.compile(rf"(?<![^\W\d_])[^\W\d_]{{8,{LONGEST_WORD}}}(?![^\W\d_])")
 LEET = str.maketrans("013457@$!", "oleastasi")
 ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 NEXT_TO = {a + b for row in ROWS for a, b in zip(row, row[1:])} | {
@@ -81,7 +87,7 @@ def brute(value: str) -> float:
     return len(value) * math.log10(max(classes, 10))
 
 
-def segments(value: str):
+def segments(value: str, rank: dict[str, int] = RANK):
     """(start, stop, cost) of every span that a guesser would try as a whole."""
     low, n = value.lower(), len(value)
     plain = low.translate(LEET)
@@ -93,9 +99,9 @@ def segments(value: str):
     for i in range(n):
         for j in range(i + 3, min(n, i + LONGEST_WORD) + 1):
             for form in {low[i:j], plain[i:j]}:
-                if form in RANK:
+                if form in rank:
                     changed = (form != low[i:j]) + (low[i:j] != value[i:j])
-                    yield i, j, math.log10(RANK[form] + 1) + 0.5 * changed
+                    yield i, j, math.log10(rank[form] + 1) + 0.5 * changed
         if m := DATE.match(value, i):
             yield i, m.end(), math.log10(365 * 120) + (0.6 if m.end() - i > 8 else 0)
         for unit, run in same.items():
@@ -118,10 +124,10 @@ def segments(value: str):
                 yield i, j, math.log10(26) + math.log10(j - i)
 
 
-def steps(value: str, per: float):
+def steps(value: str, per: float, rank: dict[str, int] = RANK):
     """The segments in order of their start, after the brute-force character at each place."""
     at = -1
-    for i, j, cost in segments(value):
+    for i, j, cost in segments(value, rank):
         while at < i:
             at += 1
             yield at, at + 1, per
@@ -130,14 +136,14 @@ def steps(value: str, per: float):
         yield at, at + 1, per
 
 
-def guess_cost(value: str, enough: float = math.inf) -> float:
+def guess_cost(value: str, enough: float = math.inf, rank: dict[str, int] = RANK) -> float:
     """Least log10 of guesses over all ways to cut the value into segments and brute-force spans; once every
     way on costs `enough`, a bound of at least that much."""
     n = len(value)
     best = [0.0] + [math.inf] * n
     per = brute(value) / max(1, n)  # one price per brute-force character: the classes of the whole value
     cheap = at = 0  # the last place known to be reached for less than enough
-    for i, j, cost in steps(value, per):
+    for i, j, cost in steps(value, per, rank):
         if i > at:
             at = i
             if cheap < at:
@@ -149,8 +155,8 @@ def guess_cost(value: str, enough: float = math.inf) -> float:
     return best[n]
 
 
-def is_secret(value: str, guesses: float = GUESSES) -> bool:
-    return len(value) >= LEAST and guess_cost(value, guesses) >= guesses
+def is_secret(value: str, guesses: float = GUESSES, rank: dict[str, int] = RANK) -> bool:
+    return len(value) >= LEAST and guess_cost(value, guesses, rank) >= guesses
 
 
 def joined(ranges) -> list[list[int]]:
@@ -164,7 +170,7 @@ def joined(ranges) -> list[list[int]]:
     return out
 
 
-def spans_of(text: str, guesses: float = GUESSES) -> list[tuple[int, int, int]]:
+def spans_of(text: str, guesses: float = GUESSES, rank: dict[str, int] = RANK) -> list[tuple[int, int, int]]:
     """(start, kind, end) of all spans, in order; kinds by their place in KINDS."""
     low = text.lower().encode()
     found: list[tuple[int, int, int]] = []
@@ -179,7 +185,7 @@ def spans_of(text: str, guesses: float = GUESSES) -> list[tuple[int, int, int]]:
             if (quote := text[m.start(1) - 1]) in "\"'`" and (last := m[1].rfind(quote)) >= 0 and not AFTER.search(m[1], last):
                 value = m[1][:last]  # signs before the closing quote belong to the value, those behind it do not
             start, end = m.start(1), m.start(1) + len(value)
-            if not any(a <= start and end <= b for a, b in base) and is_secret(value, guesses):
+            if not any(a <= start and end <= b for a, b in base) and is_secret(value, guesses, rank):
                 found.append((start, 3, end))
     return sorted(found)
 
@@ -188,13 +194,44 @@ def listed(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
-def scan(documents: DataFrame, guesses: float = GUESSES) -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans) per document."""
+def marked(text: str) -> bool:
+    low = text.lower().encode()
+    return any(mark in low for mark in MARKS)
+
+
+def vocabulary(documents: DataFrame, most: int = MOST_WORDS, least: int = LEAST_DOCUMENTS) -> list[str]:
+    """Long words of the documents by the number of documents that have them, most first. What follows a credential
+    word does not count, so no secret lists itself, however many copies of it there are."""
+    def work(batches):
+        for batch in batches:
+            times: Counter = Counter()
+            for text in batch.column(0).to_pylist():
+                text = text or ""
+                if marked(text):
+                    text = CONTEXT.sub(" ", ASSIGN.sub(" ", text))
+                times.update(set(map(str.lower, LONG_WORD.findall(text))))
+            yield {"word": list(times), "n": list(times.values())}
+
+    counts = map_batches(documents.select(F.col("text").cast("string").alias("text")), "word string, n bigint", work)
+    known = counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return [r["word"] for r in known.orderBy(F.desc("n"), "word").limit(most).collect()]
+
+
+def ranks(words: list[str]) -> dict[str, int]:
+    """Places of the listed English words, then of further ones."""
+    return {w: i + 1 for i, w in enumerate(dict.fromkeys([*RANK, *words]))}
+
+
+def scan(documents: DataFrame, guesses: float = GUESSES, words: list[str] | None = None) -> DataFrame:
+    """(doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans) per document; words: further listed ones, by
+    default the vocabulary of the documents."""
+    sent = documents.sparkSession.sparkContext.broadcast(ranks(vocabulary(documents) if words is None else words))
+
     def work(batches):
         for batch in batches:
             out = {c: [] for c in ("n_assign", "n_access", "n_hex", "n_guess", "base_sha256", "spans")}
             for text in batch.column(1).to_pylist():
-                spans = spans_of(text or "", guesses)
+                spans = spans_of(text or "", guesses, sent.value)
                 for k, kind in enumerate(KINDS):
                     out[f"n_{kind}"].append(sum(s[1] == k for s in spans))
                 out["base_sha256"].append(hashlib.sha256(listed([s for s in spans if s[1] < 3]).encode()).hexdigest())
@@ -206,23 +243,24 @@ def scan(documents: DataFrame, guesses: float = GUESSES) -> DataFrame:
         "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, n_guess bigint, base_sha256 string, spans string", work)
 
 
-def redacted(text: str, guesses: float = GUESSES) -> str:
+def redacted(text: str, guesses: float = GUESSES, rank: dict[str, int] = RANK) -> str:
     """The text with the union of all spans replaced; names before a value stay readable."""
     kept, at = [], 0
-    for start, end in joined((ASSIGN.match(text, a).start(2) if k == 0 else a, b) for a, k, b in spans_of(text, guesses)):
+    for start, end in joined((ASSIGN.match(text, a).start(2) if k == 0 else a, b) for a, k, b in spans_of(text, guesses, rank)):
         kept += [text[at:start], "[secret]"]
         at = end
     return "".join([*kept, text[at:]])
 
 
-def redact(documents: DataFrame, guesses: float = GUESSES) -> DataFrame:
-    """The documents, all columns, with secrets in their texts replaced."""
+def redact(documents: DataFrame, guesses: float = GUESSES, words: list[str] | None = None) -> DataFrame:
+    """The documents, all columns, with secrets in their texts replaced; words as for `scan`."""
+    sent = documents.sparkSession.sparkContext.broadcast(ranks(vocabulary(documents) if words is None else words))
     names, at = documents.columns, documents.columns.index("text")
     typed = documents.withColumn("text", F.col("text").cast("string"))
 
     def work(batches):
         for batch in batches:
-            texts = [t and redacted(t, guesses) for t in batch.column(at).to_pylist()]
+            texts = [t and redacted(t, guesses, sent.value) for t in batch.column(at).to_pylist()]
             yield {n: batch.column(i) if i != at else texts for i, n in enumerate(names)}
 
     return map_batches(typed, typed.schema, work)

@@ -182,6 +182,34 @@ def test_rule_order_changes_no_verdict(spark):
     assert sorted(quality_rules.measured(documents(spark), list(quality_rules.RULES))) == sorted(quality_rules.RULES)
 
 
+PROSE = {
+    "en": "perseverance photosynthesis extraordinarily professor patience counterproductive",
+    "de": "Geschwindigkeit Zusammenarbeit Verantwortung Freundschaftsdienst", "fr": "développement responsabilité malheureusement travailleur",
+    "es": "responsabilidad desarrollo aproximadamente trabajador"}
+
+
+def test_words_of_the_documents_are_no_secrets(spark):
+    """Long words of four languages that several documents use stay; passwords go, however often they are repeated."""
+    rows, prose, secrets = [], [], []
+    for lang, words in PROSE.items():
+        for word in words.split():
+            rows += [(len(rows), f"prose {k} with {word} in it", lang, "a", None, None) for k in range(3)]
+            prose.append(f"The secret is {word}.")
+    made = ["kQzXvBnMhGtRplw", "xqzvkjwpfmtr", "CorrectHorse!Battery", "Tr0ub4dor&3xyzzy", "gjfhdkslaqpwo"]
+    for word in made:
+        secrets += [f"the passphrase is {word} {k}" for k in range(5)]
+    texts = prose + secrets
+    rows += [(1000 + k, t, "en", "a", None, None) for k, t in enumerate(texts)]
+    left = {r["doc_id"]: r["text"] for r in secret_scan.redact(documents(spark, rows, 5)).collect()}
+    kept = [t for k, t in enumerate(prose) if left[1000 + k] == t]
+    gone = [t for k, t in enumerate(secrets) if "[secret]" in left[1000 + len(prose) + k]]
+    ascii_only = [t for t in prose if t.isascii()]
+    assert set(ascii_only) <= set(kept) and len(gone) == len(secrets)
+    words = secret_scan.vocabulary(documents(spark, rows, 5))
+    assert "perseverance" in words and "développement" in words and not set(map(str.lower, made)) & set(words)
+    assert secret_scan.vocabulary(empty(spark)) == [] and len(secret_scan.vocabulary(documents(spark, rows), most=2)) == 2
+
+
 def backoff_rows():
     rng = random.Random(1)
     return ROWS + [(50 + k, " ".join(rng.choice("a b c d e the".split()) for _ in range(40)) + f" only{k} once{k}", "en", "a", 1, 0.0) for k in range(20)]
