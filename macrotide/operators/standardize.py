@@ -66,7 +66,8 @@ def _coded(df: DataFrame, lookup: CountryLookup, column: str) -> DataFrame:
 
     Three-letter codes stay as they are, then exact spellings, then loose matches. Only distinct texts without
     an exact spelling are matched loosely, once each, however many rows have them; they are written to the shared
-    folder, as several joins start from them.
+    folder, as several joins start from them, and so are their matches: their size is known when the rows are joined to them, and
+    unless it is large no row moves.
     """
     code, exact = F.col("__code"), F.col("__exact")
     spellings = lookup.spellings(df.sparkSession).toDF("__code", "__exact")
@@ -78,7 +79,7 @@ def _coded(df: DataFrame, lookup: CountryLookup, column: str) -> DataFrame:
         .withColumn("__text", F.when(~known, loose_text(code)))
     )
     texts = stored(prepared.filter(F.col("__text").isNotNull()).select(F.col("__text").alias("text")).distinct())
-    matched = loose_codes(texts, lookup.ordered_names(df.sparkSession)).toDF("__text_key", "__loose")
+    matched = stored(loose_codes(texts, lookup.ordered_names(df.sparkSession)).toDF("__text_key", "__loose"))
     # rows without such a text meet no match; under keys of their own they do not pile up as nulls do
     key = F.coalesce("__text", F.concat(F.lit("\u0001"), code))
     joined = prepared.join(matched, key == F.col("__text_key"), "left")
