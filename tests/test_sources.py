@@ -216,7 +216,7 @@ def test_long_xml_documents(spark):
 def test_damaged_documents_are_set_aside(spark, tmp_path):
     def rules(frame):
         rows = [(r.rule, json.loads(r.row)) for r in frame.collect()]
-        return sorted((rule, row.get("source", "").rsplit("/", 1)[-1], row.get("text")) for rule, row in rows)
+        return sorted(((rule, row.get("source", "").rsplit("/", 1)[-1], row.get("text")) for rule, row in rows), key=str)
 
     pages = {"ok": '[{"page": 1}, [{"value": 1}]]', "empty": '[{"page": 3}, null]', "none": '[{"message": "no data"}]', "cut": '[{"page": 1}, [{"countr', "object": '[{"page": 1}, {"a": 1}]'}
     for name, text in pages.items():
