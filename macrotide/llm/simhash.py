@@ -195,7 +195,7 @@ def near_duplicates(documents: DataFrame, limit: int = LIMIT) -> DataFrame:
 # Near copies
 
 SHINGLE, SIMILARITY, FOUND = 5, 0.8, 0.95
-NEAR_CROWD = 16
+NEAR_CROWD, MOST_BROADCAST = 16, 1 << 20
 #: Verification on 64 and on all bits lets pairs at the least similarity pass with so many standard deviations to spare.
 SPARE = 3.0
 
@@ -342,6 +342,11 @@ def candidate_pairs(classes: DataFrame, plan: list[tuple[int, list[int], int]],
     return reduce(DataFrame.union, found).distinct()
 
 
+def small(rows: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
+    """Written rows of a few numbers, broadcast if there are so many at most; beyond that the join shuffles both sides."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def similar_pairs(documents: DataFrame, pairs: DataFrame, classes: DataFrame, n_words: int, similarity: float) -> DataFrame:
     """The pairs of classes whose shingles have the similarity; estimated on all bits first."""
     share = differing(similarity)
@@ -357,7 +362,7 @@ def similar_pairs(documents: DataFrame, pairs: DataFrame, classes: DataFrame, n_
             yield {"node": batch.column(0), "own": [shingles(t).view(np.int64).tolist() for t in batch.column(1).to_pylist()]}
 
     texts = documents.select(text_key().alias("text_key"), F.col("text").cast("string").cast("binary").alias("text"))
-    one_each = texts.join(wanted, "text_key").groupBy("node").agg(F.min("text").alias("text"))
+    one_each = texts.join(small(wanted), "text_key").groupBy("node").agg(F.min("text").alias("text"))
     sets = staged(map_batches(one_each, "node binary, own array<bigint>", work))
     met = likely.join(sets.toDF("a", "own_a"), "a").join(sets.toDF("b", "own_b"), "b").withColumn("common", F.size(F.array_intersect("own_a", "own_b")))
     return met.where(F.col("common") >= similarity * (F.size("own_a") + F.size("own_b") - F.col("common"))).select("a", "b")
