@@ -31,7 +31,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macrotide.llm.common import map_batches, table
+from macrotide.llm.common import map_batches, staged, table
 from macrotide.llm.english import WORDS
 
 GUESSES, LONGEST, LEAST = 10.0, 64, 6
@@ -200,7 +200,8 @@ def marked(text: str) -> bool:
 
 
 def vocabulary(documents: DataFrame, most: int = MOST_WORDS, least: int = LEAST_DOCUMENTS) -> list[str]:
-    """Long words of the documents by the number of documents that have them, most first. What follows a credential
+    """Long words of the documents by the number of documents that have them, most first; of the ranges of numbers (an
+    eighth of a doubling each) as many as hold `most` words in all at most. What follows a credential
     word does not count, so no secret lists itself, however many copies of it there are."""
     def work(batches):
         for batch in batches:
@@ -213,8 +214,17 @@ def vocabulary(documents: DataFrame, most: int = MOST_WORDS, least: int = LEAST_
             yield {"word": list(times), "n": list(times.values())}
 
     counts = map_batches(documents.select(F.col("text").cast("string").alias("text")), "word string, n bigint", work)
-    known = counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return [r["word"] for r in known.orderBy(F.desc("n"), "word").limit(most).collect()]
+    known = staged(counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least).withColumn("range", F.floor(8 * F.log2("n"))))
+    lowest, held = None, 0
+    for r in sorted(known.groupBy("range").agg(F.count("*").alias("words")).collect(), reverse=True):
+        held += r["words"]
+        if held > most:
+            break
+        lowest = r["range"]
+    if lowest is None:
+        return []
+    found = known.where(F.col("range") >= lowest).collect()  # `most` words at most
+    return [r["word"] for r in sorted(found, key=lambda r: (-r["n"], r["word"]))]
 
 
 def ranks(words: list[str]) -> dict[str, int]:
