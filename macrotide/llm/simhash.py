@@ -23,28 +23,29 @@ component is the least id present (null if there is none). Repeated rows give re
 An empty table gives an empty result. Other columns are ignored.
 
 Near copies (`near_copies`) are texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or
-more. At that similarity two SimHash fingerprints differ in about 15 of 100 bits, too many for 64 bits to be searched, so these
-fingerprints are wider: `words_for` gives the number of 64-bit words with which a pair at 0.8 meets in some part with
-probability 0.95, for parts long enough that unrelated texts seldom meet. Correlated bits of a word are grouped to
-parts, dynamic programming allocates the thresholds, and pairs that meet are verified on 64 bits, then on all bits, then on
-the shingles themselves; only pairs of true similarity are linked. Where many texts share a part value, each is compared to one
-of them, the rest to two of what is left, and so on, until few enough for all pairs are left.
+more; all of them are found, by prefixes. In any order of the shingles that all texts share, two texts of that similarity have a shingle
+in common among the first n - ceil(0.8 n) + 1 of each, n being the shingles of a text; so only these are indexed, and only those that
+several texts hold go on. The order puts shingles that occur often in a sample last; the sample steers the
+work, any order finds the same. Lengths, the places of the common shingle and counts of shingles by hash bound
+the similarity from above and drop pairs below 0.8; the rest is verified on the shingles themselves. Where more than
+`NEAR_CROWD` texts hold a shingle, each is first compared to `LEADERS` of them. Pairs that the links so far connect need no
+comparison; all other pairs of the crowd are then compared. So rows stay few where a crowd is one group of near copies, and
+grow with the square only of texts that share rare and common shingles alike without being linked.
 Texts that differ in white space and case only are one class. Texts without words are one class.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from macrotide.llm.common import map_batches, staged, table
+from macrotide.llm.common import map_batches, sliced, staged, table
 from macrotide.llm.components import components
 
 BITS, LIMIT, CROWD = 64, 2, 64
@@ -195,11 +196,16 @@ def near_duplicates(documents: DataFrame, limit: int = LIMIT) -> DataFrame:
 # Near copies
 
 SHINGLE, SIMILARITY, FOUND = 5, 0.8, 0.95
-NEAR_CROWD, MOST_BROADCAST = 16, 1 << 20
-#: Verification on 64 and on all bits lets pairs at the least similarity pass with so many standard deviations to spare.
-SPARE = 3.0
+NEAR_CROWD, LEADERS, MOST_BROADCAST = 2, 2, 1 << 20
+#: The sample that orders shingles: so many texts and a share of all; listed are those of several sampled texts, the most frequent of them.
+SAMPLE, SAMPLE_SHARE, SAMPLE_LEAST, MOST_COMMON = 10_000, 64, 3, 200_000
+#: Counts of shingles by hash.
+BINS = 256
+EDGE = 1e-9  # bounds are rounded towards keeping a pair
 
 
+# What a search by wide fingerprints would take: it finds a share of the pairs only, so near copies are found by prefixes.
+
 def differing(similarity: float) -> float:
     """Expected share of SimHash bits in which two sets of about one size and this Jaccard similarity differ."""
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
@@ -227,119 +233,109 @@ def shingles(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(np.fromiter((digest(g, 42) for g in grams), np.uint64))
 
 
-def wide_fingerprint(hashes: np.ndarray, n_words: int) -> np.ndarray:
-    """SimHash of n_words * 64 bits, each shingle hash spread over all words."""
-    ones = np.zeros(n_words * BITS, np.int64)
-    step = np.arange(1, n_words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for at in range(0, len(hashes), 4096):
-        h = hashes[at:at + 4096, None] + step
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        h ^= h >> np.uint64(31)
-        ones += np.unpackbits(h.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.uint16)
-    return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)
-
-
 def text_key():
     """Names the text of a row; a null text counts as empty."""
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
-def wide_fingerprints(documents: DataFrame, n_words: int) -> DataFrame:
-    """(doc_id, text_key, node, n, fp): node names the sequence of words, n is its number of shingles."""
+def common_shingles(documents: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, places) of shingles that several texts of a sample hold: hashes in order, places from the rarest on."""
+    rate = max(1, rows // (SAMPLE + rows // SAMPLE_SHARE))
+    sampled = documents.select(text_key().alias("text_key"), F.col("text").cast("string").cast("binary").alias("text")).where(
+        F.pmod("text_key", F.lit(rate)) == 0).dropDuplicates(["text_key"])
+
+    def work(batches):
+        for batch in sliced(batches):
+            own = [shingles(t) for t in batch.column(1).to_pylist()]
+            found, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *own]), return_counts=True)
+            yield {"shingle": found.view(np.int64), "n": n}
+
+    counts = map_batches(sampled, "shingle bigint, n bigint", work).groupBy("shingle").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") >= SAMPLE_LEAST).orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).toArrow()
+    hashes, n = found["shingle"].to_numpy().view(np.uint64), found["n"].to_numpy()
+    place = np.empty(len(n), np.int64)
+    place[np.lexsort((hashes, n))] = np.arange(len(n))
+    order = np.argsort(hashes)
+    return hashes[order], place[order]
+
+
+def prefix(own: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first shingles, in the order of all texts, of which similar texts share one: by hash, common ones last."""
+    length = len(own) - math.ceil(similarity * len(own) - EDGE) + 1
+    hashes, place = common
+    if not len(own) or not len(hashes):
+        return own[:length]
+    at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+    listed = hashes[at] == own
+    last = own[listed]
+    return np.concatenate([own[~listed], last[np.argsort(place[at[listed]])]])[:length]
+
+
+def lists_of(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *arrays]).view(np.int64)))
+
+
+def prints_of(documents: DataFrame, common: tuple[np.ndarray, np.ndarray], similarity: float) -> DataFrame:
+    """(rid, doc_id, text_key, node, n, prefix, bins): rid numbers the rows, node names the sequence of words, n is its number of
+    shingles, bins counts them by hash, up to 255."""
+    sent = documents.sparkSession.sparkContext.broadcast(common)
+
     def work(batches):
-        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
-            out = {"node": [], "n": [], "fp": []}
-            for text in batch.column(2).to_pylist():
+        for batch in sliced(batches):
+            out = {"node": [], "n": [], "prefix": [], "bins": []}
+            for text in batch.column(3).to_pylist():
                 own = shingles(text)
                 out["node"].append(xxhash.xxh3_128_digest(b" ".join((text or b"").lower().split())))
                 out["n"].append(len(own))
-                out["fp"].append(wide_fingerprint(own, n_words).tolist())
-            yield {"doc_id": batch.column(0), "text_key": batch.column(1)} | out
-
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), F.col("text").cast("string").cast("binary").alias("text"))
-    return map_batches(rows, "doc_id bigint, text_key bigint, node binary, n int, fp array<bigint>", work)
-
-
-def word_moments(classes: DataFrame, n_words: int) -> np.ndarray:
-    """For each word, how many classes have its bits i and j set, over all classes."""
-    def work(batches):
-        total = np.zeros((n_words, BITS, BITS), np.int64)
-        for batch in batches:
-            fp = np.ascontiguousarray(batch.column(0).flatten().to_numpy()).reshape(-1, n_words)
-            for w in range(n_words):
-                bits = np.unpackbits(np.ascontiguousarray(fp[:, w]).view(np.uint8), bitorder="little").reshape(-1, BITS).astype(np.float32)
-                total[w] += (bits.T @ bits).astype(np.int64)
-        if total.any():
-            yield {"w": np.arange(n_words), "n": [t.ravel().tolist() for t in total]}
-
-    both = np.zeros((n_words, BITS, BITS))
-    each = map_batches(classes.select("fp"), "w int, n array<bigint>", work)
-    for r in each.select("w", F.posexplode("n").alias("at", "n")).groupBy("w", "at").agg(F.sum("n").alias("n")).collect():
-        both[r["w"], r["at"] // BITS, r["at"] % BITS] = r["n"]
-    return both
-
-
-def wide_plan(n: int, both: np.ndarray, per_word: int) -> list[tuple[int, list[int], int]]:
-    """(word, bits, threshold 0 or 1) of the parts to look at: as many in all as parts times one bit guarantee, for the
-    least estimated probes and candidates."""
-    parts = [(w, part) for w in range(len(both)) for part in parts_of(n, both[w], per_word)]
-    state: dict[int, tuple[float, tuple[int, ...]]] = {0: (0.0, ())}
-    for w, part in parts:
-        p = np.diag(both[w])[part] / max(n, 1)
-        agree = float(np.prod(p * p + (1 - p) * (1 - p)))
-        one = agree * float((2 * p * (1 - p) / np.maximum(p * p + (1 - p) * (1 - p), 1e-9)).sum())
-        cost = [0.0, n + 0.5 * n * n * agree, n * (1 + len(part)) + 0.5 * n * n * (agree + one)]
-        following: dict[int, tuple[float, tuple[int, ...]]] = {}
-        for spent, (c, chosen) in state.items():
-            for t in (-1, 0, 1):
-                if spent + t + 1 <= len(parts):
-                    new = (c + cost[t + 1], (*chosen, t))
-                    following[spent + t + 1] = min(new, following.get(spent + t + 1, (float("inf"), ())))
-        state = following
-    return [(w, part, t) for (w, part), t in zip(parts, state[len(parts)][1], strict=True) if t >= 0]
-
-
-def wide_keys(plan: list[tuple[int, list[int], int]], probe: bool):
-    found = []
-    for i, (w, part, t) in enumerate(plan):
-        value = F.col("fp")[w].bitwiseAND(F.lit(signed(part)).cast("long"))
-        flips = [(), *([(b,) for b in part] if probe and t else [])]
-        found += [F.struct(F.lit(i).alias("part"), value.bitwiseXOR(F.lit(signed(flip)).cast("long")).alias("key")) for flip in flips]
-    return F.array(*found)
-
-
-def candidate_pairs(classes: DataFrame, plan: list[tuple[int, list[int], int]], similarity: float, crowd: int) -> DataFrame:
-    """(a, b): classes that meet in a part, or have a class there in common, and whose 64 first bits and sizes allow the similarity."""
-    share = differing(similarity)
-    limit = math.floor(BITS * share + SPARE * math.sqrt(BITS * share * (1 - share)))
-    index = classes.select("node", "n", F.col("fp")[0].alias("first"), F.inline(wide_keys(plan, probe=False)))
-    other = [F.col(c).alias(f"other_{c}") for c in ("node", "n", "first")]
-    near = (F.bit_count(F.col("first").bitwiseXOR(F.col("other_first"))) <= limit) & (
-        F.least("n", "other_n") >= similarity * F.greatest("n", "other_n"))
-    pair = [F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")]
-    crowded = staged(index.groupBy("part", "key").agg(F.count("*").alias("rows")).where(F.col("rows") > crowd).select("part", "key"))
-    quiet = index.join(crowded, ["part", "key"], "left_anti")
-    probes = [i for i, (*_, t) in enumerate(plan) if t]
-    pairs = quiet.join(quiet.select("part", "key", *other), ["part", "key"]).where((F.col("node") < F.col("other_node")) & near).select(*pair)
-    if probes:
-        wide = classes.select("node", "n", F.col("fp")[0].alias("first"), F.inline(wide_keys(plan, probe=True))).where(F.col("part").isin(probes))
-        pairs = pairs.union(wide.join(quiet.select("part", "key", *other), ["part", "key"]).where((F.col("node") != F.col("other_node")) & near).select(*pair))
-    members = classes.select("node", "n", F.col("fp")[0].alias("first"), F.inline(wide_keys(plan, probe=True)))
-    found, left, leaders = [pairs], staged(members.join(crowded, ["part", "key"], "left_semi")), 1
-    while left.limit(1).count():
-        # a few leaders for each value; whoever is near one of them is done there
-        lead = left.groupBy("part", "key", F.pmod(F.xxhash64("node"), F.lit(leaders)).alias("seat")).agg(F.min(F.struct("node", "n", "first")).alias("lead"))
-        lead = staged(lead.select("part", "key", F.col("lead.node").alias("other_node"), F.col("lead.n").alias("other_n"), F.col("lead.first").alias("other_first")))
-        met = staged(left.join(lead, ["part", "key"]).where(near).select("part", "key", "node", "other_node"))
-        found.append(met.where("node <> other_node").select(*pair))
-        left = left.join(met.select("part", "key", "node").distinct(), ["part", "key", "node"], "left_anti")
-        few = left.groupBy("part", "key").agg(F.count("*").alias("rows")).where(F.col("rows") <= crowd).select("part", "key")
-        left = staged(left.join(few.withColumn("few", F.lit(True)), ["part", "key"], "left"))
-        rest = left.where("few").drop("few")
-        found.append(rest.join(rest.select("part", "key", *other), ["part", "key"]).where((F.col("node") < F.col("other_node")) & near).select(*pair))
-        left, leaders = left.where("few IS NULL").drop("few"), 2 * leaders
-    return reduce(DataFrame.union, found).distinct()
+                out["prefix"].append(prefix(own, sent.value, similarity))
+                out["bins"].append(np.minimum(np.bincount((own % np.uint64(BINS)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes())
+            yield {"rid": batch.column(0), "doc_id": batch.column(1), "text_key": batch.column(2)} | out | {"prefix": lists_of(out["prefix"])}
+
+    rows = documents.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), F.col("text").cast("string").cast("binary").alias("text"))
+    return map_batches(rows, "rid bigint, doc_id bigint, text_key bigint, node binary, n int, prefix array<bigint>, bins binary", work)
+
+
+def holders_of(prints: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, id, n, pos, holders): the classes that hold a shingle in their prefixes, of all that several hold."""
+    index = prints.select(F.col("rid").alias("id"), "n", "prefix").join(small(classes.select("id")), "id").select(F.posexplode("prefix").alias("pos", "key"), "id", "n")
+    held = index.withColumn("holders", F.count("*").over(Window.partitionBy("key")))
+    return staged(held.where("holders > 1").select("key", "id", "n", "pos", "holders"))
+
+
+def meeting(left: DataFrame, right: DataFrame, similarity: float, also) -> DataFrame:
+    """(a, b): pairs that share a shingle and may be similar by their sizes and its places; of right `other_` columns."""
+    # what two texts share lies behind the first shingle that they share
+    most = F.least(F.col("n") - F.col("pos"), F.col("other_n") - F.col("other_pos"))
+    may = (F.least("n", "other_n") >= similarity * F.greatest("n", "other_n") - EDGE) & (
+        most >= similarity / (1 + similarity) * (F.col("n") + F.col("other_n")) - EDGE)
+    return left.join(right.withColumnsRenamed({c: f"other_{c}" for c in right.columns if c != "key"}), "key").where(may & also).select(
+        F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct()
+
+
+def candidate_pairs(holders: DataFrame, similarity: float, crowd: int) -> DataFrame:
+    """(a, b): all pairs that meet where few classes hold a shingle, and each class with the leaders where many do."""
+    columns = ("key", "id", "n", "pos")
+    few, many = holders.where(F.col("holders") <= crowd).select(*columns), holders.where(F.col("holders") > crowd).select(*columns)
+    # the least by a hash lead, so that shingles of the same classes have the same leaders
+    first = F.array(*(F.min(F.struct(F.xxhash64(F.lit(k), "id").alias("seat"), "id", "n", "pos")) for k in range(LEADERS)))
+    lead = many.groupBy("key").agg(first.alias("lead")).select("key", F.inline("lead")).select(*columns).distinct()
+    return meeting(few, few, similarity, F.col("id") < F.col("other_id")).union(
+        meeting(many, lead, similarity, F.col("id") != F.col("other_id"))).distinct()
+
+
+def pairs_left(holders: DataFrame, linked: DataFrame, similarity: float, crowd: int) -> DataFrame:
+    """(a, b): all pairs that meet where many classes hold a shingle and that the links so far do not connect; linked: (node, component)."""
+    many = holders.where(F.col("holders") > crowd).join(linked.withColumnRenamed("node", "id"), "id", "left").select(
+        "key", "id", "n", "pos", F.coalesce("component", "id").alias("component"))
+    many = staged(many)
+    sizes = many.groupBy("key", "component").agg(F.count("*").alias("members"))
+    main = staged(sizes.groupBy("key").agg(F.max(F.struct("members", "component"))["component"].alias("main"), F.count("*").alias("groups")).where("groups > 1"))
+    told = many.join(small(main.drop("groups")), "key")
+    # whoever is outside of the largest group of a shingle meets all that hold it
+    outside = told.where("component <> main").drop("main")
+    apart = (F.col("component") != F.col("other_component")) & ((F.col("other_component") == F.col("other_main")) | (F.col("id") < F.col("other_id")))
+    return meeting(outside, told, similarity, apart)
 
 
 def small(rows: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
@@ -347,41 +343,58 @@ def small(rows: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= most else rows
 
 
-def similar_pairs(documents: DataFrame, pairs: DataFrame, classes: DataFrame, n_words: int, similarity: float) -> DataFrame:
-    """The pairs of classes whose shingles have the similarity; estimated on all bits first."""
-    share = differing(similarity)
-    limit = math.floor(n_words * BITS * share + SPARE * math.sqrt(n_words * BITS * share * (1 - share)))
-    prints = classes.select("node", "fp", "text_key")
-    bits = F.aggregate(F.zip_with("fp_a", "fp_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
-    both = pairs.join(prints.toDF("a", "fp_a", "key_a"), "a").join(prints.toDF("b", "fp_b", "key_b"), "b")
-    likely = staged(both.where(bits <= limit).select("a", "b", "key_a", "key_b"))
-    wanted = staged(likely.select(F.col("key_a").alias("text_key"), F.col("a").alias("node")).union(likely.select("key_b", "b")).distinct())
+def similar_pairs(documents: DataFrame, pairs: DataFrame, prints: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the pairs of classes whose shingles have the similarity; bounded by the counts in their bins first."""
+    share = (1 - similarity) / (1 + similarity)
+
+    def near(batches):
+        for batch in sliced(batches):
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("bins_a", "bins_b"))
+            n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            left = batch.take(pa.array(np.flatnonzero(np.abs(a - b).sum(1) <= share * n + EDGE)))
+            yield {c: left.column(c) for c in ("a", "b", "key_a", "key_b")}
+
+    facts = prints.select("rid", "n", "bins", "text_key")
+    both = pairs.join(facts.toDF("a", "n_a", "bins_a", "key_a"), "a").join(facts.toDF("b", "n_b", "bins_b", "key_b"), "b")
+    likely = staged(map_batches(both, "a bigint, b bigint, key_a bigint, key_b bigint", near))
+    wanted = staged(likely.select(F.col("key_a").alias("text_key"), F.col("a").alias("id")).union(likely.select("key_b", "b")).distinct())
 
     def work(batches):
-        for batch in batches:
-            yield {"node": batch.column(0), "own": [shingles(t).view(np.int64).tolist() for t in batch.column(1).to_pylist()]}
+        for batch in sliced(batches):
+            yield {"id": batch.column(0), "own": lists_of([shingles(t) for t in batch.column(1).to_pylist()])}
 
     texts = documents.select(text_key().alias("text_key"), F.col("text").cast("string").cast("binary").alias("text"))
-    one_each = texts.join(small(wanted), "text_key").groupBy("node").agg(F.min("text").alias("text"))
-    sets = staged(map_batches(one_each, "node binary, own array<bigint>", work))
+    one_each = texts.join(small(wanted), "text_key").groupBy("id").agg(F.min("text").alias("text"))
+    sets = staged(map_batches(one_each, "id bigint, own array<bigint>", work))
     met = likely.join(sets.toDF("a", "own_a"), "a").join(sets.toDF("b", "own_b"), "b").withColumn("common", F.size(F.array_intersect("own_a", "own_b")))
     return met.where(F.col("common") >= similarity * (F.size("own_a") + F.size("own_b") - F.col("common"))).select("a", "b")
 
 
+def near_links(documents: DataFrame, prints: DataFrame, classes: DataFrame, similarity: float, crowd: int) -> DataFrame:
+    """(node, component): class ids by the components of all pairs of the similarity."""
+    holders = holders_of(prints, classes)
+    links = staged(similar_pairs(documents, staged(candidate_pairs(holders, similarity, crowd)), prints, similarity))
+    linked = components(links)
+    if not holders.where(F.col("holders") > crowd).limit(1).count():
+        return linked
+    rest = staged(pairs_left(holders, staged(linked), similarity, crowd))
+    if not rest.limit(1).count():
+        return linked
+    return components(links.union(similar_pairs(documents, rest, prints, similarity)))
+
+
 def near_copies(documents: DataFrame, similarity: float = SIMILARITY, crowd: int = NEAR_CROWD) -> DataFrame:
     """(doc_id, text_key, node, group, component_id, kept) per document. group: the least class that near copies lead to;
     component_id: its least id; kept: whether the row's text and id stand for the group (all rows that repeat both do)."""
-    rows = documents.count()
-    n_words = words_for(rows, similarity)
-    prints = staged(wide_fingerprints(documents, n_words))
-    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key"))
-    classes = staged(prints.groupBy("node").agg(least.alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp")).select(
-        "node", F.col("least.doc_id").alias("first_id"), F.col("least.text_key").alias("text_key"), "n", "fp"))
-    plan = wide_plan(classes.count(), word_moments(classes, n_words), parts_a_word(rows))
-    pairs = staged(candidate_pairs(classes.where("n > 0"), plan, similarity, crowd))
-    linked = components(similar_pairs(documents, pairs, classes, n_words, similarity))
-    grouped = classes.join(linked, "node", "left").select(
-        "node", "first_id", F.col("text_key").alias("first_key"), F.coalesce("component", "node").alias("group"))
+    prints = staged(prints_of(documents, common_shingles(documents, documents.count()), similarity))
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "rid"))
+    classes = staged(prints.groupBy("node").agg(least.alias("least")).select(
+        F.col("least.rid").alias("id"), "node", F.col("least.doc_id").alias("first_id"), F.col("least.text_key").alias("text_key")))
+    linked = near_links(documents, prints, classes, similarity, crowd).withColumnRenamed("node", "id")
+    several = staged(linked.join(classes.select("id", "node"), "id"))
+    named = several.join(several.groupBy("component").agg(F.min("node").alias("group")), "component").select("id", "group")
+    grouped = staged(classes.join(named, "id", "left").select(
+        "node", "first_id", F.col("text_key").alias("first_key"), F.coalesce("group", "node").alias("group")))
     # the class with the least id stands for the group; of classes without ids, or with one id, the least
     best = grouped.groupBy("group").agg(
         F.min("first_id").alias("component_id"), F.min(F.struct(F.col("first_id").isNull(), "first_id", "node"))["node"].alias("best"))

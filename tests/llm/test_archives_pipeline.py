@@ -161,6 +161,39 @@ def test_near_copies_are_found_and_verified(spark):
     assert sorted(r["doc_id"] for r in kept) == sorted(min(i for i in found if found[i] == g) for g in set(found.values()))
 
 
+def test_no_near_copy_is_left_out(spark):
+    """Pairs at the very threshold, and crowds that share a shingle without being near a leader: every pair is linked."""
+    rng = random.Random(23)
+    vocabulary = [f"v{k}" for k in range(5000)]
+    texts = {}
+
+    def add(words):
+        texts[len(texts)] = " ".join(words)
+
+    for _ in range(150):  # 0.80 to 0.82: the last words differ
+        n = rng.randrange(60, 400)
+        base = [rng.choice(vocabulary) for _ in range(n)]
+        cut = int((n - 4) * 0.111)
+        add(base)
+        add(base[:n - cut] + [rng.choice(vocabulary) for _ in range(cut)])
+    base = [rng.choice(vocabulary) for _ in range(200)]
+    for k in range(60):  # a chain through one crowd: neighbours are near, ends are not
+        add(base[2 * k:2 * k + 80])
+    shared = [rng.choice(vocabulary) for _ in range(30)]
+    for _ in range(40):  # texts of one common passage and little else, in pairs
+        own = [rng.choice(vocabulary) for _ in range(12)]
+        add(shared + own)
+        add(shared + own[:-1])
+    rows = [(i, t, "en", "a", None, None) for i, t in texts.items()]
+    pairs, component = alike(texts)
+    assert len(pairs) > 250
+    for crowd in (1, 4, simhash.NEAR_CROWD):
+        found = {r["doc_id"]: r["group"] for r in simhash.near_copies(documents(spark, rows, 5), crowd=crowd).collect()}
+        assert [(a, b) for a, b in pairs if found[a] != found[b]] == []
+        by_group = {}
+        assert all(by_group.setdefault(g, component[i]) == component[i] for i, g in found.items())
+
+
 def test_near_copies_of_awkward_rows(spark):
     """Ties have one outcome: rows of one id are one document only if their texts are equal."""
     rows = [(1, "a b c d e f g", "en", "a", 1, 0.5), (1, "other words of the same id", "en", "a", 1, 0.5), (2, "A b  c d e f g", "en", "a", 1, 0.5),
