@@ -31,11 +31,12 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macrotide.llm.common import map_batches, staged, table
+from macrotide.llm.common import map_batches, sliced, staged, table
 from macrotide.llm.english import WORDS
 
 GUESSES, LONGEST, LEAST = 10.0, 64, 6
 MOST_WORDS, LEAST_DOCUMENTS = 50_000, 3
+HELD_WORDS = 200_000  # words that a task counts before it hands the counts on
 KINDS = ("assign", "access", "hex", "guess")
 
 #: Letters in either case, spelled out so that no letter outside ASCII matches.
@@ -204,14 +205,17 @@ def vocabulary(documents: DataFrame, most: int = MOST_WORDS, least: int = LEAST_
     eighth of a doubling each) as many as hold `most` words in all at most. What follows a credential
     word does not count, so no secret lists itself, however many copies of it there are."""
     def work(batches):
-        for batch in batches:
-            times: Counter = Counter()
+        times: Counter = Counter()
+        for batch in sliced(batches):
             for text in batch.column(0).to_pylist():
                 text = text or ""
                 if marked(text):
                     text = CONTEXT.sub(" ", ASSIGN.sub(" ", text))
                 times.update(set(map(str.lower, LONG_WORD.findall(text))))
-            yield {"word": list(times), "n": list(times.values())}
+            if len(times) >= HELD_WORDS:
+                yield {"word": list(times), "n": list(times.values())}
+                times.clear()
+        yield {"word": list(times), "n": list(times.values())}
 
     counts = map_batches(documents.select(F.col("text").cast("string").alias("text")), "word string, n bigint", work)
     known = staged(counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least).withColumn("range", F.floor(8 * F.log2("n"))))
@@ -238,7 +242,7 @@ def scan(documents: DataFrame, guesses: float = GUESSES, words: list[str] | None
     sent = documents.sparkSession.sparkContext.broadcast(ranks(vocabulary(documents) if words is None else words))
 
     def work(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             out = {c: [] for c in ("n_assign", "n_access", "n_hex", "n_guess", "base_sha256", "spans")}
             for text in batch.column(1).to_pylist():
                 spans = spans_of(text or "", guesses, sent.value)
@@ -269,7 +273,7 @@ def redact(documents: DataFrame, guesses: float = GUESSES, words: list[str] | No
     typed = documents.withColumn("text", F.col("text").cast("string"))
 
     def work(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [t and redacted(t, guesses, sent.value) for t in batch.column(at).to_pylist()]
             yield {n: batch.column(i) if i != at else texts for i, n in enumerate(names)}
 

@@ -37,13 +37,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macrotide.llm.common import bucket_of, map_batches, staged, table
+from macrotide.llm.common import bucket_of, map_batches, sliced, staged, table
 
 SPAN, DECAY, SHARP = 6, 0.7, 6
 LANDMARKS, COMMON = 72, 8
 TRAINING, ROUNDS = 2_500, 4
 WHOLE = 0.01
-CACHE = 200_000
+CACHE, SMALL_CACHE = 200_000, 50_000  # words; the small one where workers go on to other stages
+AT_ONCE = 2_000  # words whose kernel values are computed at once
 LETTERS = 64
 LEET = str.maketrans("013457@$!|", "oieastasii")
 AROUND = "$@!|*#%&.,;:?\"'()[]{}<>-_"
@@ -104,6 +105,8 @@ class Kernel:
 
     def __call__(self, words: list[str]) -> np.ndarray:
         """(word, landmark) values; words too short for a subsequence have none."""
+        if len(words) > AT_ONCE:
+            return np.concatenate([self(words[at:at + AT_ONCE]) for at in range(0, len(words), AT_ONCE)])
         own = np.zeros(len(words))
         owners, rows, weights = [], [], []
         for owner, triple, weight in subsequences(words):
@@ -323,13 +326,13 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", fold=No
 class Reader:
     """Sentence values of texts, with a bounded cache of word values."""
 
-    def __init__(self, model: Toxicity) -> None:
-        self.model, self.cache = model, {}
+    def __init__(self, model: Toxicity, most: int = CACHE) -> None:
+        self.model, self.cache, self.most = model, {}, most
 
     def facts(self, texts: list[str | None]) -> np.ndarray:
         parsed = [sentences(t) for t in texts]
         cache = self.cache
-        if len(cache) > CACHE:
+        if len(cache) > self.most:
             cache.clear()
         if new := [w for w in set(chain.from_iterable(chain.from_iterable(parsed))) if w not in cache]:
             for at in range(0, len(new), 20_000):
@@ -342,11 +345,11 @@ class Reader:
         return np.array(found).reshape(-1, 4)
 
 
-def scores_of(model: Toxicity):
+def scores_of(model: Toxicity, most: int = CACHE):
     """texts -> scores, for use in one task."""
     if not model.ready:
         return lambda texts: np.full(len(texts), model.share)
-    reader, step = Reader(model), 256
+    reader, step = Reader(model, most), 256
     return lambda texts: np.concatenate([np.zeros(0), *(model.score(reader.facts(texts[i:i + step])) for i in range(0, len(texts), step))])
 
 
@@ -354,7 +357,7 @@ def classify(documents: DataFrame, model: Toxicity, cut: float = 0.5) -> DataFra
     """(doc_id, score, predicted) per document."""
     def work(batches):
         score_of = scores_of(model)
-        for batch in batches:
+        for batch in sliced(batches):
             score = score_of(batch.column(1).to_pylist())
             yield {"doc_id": batch.column(0), "score": score, "predicted": (score >= cut).astype(np.int32)}
 
@@ -369,8 +372,8 @@ def reject(documents: DataFrame, model: Toxicity, cut: float = 0.5) -> DataFrame
     typed = documents.withColumn("text", F.col("text").cast("string"))
 
     def work(batches):
-        score_of = scores_of(model)
-        for batch in batches:
+        score_of = scores_of(model, SMALL_CACHE)
+        for batch in sliced(batches):
             left = batch.take(np.flatnonzero(score_of(batch.column(at).to_pylist()) < cut))
             yield {c: left.column(i) for i, c in enumerate(columns)}
 

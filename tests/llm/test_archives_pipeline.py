@@ -8,6 +8,7 @@ from collections import Counter
 from pathlib import Path
 
 import duckdb
+import pyarrow as pa
 import pytest
 from data import documents
 
@@ -17,7 +18,7 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tools")]
 import corpus_pipeline  # noqa: E402
 from check import rows_of  # noqa: E402
 
-from macrotide.llm import decontamination, registry, secret_scan, simhash, toxicity, warc  # noqa: E402
+from macrotide.llm import common, decontamination, registry, secret_scan, simhash, toxicity, warc  # noqa: E402
 from macrotide.llm.common import table  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
@@ -286,6 +287,30 @@ def test_stages_stand_awkward_rows(spark):
         assert out.where("text LIKE '%wizards%'").count() > 0, name
 
 
+def test_workers_hold_few_texts_at_once(spark, monkeypatch):
+    """Texts reach the workers in small batches, which are cut where the session allows more; kernel values come in blocks."""
+    before = spark.conf.get(common.BATCH_ROWS)
+    try:
+        for name, stage in corpus_pipeline.STAGES[1:4]:
+            spark.conf.set(common.BATCH_ROWS, "10000")
+            stage(spark, documents(spark), FOLDER)
+            assert int(spark.conf.get(common.BATCH_ROWS)) == common.SLICE, name
+            spark.conf.set(common.BATCH_ROWS, "50")
+            common.bound_batches(spark)
+            assert spark.conf.get(common.BATCH_ROWS) == "50"
+    finally:
+        spark.conf.set(common.BATCH_ROWS, before)
+    batch = pa.RecordBatch.from_pydict({"k": list(range(2500))})
+    assert [b.num_rows for b in common.sliced([batch])] == [1000, 1000, 500]
+    kernel, words = toxicity.Kernel(["idiot", "stupid"]), [f"idio{chr(97 + k % 26)}x{k}" for k in range(30)]
+    whole = kernel(words)
+    monkeypatch.setattr(toxicity, "AT_ONCE", 7)
+    assert (kernel(words) == whole).all()
+    monkeypatch.setattr(secret_scan, "HELD_WORDS", 3)  # counts handed on in parts are the same counts
+    rows = [(k, f"perseverance matters greatly {'wonderful' * (k % 2)}", "en", "a", None, None) for k in range(9)]
+    assert set(secret_scan.vocabulary(documents(spark, rows))) == {"perseverance", "wonderful"}
+
+
 @needs_tables
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, FOLDER)
