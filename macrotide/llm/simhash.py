@@ -28,9 +28,10 @@ in common among the first n - ceil(0.8 n) + 1 of each, n being the shingles of a
 several texts hold go on. The order puts shingles that occur often in a sample last; the sample steers the
 work, any order finds the same. Lengths, the places of the common shingle and counts of shingles by hash bound
 the similarity from above and drop pairs below 0.8; the rest is verified on the shingles themselves. Where more than
-`NEAR_CROWD` texts hold a shingle, each is first compared to `LEADERS` of them. Pairs that the links so far connect need no
-comparison; all other pairs of the crowd are then compared. So rows stay few where a crowd is one group of near copies, and
-grow with the square only of texts that share rare and common shingles alike without being linked.
+`NEAR_CROWD` texts hold a shingle, each is first compared to a few leaders: `LEADERS` of them by a hash, and the one with the fewest rarer
+shingles ahead, which is next to what a group of near copies was made from. Pairs that the links so far connect need no
+comparison; all other pairs of the crowd are then compared. So rows stay few where a crowd is one group of near copies or of texts
+with a common passage, and grow with the square only of texts that consist of common shingles for the most part without being linked.
 Texts that differ in white space and case only are one class. Texts without words are one class.
 """
 
@@ -197,8 +198,9 @@ def near_duplicates(documents: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 SHINGLE, SIMILARITY, FOUND = 5, 0.8, 0.95
 NEAR_CROWD, LEADERS, MOST_BROADCAST = 2, 2, 1 << 20
-#: The sample that orders shingles: so many texts and a share of all; listed are those of several sampled texts, the most frequent of them.
-SAMPLE, SAMPLE_SHARE, SAMPLE_LEAST, MOST_COMMON = 10_000, 64, 3, 200_000
+#: The sample that orders shingles: so many texts and a share of all, so that what more than some dozen texts hold is listed at any size;
+#: listed are those of several sampled texts, the most frequent of them.
+SAMPLE, SAMPLE_SHARE, SAMPLE_LEAST, MOST_COMMON = 10_000, 4, 3, 1 << 20
 #: Counts of shingles by hash.
 BINS = 256
 EDGE = 1e-9  # bounds are rounded towards keeping a pair
@@ -317,8 +319,10 @@ def candidate_pairs(holders: DataFrame, similarity: float, crowd: int) -> DataFr
     """(a, b): all pairs that meet where few classes hold a shingle, and each class with the leaders where many do."""
     columns = ("key", "id", "n", "pos")
     few, many = holders.where(F.col("holders") <= crowd).select(*columns), holders.where(F.col("holders") > crowd).select(*columns)
-    # the least by a hash lead, so that shingles of the same classes have the same leaders
-    first = F.array(*(F.min(F.struct(F.xxhash64(F.lit(k), "id").alias("seat"), "id", "n", "pos")) for k in range(LEADERS)))
+    # the least by a hash lead, so that shingles of the same classes have the same leaders; and the one with the fewest rarer shingles of
+    # its own ahead, as it differs least from what the holders have in common
+    seats = [F.struct(F.lit(0), F.xxhash64(F.lit(k), "id")) for k in range(LEADERS)] + [F.struct("pos", F.xxhash64(F.lit(LEADERS), "id"))]
+    first = F.array(*(F.min_by(F.struct("id", "n", "pos"), seat) for seat in seats))
     lead = many.groupBy("key").agg(first.alias("lead")).select("key", F.inline("lead")).select(*columns).distinct()
     return meeting(few, few, similarity, F.col("id") < F.col("other_id")).union(
         meeting(many, lead, similarity, F.col("id") != F.col("other_id"))).distinct()

@@ -11,6 +11,7 @@ import duckdb
 import pyarrow as pa
 import pytest
 from data import documents
+from pyspark.sql import functions as F
 
 ROOT = Path(__file__).resolve().parents[2]
 sys.path[:0] = [str(ROOT), str(ROOT / "tools")]
@@ -19,7 +20,8 @@ import corpus_pipeline  # noqa: E402
 from check import rows_of  # noqa: E402
 
 from macrotide.llm import common, decontamination, registry, secret_scan, simhash, toxicity, warc  # noqa: E402
-from macrotide.llm.common import table  # noqa: E402
+from macrotide.llm.common import staged, table  # noqa: E402
+from macrotide.llm.components import components  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 PAGES = [(3, "https://www.Example.org:443/A?b#c", "<p>same</p>"), (1, "http://example.org/z", "<p>same</p>"), (2, None, None), (4, "ftp://x", ""),
@@ -195,6 +197,35 @@ def test_no_near_copy_is_left_out(spark):
         assert all(by_group.setdefault(g, component[i]) == component[i] for i, g in found.items())
 
 
+def test_few_pairs_of_a_crowd_are_left(spark):
+    """Copies of one text with up to five words changed: the leaders link all that are near each other through it, and what is
+    left to compare does not grow with the square of the crowd."""
+    rng = random.Random(31)
+    base = [f"b{k}" for k in range(150)]
+    rows = []
+    for k in range(400):
+        words = list(base)
+        for j, at in enumerate(rng.sample(range(150), k % 6)):
+            words[at] = f"own{k}x{j}"
+        rows.append((k, " ".join(words), "en", "a", None, None))
+    docs = documents(spark, rows, 5)
+    prints = staged(simhash.prints_of(docs, simhash.common_shingles(docs, 400), 0.8))
+    classes = staged(prints.groupBy("node").agg(F.min("rid").alias("id")))
+    holders = simhash.holders_of(prints, classes)
+    near = simhash.similar_pairs(docs, staged(simhash.candidate_pairs(holders, 0.8, simhash.NEAR_CROWD)), prints, 0.8)
+    left = simhash.pairs_left(holders, staged(components(staged(near))), 0.8, simhash.NEAR_CROWD).count()
+    assert left < 2 * classes.count(), left
+
+
+def test_passages_of_some_dozen_texts_are_listed_at_any_size(spark):
+    """The order of shingles knows a passage that 40 texts share, however many other texts there are."""
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows = [(k, f"{passage} " + " ".join(f"o{k}x{j}" for j in range(60)), "en", "a", None, None) for k in range(40)]
+    wanted = set(simhash.shingles(passage.encode()).tolist())
+    for size in (40, 10**6, 10**9):
+        assert wanted <= set(simhash.common_shingles(documents(spark, rows), size)[0].tolist())
+
+
 def test_near_copies_of_awkward_rows(spark):
     """Ties have one outcome: rows of one id are one document only if their texts are equal."""
     rows = [(1, "a b c d e f g", "en", "a", 1, 0.5), (1, "other words of the same id", "en", "a", 1, 0.5), (2, "A b  c d e f g", "en", "a", 1, 0.5),
