@@ -31,7 +31,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macrotide.llm.common import map_batches, sliced, staged, table
+from macrotide.llm.common import bound_batches, map_batches, sliced, staged, table
 from macrotide.llm.english import WORDS
 
 GUESSES, LONGEST, LEAST = 10.0, 64, 6
@@ -281,5 +281,6 @@ def redact(documents: DataFrame, guesses: float = GUESSES, words: list[str] | No
 
 
 def op3_secret_scan(spark, folder: str) -> DataFrame:
+    bound_batches(spark)
     return scan(table(spark, folder, "documents")).select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess")

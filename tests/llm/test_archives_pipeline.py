@@ -197,6 +197,17 @@ def test_no_near_copy_is_left_out(spark):
         assert all(by_group.setdefault(g, component[i]) == component[i] for i, g in found.items())
 
 
+def test_secret_scan_holds_few_texts_at_once(spark):
+    """The query, like the stage of the pipeline, sends whole texts to workers in batches of a thousand at most."""
+    before = spark.conf.get(common.BATCH_ROWS)
+    try:
+        spark.conf.set(common.BATCH_ROWS, "10000")
+        assert registry.queries()["op3_secret_scan"](spark, FOLDER).count()
+        assert int(spark.conf.get(common.BATCH_ROWS)) <= common.SLICE
+    finally:
+        spark.conf.set(common.BATCH_ROWS, before)
+
+
 def test_few_pairs_of_a_crowd_are_left(spark):
     """Copies of one text with up to five words changed: the leaders link all that are near each other through it, and what is
     left to compare does not grow with the square of the crowd."""
