@@ -24,6 +24,8 @@ Scale. Rows are runs (one per about 170 bytes) and the text pieces around what d
 copies; texts are shuffled once. Runs of one name are joined, never gathered: a passage in a third of
 all texts is one class of equal runs. Long texts are read in blocks of `BLOCK` windows.
 
+Result. Per document the kept bytes and the removed runs (`deduplicated`); numbers and digest follow from them.
+
 Cases. Null texts have no bytes. Texts shorter than `LENGTH` bytes lose nothing. Repeated rows are
 separate documents, hence repeat each other. An empty table gives an empty result. Other columns are
 ignored.
@@ -42,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from macrotide.llm.common import map_batches, staged, table
+from macrotide.llm.common import map_batches, sliced, staged, table
 
 LENGTH, GRAM = 400, 64
 BLOCK = 1 << 20
@@ -298,34 +300,30 @@ def equal_windows(sent: DataFrame, length: int) -> DataFrame:
 
 
 def removed(texts: DataFrame, length: int) -> DataFrame:
-    """(rid, n_removed, n_spans, kept_sha256); texts: (rid, text, spans of window starts)."""
+    """(doc_id, n_bytes, spans, kept) per row; texts: (doc_id, text, spans of window starts, null for none)."""
     def work(batches):
-        for batch in batches:
-            out = {c: [] for c in ("n_removed", "n_spans", "kept_sha256")}
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                n, count, end, digest = 0, 0, 0, hashlib.sha256()
-                covered = 0  # up to here the text is dealt with
-                for s in sorted(spans, key=lambda s: s["start"]):
+        for batch in sliced(batches, SLICE):
+            out = {c: [] for c in ("n_bytes", "spans", "kept")}
+            for text, windows in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                gone = []
+                for s in sorted(windows or (), key=lambda s: s["start"]):
                     start, stop = s["start"], s["stop"] + length - 1
-                    if start > end or not count:
-                        digest.update(text[covered:start])
-                        count += 1
-                        n += stop - start
-                        end = covered = stop
-                    elif stop > end:
-                        n += stop - end
-                        end = covered = stop
-                digest.update(text[covered:])
-                out["n_removed"].append(n)
-                out["n_spans"].append(count)
-                out["kept_sha256"].append(digest.hexdigest())
-            yield {"rid": batch.column(0)} | out
-
-    return map_batches(texts.select("rid", "text", "spans"), "rid bigint, n_removed bigint, n_spans bigint, kept_sha256 string", work)
-
-
-def repeated(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per document."""
+                    if gone and start <= gone[-1]["stop"]:
+                        gone[-1]["stop"] = max(stop, gone[-1]["stop"])
+                    else:
+                        gone.append({"start": start, "stop": stop})
+                edges = [0, *(e for s in gone for e in (s["start"], s["stop"])), len(text)]
+                out["n_bytes"].append(len(text))
+                out["spans"].append(gone)
+                out["kept"].append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+            yield {"doc_id": batch.column(0)} | out
+
+    return map_batches(texts.select("doc_id", "text", "spans"), f"doc_id bigint, n_bytes bigint, spans {SPANS}, kept binary", work)
+
+
+def deduplicated(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(doc_id, n_bytes, spans, kept) per document: the bytes of its text that are kept, and the maximal runs of bytes
+    that are not (numbered from 0, stop excluded)."""
     rows = staged(parsed(documents, length, gram))
     copies = staged(rows.where(F.col("n_bytes") >= length).groupBy("digest").agg(F.count("*").alias("n")).where("n > 1"))
     facts = staged(rows.select("rid", "doc_id", "digest", "n_bytes").join(
@@ -337,23 +335,42 @@ def repeated(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
         F.collect_list(F.when(F.col("whole"), F.struct("start", (F.col("start") + F.col("count")).alias("stop")))).alias("spans"))
     marked = staged(of_row.join(facts.select("rid", "doc_id", "digest", "copy"), "rid").select(
         "rid", F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest"), "copy", "runs", "spans"))
-    # the texts, shuffled once and used by both joins
+    # the texts, shuffled once and used by both joins: with the same columns in both, and no key that an inner join would test for nulls
     content = F.coalesce(F.col("text").cast("string").cast("binary"), F.lit(b""))
-    texts = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("text_id"), F.unhex(F.sha2(content, 256)).alias("text_digest"), content.alias("text"))
-    same = (F.col("text_id") == F.coalesce("of_id", F.lit(-1))) & (F.col("text_digest") == F.col("of_digest"))
+    digest = F.coalesce(F.unhex(F.sha2(content, 256)), F.lit(b""))
+    texts = documents.select(F.col("doc_id").cast("long").alias("text_id"), digest.alias("text_digest"), content.alias("text"))
+    same = F.col("text_id").eqNullSafe(F.col("of_id")) & (F.col("text_digest") == F.col("of_digest"))
     senders = texts.join(marked.where(F.size("runs") > 0), same)
     single = marked.where(~F.col("copy"))
     spans = equal_windows(pieces(senders, length), length).union(single.where(F.size("spans") > 0).select("rid", "spans"))
     merged = spans.groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    cut = merged.join(single.drop("spans", "runs", "copy"), "rid")
-    changed = staged(removed(texts.join(cut, same), length)).withColumnRenamed("rid", "changed")
-    empty = hashlib.sha256(b"").hexdigest()
-    return facts.join(changed, F.col("rid") == F.col("changed"), "left").select(
-        "doc_id", "n_bytes",
-        F.when(F.col("copy"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(F.col("copy"), 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(F.col("copy"), empty).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("digest")))).alias("kept_sha256"))
+    cut = merged.join(single.drop("spans", "runs", "copy"), "rid").select("of_id", "of_digest", "spans")
+    # a text that occurs several times goes as a whole; one row for all rows of an id, as for the texts with cuts
+    whole = facts.where("copy").select("doc_id", "digest", "n_bytes").distinct().select(
+        "doc_id", "digest", F.array(F.struct(F.lit(0).cast("long").alias("start"), (F.col("n_bytes") - (length - 1)).alias("stop"))))
+    return removed(texts.join(cut.union(whole), same, "left").select(F.col("text_id").alias("doc_id"), "text", "spans"), length)
+
+
+def counted(found: DataFrame) -> DataFrame:
+    """The result of `deduplicated` with n_removed, n_spans and kept_sha256."""
+    lengths = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select("doc_id", "n_bytes", lengths.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"), "spans", "kept")
+
+
+def repeated(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per document."""
+    return counted(deduplicated(documents, length, gram)).drop("spans", "kept")
+
+
+def with_text(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """The columns of `repeated`, the removed runs as start:stop, comma-joined, and the kept bytes as text. Runs may end within
+    a character; what is left of it is a replacement character (U+FFFD) in the text, while kept_sha256 is of the bytes."""
+    ends = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["stop"].cast("string")))
+    return counted(deduplicated(documents, length, gram)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.array_join(ends, ",").alias("spans"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op9_suffix_dedup(spark, folder: str) -> DataFrame:
-    return repeated(table(spark, folder, "documents"))
+    return with_text(table(spark, folder, "documents"))

@@ -131,6 +131,24 @@ def test_repeated_bytes_equal_brute_force(spark, monkeypatch, length, gram, crow
     assert got == brute_repeats(rows, length)
 
 
+def test_texts_are_given_without_their_repeated_passages(spark):
+    """The operator gives the text that is left and the bytes that went, for every row: changed, whole copies, short, null."""
+    shared, e, short = "p" * 9 + "q" * 31, "vé", "hé short"
+    rows = [(1, f"one {shared} end"), (2, f"{shared}{shared[:20]}"), (3, "a text of its own that is long enough to be compared"), (4, short), (4, short),
+            (None, short), (5, None), (6, "w" * 45), (7, "copy " * 12), (7, "copy " * 12), (None, "copy " * 12),
+            (8, "s" * 39 + e + "1"), (9, "s" * 39 + "vè" + "2")]  # é and è begin with one byte
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = suffix_dedup.with_text(frame, 40, 8).collect()
+    facts = sorted((tuple(r)[:5] for r in found), key=str)
+    assert facts == brute_repeats(rows, 40)
+    given = sorted(((r["doc_id"], r["spans"], r["text"]) for r in found), key=str)
+    assert given == sorted([
+        (1, "4:44", "one  end"), (2, "0:40", shared[:20]), (3, "", rows[2][1]), (4, "", short), (4, "", short), (None, "", short), (5, "", ""),
+        (6, "0:45", ""), (7, "0:60", ""), (7, "0:60", ""), (None, "0:60", ""), (8, "0:41", "�1"), (9, "0:41", "�2")], key=str)
+    kept = {r["doc_id"]: (bytes(r["kept"]), [tuple(s) for s in r["spans"]]) for r in suffix_dedup.deduplicated(frame, 40, 8).collect()}
+    assert kept[8] == (b"\xa91", [(0, 41)]) and kept[1] == (b"one  end", [(4, 44)])
+
+
 def test_merges_of_one_letter_stay_small(spark):
     """One name, 150 kinds of run, 15 MB: what is compared are the different windows of each run."""
     texts = [(k, "w" * (100_000 + k)) for k in range(150)]
