@@ -52,7 +52,8 @@ def parse_year(text: Column) -> Column:
     """Whole years only; '2015' and '2015.0' both give 2015."""
     number = parse_number(text)
     whole = F.when(number == F.floor(number), number.try_cast("int"))
-    return F.coalesce(text.try_cast("int"), whole)
+    # a point is in no whole number; without the test each such text would cost an exception
+    return F.coalesce(F.when(~text.contains("."), text.try_cast("int")), whole)
 
 
 def parse_date(text: Column, patterns: Sequence[str] = DATE_PATTERNS) -> Column:

@@ -17,10 +17,22 @@ ATTRIBUTE_MARKS = {"year": ("time",), "value": ("value",), "country_code": ("cou
 
 # An element is an observation if its tag holds the first in this case, or the second in any.
 OBSERVATION = ("Obs", "observation")
-# An opening tag with its attributes; comments, character data and instructions, which hold no elements.
-TAG = r"""<([\p{L}_][^\s/>="']*+)((?:\s++[^\s=/>"']++\s*+=\s*+(?:"[^"]*+"|'[^']*+'))*+)\s*+/?+>"""
+# A tag's name and its attributes.
+NAMED = r"""[\p{L}_][^\s/>="']*+"""
+QUOTED = r"""(?:"[^"]*+"|'[^']*+')"""
+ATTRIBUTES = rf"""(?:\s++[^\s=/>"']++\s*+=\s*+{QUOTED})*+"""
+# An opening tag with its attributes; the same with an observation's inside as the only group; comments, character data and
+# instructions, which hold no elements.
+TAG = rf"""<({NAMED})({ATTRIBUTES})\s*+/?+>"""
+OBSERVED = rf"""<(?:(?=[^\s/>="']*?(?:{OBSERVATION[0]}|(?i:{OBSERVATION[1]})))({NAMED}{ATTRIBUTES})|{NAMED}{ATTRIBUTES})\s*+/?+>"""
 ATTRIBUTE = r"""([^\s=/>"']++)\s*+=\s*+("[^"]*+"|'[^']*+')"""
-NO_ELEMENTS = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>"
+NO_ELEMENTS = r"(?s)<(?:!--.*?-->|!\[CDATA\[.*?\]\]>|\?.*?\?>)"
+# The inside of an element, attribute by attribute: a group for each field, which keeps the last attribute that fills it.
+FIELDS = r"""(?i)^[^\s=/>"']++(?:\s++(?:%s))*+$""" % "|".join(
+    [rf"""[^\s=/>"']*?(?:{"|".join(marks)})[^\s=/>"']*+\s*+=\s*+({QUOTED})""" for marks in ATTRIBUTE_MARKS.values()]
+    + [rf"""[^\s=/>"']++\s*+=\s*+{QUOTED}"""])
+# Stands between quoted texts, none of which holds it, alone or with what follows: they hold no quote of their own kind.
+BETWEEN = "\"\"''"
 # The entities of XML; the ampersand comes last.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
 
@@ -48,15 +60,19 @@ def wage_observations(elements: DataFrame, dataset_code: str) -> DataFrame:
     ).filter(F.coalesce("country_code", F.col("year").cast("string"), F.col("value").cast("string")).isNotNull())
 
 
+def _plain(quoted: Column) -> Column:
+    """The text of an attribute without its quotes and entities."""
+    value = F.substr(quoted, F.lit(2), F.length(quoted) - 2)
+    for entity, sign in ENTITIES:
+        value = F.replace(value, F.lit(entity), F.lit(sign))
+    return value
+
+
 def tags(text: Column) -> Column:
     """Array of (tag, attributes) of all elements of an XML text, in order; attributes as an array of (name, value).
     The text is read once, by patterns that never go back, so a long document takes time in proportion."""
     def attribute(found: Column) -> Column:
-        value = F.regexp_extract(found, ATTRIBUTE, 2)
-        value = F.substr(value, F.lit(2), F.length(value) - 2)
-        for entity, sign in ENTITIES:
-            value = F.replace(value, F.lit(entity), F.lit(sign))
-        return F.struct(F.regexp_extract(found, ATTRIBUTE, 1).alias("name"), value.alias("value"))
+        return F.struct(F.regexp_extract(found, ATTRIBUTE, 1).alias("name"), _plain(F.regexp_extract(found, ATTRIBUTE, 2)).alias("value"))
 
     opened = F.regexp_extract_all(F.regexp_replace(text, NO_ELEMENTS, ""), F.lit(TAG), F.lit(0))
     return F.transform(opened, lambda e: F.struct(
@@ -64,28 +80,25 @@ def tags(text: Column) -> Column:
         F.transform(F.regexp_extract_all(F.regexp_extract(e, TAG, 2), F.lit(ATTRIBUTE), F.lit(0)), attribute).alias("attributes")))
 
 
-def is_observation(tag: Column) -> Column:
-    return tag.contains(OBSERVATION[0]) | F.lower(tag).contains(OBSERVATION[1])
+def observations(text: Column) -> Column:
+    """Array of the observation elements of an XML text, in order, each as the quoted texts of its fields, empty where it has none,
+    with `BETWEEN` between them. Read as `tags` does; an element costs one pattern, whatever its number of attributes."""
+    elements = F.array_remove(F.regexp_extract_all(F.regexp_replace(text, NO_ELEMENTS, ""), F.lit(OBSERVED), F.lit(1)), "")
+    fields = BETWEEN.join(f"${k}" for k in range(1, len(ATTRIBUTE_MARKS) + 1))
+    return F.transform(elements, lambda e: F.regexp_replace(e, FIELDS, fields))
 
 
 def parse_observations(documents: DataFrame, dataset_code: str, text: str = "value") -> DataFrame:
     """Wage feed from XML documents held as one text each, of every observation element. An attribute
     fills the first field whose mark its name holds; of several for one field the last in the element counts."""
-    def field_of(name: Column) -> Column:
-        found = F.lit(None).cast("string")
-        for target, marks in reversed(ATTRIBUTE_MARKS.items()):
-            holds = F.lit(False)
-            for mark in marks:
-                holds = holds | F.lower(name).contains(mark)
-            found = F.when(holds, F.lit(target)).otherwise(found)
-        return found
-
-    def last(target: str) -> Column:
-        return F.try_element_at(F.filter(F.col("e.attributes"), lambda a: field_of(a["name"]) == target), F.lit(-1))["value"]
-
-    elements = documents.select(F.explode(F.filter(tags(F.col(text)), lambda e: is_observation(e["tag"]))).alias("e"))
-    texts = elements.select(*(last(target).alias(target) for target in ATTRIBUTE_MARKS))
-    return texts.filter(F.coalesce(*ATTRIBUTE_MARKS).isNotNull()).select(
+    def field(place: int) -> Column:
+        quoted = F.substring_index(F.substring_index("e", BETWEEN, place), BETWEEN, -1)
+        return F.when(quoted != "", _plain(quoted))
+
+    # Not a filter on the fields: Spark would compute them for it and once more for the result.
+    elements = documents.select(F.explode(observations(F.col(text))).alias("e")).filter(F.col("e") != BETWEEN * (len(ATTRIBUTE_MARKS) - 1))
+    texts = elements.select(*(field(k).alias(target) for k, target in enumerate(ATTRIBUTE_MARKS, 1)))
+    return texts.select(
         "country_code", parse_year(F.col("year")).alias("year"), F.lit(dataset_code).alias("indicator"),
         parse_number(F.col("value")).alias("value"))
 

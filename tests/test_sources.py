@@ -207,6 +207,17 @@ def test_every_observation_element(spark, tmp_path):
     assert [t.tag for t in tags][:4] == ["m:Data", "m:Series", "Obs", "g:Obs"] and tags[3].attributes[1].value == "D&E"
 
 
+def test_observations_are_read_by_one_pattern(spark):
+    text = """<D><Obs TIME='""' VALUE="''" REF_AREA=''/><g:Obs time="2020" VALUE='a"&lt;"' x='TIME="5"' Time='2021.0' obs_value="7"/>
+      <MyOBSERVATION country="" area='1'/><Obs a="1"/><Obs valueTime="3" COUNTRY="it's" ref_area='""'/><!-- <Obs TIME="1"/> --></D>"""
+    got = xml_feed.parse_observations(spark.createDataFrame([(text,)], "value string"), "AWE")
+    assert [tuple(r) for r in got.collect()] == [
+        ("", None, "AWE", None), (None, 2021, "AWE", 7.0), ("", None, "AWE", None), ('""', 3, "AWE", None)]
+    # a document is searched once, not for its elements and then for the parts of each, and not once more for a filter
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and plan.count("regexp_extract(") == 0 and plan.count("regexp_replace(") == 2
+
+
 def test_long_xml_documents(spark):
     text = "<D>" + "".join(f'<g:Obs TIME="{1900 + k % 100}" VALUE="{k}" REF_AREA="X"/>' for k in range(60_000)) + "</D>"
     rows = xml_feed.parse_observations(spark.createDataFrame([(text,), ("<Obs " + "a" * 200_000,)], "value string"), "AWE")
