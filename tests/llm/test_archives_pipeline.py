@@ -65,6 +65,20 @@ def test_archives_are_cut_and_dated_in_utc(spark, tmp_path):
     assert stamps[0] == "20240101000000" and stamps[59] == "20240101000059"
 
 
+def test_archives_and_ranges_stay_small(spark, tmp_path):
+    """An archive is read whole and a range is merged in memory, so their sizes do not follow the input of a task."""
+    rows = spark.range(3000, numPartitions=1).selectExpr("id AS page_id", "'http://a.org/x' AS url", "concat(id, repeat('x', 20000)) AS html")
+    warc.write_archives(rows, str(tmp_path / "a"))
+    sizes = [f.stat().st_size for f in (tmp_path / "a").glob("part-*")]
+    assert sum(sizes) > 60_000_000 and max(sizes) < 9_000_000
+    repeated = rows.limit(1).selectExpr("*", "explode(sequence(1, 400)) AS again")
+    warc.write_archives(repeated, str(tmp_path / "b"), archive_bytes=1_000_000)
+    parts = warc.merge_indexes(warc.indexed(spark, str(tmp_path / "b")), rows_a_range=100).rdd.glom().collect()
+    assert len(parts) == 4 and max(map(len, parts)) < 200
+    merged = [(r["archive"], r["offset"]) for part in parts for r in part]
+    assert merged == sorted(merged) and len(merged) == 400
+
+
 def test_history_is_in_global_order(spark):
     rng = random.Random(9)
     rows = [(k, f"http://host{rng.randrange(4)}.org/p{rng.randrange(30)}", str(k % 50)) for k in range(400)]
